@@ -26,11 +26,10 @@ def null_checks(trends: DataFrame, competitive: DataFrame) -> DataFrame:
 
 def range_checks(trends: DataFrame, metrics: tuple = ("avg_rating", "positive_rate")) -> DataFrame:
     """min / max / mean per metric of the trends table from one aggregate
-    pass, unpivoted to one row per metric (U3).  The mean is taken over the
-    2-dp warehouse values and rounded to 4 places."""
+    pass, unpivoted to one row per metric (U3); the mean is rounded to 4 places."""
     wide = trends.agg(
         *[
-            agg(F.col(m).cast("decimal(10,2)")).alias(f"{name}_{i}")
+            agg(F.col(m)).alias(f"{name}_{i}")
             for i, m in enumerate(metrics)
             for name, agg in (("min", F.min), ("max", F.max), ("avg", F.avg))
         ]
@@ -40,8 +39,8 @@ def range_checks(trends: DataFrame, metrics: tuple = ("avg_rating", "positive_ra
             *[
                 F.struct(
                     F.lit(m).alias("metric"),
-                    F.col(f"min_{i}").cast("double").alias("min_value"),
-                    F.col(f"max_{i}").cast("double").alias("max_value"),
+                    F.col(f"min_{i}").alias("min_value"),
+                    F.col(f"max_{i}").alias("max_value"),
                     round_half_up(F.col(f"avg_{i}"), 4).alias("avg_value"),
                 )
                 for i, m in enumerate(metrics)
