@@ -11,7 +11,8 @@ from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType
 def display_value(name: str, dtype: DataType) -> Column:
     c = F.col(name)
     if isinstance(dtype, (DoubleType, FloatType, DecimalType)):
-        text = F.format_string("%.2f", c.cast("double"))
+        # format_string renders a NULL argument as a cut-off 'null'; test first
+        text = F.when(c.isNotNull(), F.format_string("%.2f", c.cast("double")))
     else:
         text = c.cast("string")
     return F.coalesce(text, F.lit("NULL"))

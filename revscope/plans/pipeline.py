@@ -1,0 +1,108 @@
+"""The batch job (E3, M1, M2): load -> enrich -> four feature tables -> write.
+
+Scale notes
+* The enrichment join runs once.  Its narrow projection (only the columns
+  the feature builders read; no review text, no arrays) is materialised
+  either as a written Parquet table in the shared checkpoint folder
+  (default: survives executor loss, cuts lineage, later scans prune
+  columns) or as a MEMORY_AND_DISK persist.
+* Each feature is an aggregate with map-side partial aggregation, so the
+  shuffles carry per-task group rows, not review rows.
+* success_prediction is a projection of competitive_analysis read back from
+  its written table (M2), so the competitive aggregate is not recomputed.
+"""
+
+from __future__ import annotations
+
+import time
+import uuid
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
+
+from revscope.operators.competitive import competitive_analysis
+from revscope.operators.enrich import prepare
+from revscope.operators.sentiment import sentiment_trends
+from revscope.operators.success import success_prediction
+from revscope.operators.velocity import velocity_analysis
+from revscope.session import ensure_checkpoint_dir, ensure_utc
+from revscope.sources.readers import read_products, read_reviews
+from revscope.sources.writers import write_feature
+
+# Columns of the enriched reviews that the four feature builders read.
+FEATURE_INPUT_COLUMNS = [
+    "parent_asin", "product_title", "store", "main_category", "price_tier", "user_id", "rating",
+    "sentiment", "review_length", "is_detailed_review", "verified_purchase", "helpful_vote",
+    "review_date", "review_year_month",
+]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder this job wrote, through the cluster file system."""
+    jvm = spark.sparkContext._jvm
+    fs_path = jvm.org.apache.hadoop.fs.Path(path)
+    fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(fs_path, True)
+
+
+def materialize(df: DataFrame, mode: str, spark: SparkSession, label: str = "enriched") -> tuple[DataFrame, callable]:
+    """Materialise a shared intermediate result (M1).  Returns the frame to
+    use and a cleanup callable."""
+    if mode == "persist":
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        return kept, kept.unpersist
+    if mode == "table":
+        folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/revscope-{label}-{uuid.uuid4().hex[:12]}"
+        df.write.mode("overwrite").parquet(folder)
+        return spark.read.parquet(folder), (lambda: _delete(spark, folder))
+    if mode == "none":
+        return df, (lambda: None)
+    raise ValueError(f"unknown materialize mode {mode!r}")
+
+
+def build_features(
+    enriched: DataFrame,
+    spark: SparkSession,
+    target: str,
+    mode: str = "table",
+    success_kwargs: dict | None = None,
+) -> dict:
+    """Write the four feature tables under ``target``; returns row counts and timings."""
+    base, cleanup = materialize(enriched.select(*FEATURE_INPUT_COLUMNS), mode, spark)
+    report: dict = {"rows": {}, "seconds": {}}
+    try:
+        for name, build in (
+            ("sentiment_trends", sentiment_trends),
+            ("competitive_analysis", competitive_analysis),
+            ("review_velocity", velocity_analysis),
+        ):
+            t0 = time.time()
+            report["rows"][name] = write_feature(build(base), f"{target}/{name}", name)
+            report["seconds"][name] = round(time.time() - t0, 3)
+        t0 = time.time()
+        written = spark.read.parquet(f"{target}/competitive_analysis")
+        report["rows"]["success_prediction"] = write_feature(
+            success_prediction(written, **(success_kwargs or {})), f"{target}/success_prediction", "success"
+        )
+        report["seconds"]["success_prediction"] = round(time.time() - t0, 3)
+    finally:
+        cleanup()
+    return report
+
+
+def run_pipeline(
+    spark: SparkSession,
+    reviews_path: str,
+    products_path: str,
+    target: str,
+    mode: str = "table",
+    min_partitions: int | None = None,
+    success_kwargs: dict | None = None,
+) -> dict:
+    """Load JSON inputs, enrich, build and write the four tables."""
+    ensure_utc(spark)
+    started = time.time()
+    reviews = read_reviews(spark, reviews_path, min_partitions=min_partitions)
+    products = read_products(spark, products_path, min_partitions=min_partitions)
+    report = build_features(prepare(reviews, products), spark, target.rstrip("/"), mode, success_kwargs)
+    report["elapsed_seconds"] = round(time.time() - started, 3)
+    return report
