@@ -11,10 +11,12 @@ from revscope.schemas import PRODUCTS, PRODUCTS_FULL, REVIEWS
 CORRUPT_COLUMN = "_corrupt_record"
 
 
-def _spread(df: DataFrame, min_partitions: int | None) -> DataFrame:
-    """gzip files are not splittable: one task per file.  When the scan has
-    fewer partitions than ``min_partitions``, spread the rows round-robin so
-    the rest of the job is not serialised behind a few huge tasks."""
+def spread(df: DataFrame, min_partitions: int | None) -> DataFrame:
+    """gzip files are not splittable (one task per file) and a Parquet file
+    is split no finer than its row groups.  When a scan has fewer partitions
+    than ``min_partitions``, spread the rows round-robin so the rest of the
+    job is not serialised behind a few huge tasks; a scan that is already
+    wide (the normal case on a cluster) is left alone."""
     if min_partitions and df.rdd.getNumPartitions() < min_partitions:
         return df.repartition(min_partitions)
     return df
@@ -25,14 +27,14 @@ def read_reviews(
 ) -> DataFrame:
     """Review records from JSON lines (plain or .gz) with a declared schema (S1):
     no inference pass over the input."""
-    return _spread(spark.read.schema(schema).json(path), min_partitions)
+    return spread(spark.read.schema(schema).json(path), min_partitions)
 
 
 def read_products(
     spark: SparkSession, path: str, schema: StructType = PRODUCTS, min_partitions: int | None = None
 ) -> DataFrame:
     """Product metadata from JSON lines with a declared schema, 9 or 16 fields."""
-    return _spread(spark.read.schema(schema).json(path), min_partitions)
+    return spread(spark.read.schema(schema).json(path), min_partitions)
 
 
 def read_products_tolerant(spark: SparkSession, path: str, schema: StructType = PRODUCTS_FULL) -> DataFrame:
