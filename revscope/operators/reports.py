@@ -65,6 +65,21 @@ def top_by(df: DataFrame, metric: str, key: str, k: int) -> DataFrame:
     return df.orderBy(F.desc(metric), F.asc_nulls_first(key)).limit(k)
 
 
+def top_brands(performance: DataFrame, k: int = 15) -> DataFrame:
+    """Stores with the most reviews (K8), over ``brand_performance``."""
+    return top_by(performance, "total_reviews", "store", k)
+
+
+def top_categories(category_counts: DataFrame, k: int = 10) -> DataFrame:
+    """Largest main categories (K8), over ``category_distribution``."""
+    return top_by(category_counts, "product_count", "main_category", k)
+
+
+def top_stores(store_counts: DataFrame, k: int = 15) -> DataFrame:
+    """Stores with the most products (K8), over ``store_distribution``."""
+    return top_by(store_counts, "product_count", "store", k)
+
+
 def surging(velocity: DataFrame, k: int = 10) -> DataFrame:
     """Fastest-growing product months (K9)."""
     return (

@@ -198,9 +198,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "top_satisfaction": lambda i: reports.top_satisfaction(i.competitive, SATISFACTION_FLOOR, 10),
     "top_success": lambda i: reports.top_success(i.prediction, 5),
     "bottom_success": lambda i: reports.bottom_success(i.prediction, 5),
-    "top_brands": lambda i: reports.top_by(profile.brand_performance(i.enriched), "total_reviews", "store", 15),
-    "top_categories": lambda i: reports.top_by(profile.category_distribution(i.sampled), "product_count", "main_category", 10),
-    "top_stores": lambda i: reports.top_by(profile.store_distribution(i.sampled), "product_count", "store", 15),
+    "top_brands": lambda i: reports.top_brands(profile.brand_performance(i.enriched), 15),
+    "top_categories": lambda i: reports.top_categories(profile.category_distribution(i.sampled), 10),
+    "top_stores": lambda i: reports.top_stores(profile.store_distribution(i.sampled), 15),
     "surging": lambda i: reports.surging(i.velocity, 10),
     "declining": lambda i: reports.declining(i.velocity, 10),
     "declining_after_first_month": lambda i: reports.declining(i.velocity, 10, skip_first_month=True),

@@ -106,6 +106,9 @@ def read_parts(spark: SparkSession, paths: list[str]) -> DataFrame:
     return out
 
 
+concat_parts = read_parts
+
+
 def input_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """Files under ``path`` with their sizes (S18).  The ``binaryFile`` source
     prunes the content column, so only file metadata is listed."""
@@ -134,6 +137,7 @@ __all__ = [
     "stage_strings",
     "promote_staged",
     "read_parts",
+    "concat_parts",
     "input_files",
     "input_totals",
 ]

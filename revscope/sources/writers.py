@@ -104,6 +104,16 @@ def create_feature_table(
     writer.saveAsTable(name)
 
 
+def create_feature_tables(
+    features: dict[str, DataFrame], buckets: int = 16, layout: dict | None = None, base_path: str | None = None
+) -> list[str]:
+    """S13 for all published tables: ``{name: DataFrame}`` -> typed, bucketed tables."""
+    for name, df in features.items():
+        path = f"{base_path.rstrip('/')}/{name}" if base_path else None
+        create_feature_table(df, name, buckets, (layout or TABLE_LAYOUT).get(name), path)
+    return list(features)
+
+
 def external_table(spark: SparkSession, name: str, path: str, temporary: bool = True) -> DataFrame:
     """A table over existing Parquet files."""
     if temporary:

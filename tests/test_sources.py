@@ -131,3 +131,29 @@ def test_column_catalog_and_required_columns(spark):
     assert [(r.column_name, r.data_type, r.ordinal_position) for r in cat] == [("rating", "int", 1), ("text", "string", 2)]
     req = {r.column_name: r.present for r in require_columns(spark, df, {"rating": "trends", "asin": "linking"}).collect()}
     assert req == {"rating": True, "asin": False}
+
+
+def test_sample_csv_and_replace_table(spark, tmp_path):
+    df = spark.range(0, 50).selectExpr("id", "cast(id % 7 as string) as k")
+    writers.export_sample_csv(df, str(tmp_path / "sample"), n=10, order_by=["id"])
+    back = spark.read.option("header", True).csv(str(tmp_path / "sample"))
+    assert back.count() == 10 and sorted(int(r.id) for r in back.collect()) == list(range(10))
+    writers.replace_table(spark, "replaced_view", df)
+    writers.replace_table(spark, "replaced_view", df.limit(3))
+    assert spark.table("replaced_view").count() == 3
+    writers.replace_table(spark, "replaced_tbl", df, temporary=False)
+    writers.replace_table(spark, "replaced_tbl", df.filter("id < 5"), temporary=False)
+    assert spark.table("replaced_tbl").count() == 5
+
+
+def test_create_all_feature_tables(spark, tmp_path):
+    from revscope.plans.registry import Inputs
+
+    i = Inputs(spark, "/root/testdata/sf0.001")
+    names = writers.create_feature_tables(
+        {"sentiment_trends": i.trends, "review_velocity": i.velocity}, buckets=4, base_path=str(tmp_path / "tables")
+    )
+    assert names == ["sentiment_trends", "review_velocity"]
+    assert spark.table("review_velocity").count() == i.velocity.count()
+    detail = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED review_velocity").collect()}
+    assert "parent_asin" in detail.get("Bucket Columns", "")
