@@ -54,25 +54,40 @@ def attach_products(reviews: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def add_review_columns(df: DataFrame, detailed_min_length: int = labels.DETAILED_MIN_LENGTH) -> DataFrame:
-    """Derived review columns: date, month, price parse and tier, sentiment,
-    text length and the detailed-review flag (X1-X11)."""
+    """Columns that depend on the review alone: date, month, sentiment, text
+    length and the detailed-review flag (X1-X4, X8, X11)."""
     return (
         df.withColumn("review_date", dates.review_date("timestamp"))
         .withColumn("review_year_month", dates.year_month("review_date"))
-        .withColumn("price_numeric", labels.price_numeric("price"))
-        .withColumn("price_tier", labels.price_tier("price_numeric"))
         .withColumn("sentiment", labels.sentiment("rating"))
         .withColumn("review_length", text_length("text"))
         .withColumn("is_detailed_review", labels.is_detailed("review_length", detailed_min_length))
     )
 
 
+def add_product_columns(dim: DataFrame) -> DataFrame:
+    """Columns that depend on the product alone: parsed price and tier."""
+    return dim.withColumn("price_numeric", labels.price_numeric("price")).withColumn(
+        "price_tier", labels.price_tier("price_numeric")
+    )
+
+
 def prepare(reviews: DataFrame, products: DataFrame, product_extra: dict[str, str] | None = None) -> DataFrame:
-    """Reviews enriched with product metadata (E2).  Metadata is not
-    de-duplicated: a duplicated ``parent_asin`` multiplies its reviews, as in
-    the original job; ``quality.duplicate_products`` reports such ids."""
-    dim = product_dim(sampled_products(products, reviews), product_extra)
-    return add_review_columns(attach_products(reviews, dim))
+    """Reviews enriched with product metadata.
+
+    Review-only columns are derived before the join (so the review text can
+    be dropped before it when no later step needs it) and the price is
+    parsed once per product on the dimension side instead of once per
+    review; a review without metadata gets the 'Unknown' tier, exactly as
+    the NULL-price rule gives.  The dimension is restricted to reviewed
+    products with a semi join against the de-duplicated review keys, which
+    keeps it small enough for AQE to broadcast whenever the reviewed set is
+    small.  Metadata is not de-duplicated: a duplicated ``parent_asin``
+    multiplies its reviews, as in the original job;
+    ``quality.duplicate_products`` reports such ids."""
+    dim = add_product_columns(product_dim(sampled_products(products, reviews), product_extra))
+    enriched = attach_products(add_review_columns(reviews), dim)
+    return enriched.withColumn("price_tier", F.coalesce(F.col("price_tier"), F.lit(labels.PRICE_TIERS[0])))
 
 
 def match_rate(reviews: DataFrame, products: DataFrame) -> DataFrame:
