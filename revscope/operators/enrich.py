@@ -45,12 +45,69 @@ def product_dim(products: DataFrame, extra: dict[str, str] | None = None) -> Dat
     return products.select(*cols)
 
 
-def attach_products(reviews: DataFrame, dim: DataFrame) -> DataFrame:
+# ---- skew handling parameters ----
+HOT_KEY_FRACTION = 0.01      # a product with >= 1% of all reviews is a hot key (so at most 100 of them)
+ROWS_PER_SALT = 2_000_000    # target review rows per salted join partition of a hot key
+# ----
+
+
+def review_key_counts(reviews: DataFrame) -> DataFrame:
+    """Reviews per product id (NULL ids included as one group).  Partial
+    aggregation map-side: a hot id costs one row per task."""
+    return reviews.groupBy("parent_asin").agg(F.count(F.lit(1)).alias("review_rows"))
+
+
+def hot_products(
+    counts: DataFrame, fraction: float = HOT_KEY_FRACTION, rows_per_salt: int = ROWS_PER_SALT
+) -> DataFrame:
+    """Product ids holding at least ``fraction`` of all reviews and more than
+    ``rows_per_salt`` of them, with the number of salt buckets each needs.
+    At most ``1 / fraction`` rows by construction, so safe to broadcast."""
+    total = counts.select(F.sum("review_rows")).scalar()
+    return counts.filter(
+        F.col("parent_asin").isNotNull()
+        & (F.col("review_rows") >= total * fraction)
+        & (F.col("review_rows") > rows_per_salt)
+    ).select("parent_asin", F.ceil(F.col("review_rows") / rows_per_salt).cast("int").alias("salts"))
+
+
+def attach_products(reviews: DataFrame, dim: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Left outer join (J3): a review without metadata survives with NULL
     product columns.  Spark picks broadcast vs. shuffle from the dimension's
-    measured size (AQE); a hot product key in the shuffled case is split by
-    AQE's skew-join handling, which supports the left side of a left join."""
-    return reviews.join(dim, on="parent_asin", how="left").withColumnRenamed("title", "review_title")
+    measured size (AQE).  When ``hot`` keys are given, their reviews are
+    spread over ``salts`` buckets (round-robin by row id) and only their
+    dimension rows are replicated once per bucket; the join runs on
+    (key, bucket), so a product holding a third of all reviews is split over
+    many tasks.  Every review still meets exactly its product's dimension
+    rows, so the result does not depend on the bucket a review lands in."""
+    if hot is None:
+        joined = reviews.join(dim, on="parent_asin", how="left")
+    else:
+        h = F.broadcast(hot.select("parent_asin", "salts"))
+        salted = (
+            reviews.join(h, on="parent_asin", how="left")
+            .withColumn(
+                "_salt",
+                F.when(F.col("salts").isNotNull(), F.pmod(F.monotonically_increasing_id(), F.col("salts")))
+                .otherwise(F.lit(0))
+                .cast("int"),
+            )
+            .drop("salts")
+        )
+        replicated = (
+            dim.join(h, on="parent_asin", how="left")
+            .withColumn(
+                "_salt",
+                F.explode(
+                    F.when(F.col("salts").isNotNull(), F.sequence(F.lit(0), F.col("salts") - 1)).otherwise(
+                        F.array(F.lit(0))
+                    )
+                ),
+            )
+            .drop("salts")
+        )
+        joined = salted.join(replicated, on=["parent_asin", "_salt"], how="left").drop("_salt")
+    return joined.withColumnRenamed("title", "review_title")
 
 
 def add_review_columns(df: DataFrame, detailed_min_length: int = labels.DETAILED_MIN_LENGTH) -> DataFrame:
@@ -72,21 +129,33 @@ def add_product_columns(dim: DataFrame) -> DataFrame:
     )
 
 
-def prepare(reviews: DataFrame, products: DataFrame, product_extra: dict[str, str] | None = None) -> DataFrame:
+def prepare(
+    reviews: DataFrame,
+    products: DataFrame,
+    product_extra: dict[str, str] | None = None,
+    hot_fraction: float = HOT_KEY_FRACTION,
+    rows_per_salt: int = ROWS_PER_SALT,
+) -> DataFrame:
     """Reviews enriched with product metadata.
 
-    Review-only columns are derived before the join (so the review text can
-    be dropped before it when no later step needs it) and the price is
-    parsed once per product on the dimension side instead of once per
-    review; a review without metadata gets the 'Unknown' tier, exactly as
-    the NULL-price rule gives.  The dimension is restricted to reviewed
-    products with a semi join against the de-duplicated review keys, which
-    keeps it small enough for AQE to broadcast whenever the reviewed set is
-    small.  Metadata is not de-duplicated: a duplicated ``parent_asin``
-    multiplies its reviews, as in the original job;
-    ``quality.duplicate_products`` reports such ids."""
-    dim = add_product_columns(product_dim(sampled_products(products, reviews), product_extra))
-    enriched = attach_products(add_review_columns(reviews), dim)
+    * The dimension is restricted to reviewed products (J1) with a semi join
+      against the per-product review counts, which keeps it small enough
+      for AQE to broadcast whenever the reviewed set is small.  The same
+      counts name the hot products whose join is salted (see
+      ``attach_products``).
+    * Review-only columns are derived before the join (so the review text
+      can be dropped before it when no later step needs it) and the price is
+      parsed once per product on the dimension side instead of once per
+      review; a review without metadata gets the 'Unknown' tier, exactly as
+      the NULL-price rule gives.
+    * Metadata is not de-duplicated: a duplicated ``parent_asin`` multiplies
+      its reviews, as in the original job; ``quality.duplicate_products``
+      reports such ids."""
+    counts = review_key_counts(reviews)
+    sampled = products.join(counts.select("parent_asin"), on="parent_asin", how="left_semi")
+    dim = add_product_columns(product_dim(sampled, product_extra))
+    hot = hot_products(counts, hot_fraction, rows_per_salt)
+    enriched = attach_products(add_review_columns(reviews), dim, hot)
     return enriched.withColumn("price_tier", F.coalesce(F.col("price_tier"), F.lit(labels.PRICE_TIERS[0])))
 
 
