@@ -152,7 +152,11 @@ def prepare(
       its reviews, as in the original job; ``quality.duplicate_products``
       reports such ids."""
     counts = review_key_counts(reviews)
-    sampled = products.join(counts.select("parent_asin"), on="parent_asin", how="left_semi")
+    # `review_rows > 0` always holds; referencing the count keeps this use of
+    # the per-product counts identical to the hot-key one, so Spark computes
+    # the counts shuffle once and reuses it for both
+    reviewed = counts.filter(F.col("review_rows") > 0).select("parent_asin")
+    sampled = products.join(reviewed, on="parent_asin", how="left_semi")
     dim = add_product_columns(product_dim(sampled, product_extra))
     hot = hot_products(counts, hot_fraction, rows_per_salt)
     enriched = attach_products(add_review_columns(reviews), dim, hot)

@@ -38,10 +38,14 @@ FEATURE_INPUT_COLUMNS = [
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    """Remove a folder this job wrote, through the cluster file system."""
-    jvm = spark.sparkContext._jvm
-    fs_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(fs_path, True)
+    """Remove a folder this job wrote, through the cluster file system; left
+    in place (inside the checkpoint folder) when no JVM gateway is available."""
+    try:
+        jvm = spark.sparkContext._jvm
+        fs_path = jvm.org.apache.hadoop.fs.Path(path)
+        fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(fs_path, True)
+    except Exception:  # noqa: BLE001
+        pass
 
 
 def materialize(df: DataFrame, mode: str, spark: SparkSession, label: str = "enriched") -> tuple[DataFrame, callable]:

@@ -46,5 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str = FALLBACK_CHECKPOI
     if not current:
         current = fallback
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    try:
+        spark.sparkContext.setCheckpointDir(current)
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+        pass
     return current

@@ -17,9 +17,13 @@ def spread(df: DataFrame, min_partitions: int | None) -> DataFrame:
     than ``min_partitions``, spread the rows round-robin so the rest of the
     job is not serialised behind a few huge tasks; a scan that is already
     wide (the normal case on a cluster) is left alone."""
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        return df.repartition(min_partitions)
-    return df
+    if not min_partitions:
+        return df
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave the scan as it is
+        return df
+    return df.repartition(min_partitions) if current < min_partitions else df
 
 
 def read_reviews(

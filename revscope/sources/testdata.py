@@ -19,6 +19,13 @@ from revscope.schemas import PRODUCTS_FULL, REVIEWS, conform
 from revscope.sources.readers import spread
 
 
+def _parallelism(spark: SparkSession) -> int | None:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+        return None
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -30,7 +37,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # a single-file table splits only by row groups: widen the narrow key
     # columns before the text join so the text work uses every core
-    li = spread(li, spark.sparkContext.defaultParallelism)
+    li = spread(li, _parallelism(spark))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     n_docs = docs.select(F.count(F.lit(1))).scalar()
