@@ -40,14 +40,18 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str = FALLBACK_CHECKPOINT_DIR) -> str:
-    """Return the cluster's shared checkpoint folder, setting ``fallback`` only
-    when the session names none (local runs and tests)."""
+    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``,
+    else the context's checkpoint folder).  Only when neither is named (local
+    runs and tests) is ``fallback`` installed on the context."""
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = fallback
-        spark.conf.set("spark.checkpoint.dir", current)
+    if current:
+        return current
     try:
-        spark.sparkContext.setCheckpointDir(current)
+        sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
-        pass
-    return current
+        return fallback
+    existing = sc.getCheckpointDir()
+    if existing:
+        return existing
+    sc.setCheckpointDir(fallback)
+    return fallback

@@ -157,3 +157,10 @@ def test_create_all_feature_tables(spark, tmp_path):
     assert spark.table("review_velocity").count() == i.velocity.count()
     detail = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED review_velocity").collect()}
     assert "parent_asin" in detail.get("Bucket Columns", "")
+
+
+def test_checkpoint_dir_comes_from_the_session(spark):
+    from revscope.session import ensure_checkpoint_dir
+
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert ensure_checkpoint_dir(spark, fallback="/nonexistent-fallback") == named
