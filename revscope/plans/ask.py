@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,9 +24,16 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> list[st
     return list(tables)
 
 
-def ask_sql(spark: SparkSession, tables: dict[str, DataFrame], sql: str) -> DataFrame:
+QUERY_STATEMENT = re.compile(r"^\s*(?:--[^\n]*\n\s*|/\*.*?\*/\s*)*\(*\s*(select|with|values|table|from)\b", re.I | re.S)
+
+
+def ask_sql(spark: SparkSession, tables: dict[str, DataFrame], sql: str, read_only: bool = True) -> DataFrame:
     """Run one query over the registered tables (Q1).  The text goes through
-    Spark's parser and Catalyst like any SQL; joins, subqueries and CTEs work."""
+    Spark's parser and Catalyst like any SQL; joins, subqueries and CTEs work.
+    ``spark.sql`` runs DDL/DML statements immediately, so by default only
+    query statements are accepted (the first keyword is checked)."""
+    if read_only and not QUERY_STATEMENT.match(sql):
+        raise ValueError("only query statements (SELECT/WITH/VALUES/TABLE) are accepted")
     register_views(spark, tables)
     return spark.sql(sql)
 

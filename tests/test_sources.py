@@ -164,3 +164,16 @@ def test_checkpoint_dir_comes_from_the_session(spark):
 
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     assert ensure_checkpoint_dir(spark, fallback="/nonexistent-fallback") == named
+
+
+def test_ask_sql_accepts_queries_only(spark):
+    import pytest
+
+    from revscope.plans.ask import ask_sql
+
+    df = spark.createDataFrame([(1,)], "x int")
+    assert ask_sql(spark, {"t_ro": df}, "-- note\n  WITH a AS (SELECT x FROM t_ro) SELECT * FROM a").count() == 1
+    assert ask_sql(spark, {"t_ro": df}, "/* c */ (SELECT x FROM t_ro)").count() == 1
+    for bad in ("DROP TABLE t_ro", "INSERT INTO t_ro VALUES (2)", "CREATE TABLE z AS SELECT 1"):
+        with pytest.raises(ValueError):
+            ask_sql(spark, {"t_ro": df}, bad)
