@@ -41,19 +41,31 @@ def read_products(
     return spread(spark.read.schema(schema).json(path), min_partitions)
 
 
-def read_products_tolerant(spark: SparkSession, path: str, schema: StructType = PRODUCTS_FULL) -> DataFrame:
+def read_products_tolerant(
+    spark: SparkSession, path: str, schema: StructType = PRODUCTS_FULL, infer: bool = False
+) -> DataFrame:
     """PERMISSIVE read (S3): lines that do not parse keep their raw text in
-    ``_corrupt_record`` and NULL fields instead of failing the job; fields
-    absent from the declared schema are ignored, so malformed or duplicated
-    keys in extra fields cannot break the read."""
-    with_corrupt = StructType(schema.fields + [StructField(CORRUPT_COLUMN, StringType(), True)])
-    return (
-        spark.read.schema(with_corrupt)
-        .option("mode", "PERMISSIVE")
+    ``_corrupt_record`` and NULL fields instead of failing the job.
+
+    By default the declared schema is used (no inference pass over the
+    input; fields absent from it are ignored, so malformed or duplicated
+    keys in extra fields cannot break the read).  ``infer=True`` first lets
+    Spark infer the schema and falls back to the declared one when inference
+    fails, e.g. on keys that collide case-insensitively."""
+    reader = (
+        spark.read.option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         .option("multiLine", "false")
-        .json(path)
     )
+    if infer:
+        try:
+            inferred = reader.json(path)
+            inferred.schema  # forces inference and the duplicate-column check
+            return inferred
+        except Exception:  # noqa: BLE001 - fall back to the declared schema
+            pass
+    with_corrupt = StructType(schema.fields + [StructField(CORRUPT_COLUMN, StringType(), True)])
+    return reader.schema(with_corrupt).json(path)
 
 
 def read_feature_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

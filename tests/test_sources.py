@@ -177,3 +177,15 @@ def test_ask_sql_accepts_queries_only(spark):
     for bad in ("DROP TABLE t_ro", "INSERT INTO t_ro VALUES (2)", "CREATE TABLE z AS SELECT 1"):
         with pytest.raises(ValueError):
             ask_sql(spark, {"t_ro": df}, bad)
+
+
+def test_tolerant_read_falls_back_when_inference_fails(spark, tmp_path):
+    path = tmp_path / "dup.jsonl"
+    path.write_text('{"parent_asin": "P1", "title": "A", "details": {"Color": "red", "color": "blue"}}\n')
+    ok = tmp_path / "ok.jsonl"
+    ok.write_text('{"parent_asin": "P2", "title": "B", "extra": 1}\n')
+    inferred = readers.read_products_tolerant(spark, str(ok), infer=True)
+    assert "extra" in inferred.columns
+    fallback = readers.read_products_tolerant(spark, str(path), infer=True)
+    assert "details" in fallback.columns and "_corrupt_record" in fallback.columns
+    assert fallback.select("parent_asin").first().parent_asin == "P1"
