@@ -26,9 +26,37 @@ from revscope.operators.sentiment import sentiment_trends
 from revscope.operators.success import success_prediction
 from revscope.operators.velocity import velocity_analysis
 from revscope.session import ensure_checkpoint_dir, ensure_utc
-from revscope.sources.readers import read_products, read_reviews
+from revscope.sources.readers import input_files, input_totals, read_products, read_reviews
 from revscope.sources.writers import write_feature
 
+# ---- shuffle sizing defaults ----
+SHUFFLE_TARGET_BYTES = 256 * 1024 * 1024   # bytes of (decompressed) input per initial shuffle partition
+INPUT_EXPANSION = 6                         # decompressed / stored size of gzip JSON
+# ----
+
+
+def size_shuffle_partitions(
+    spark: SparkSession,
+    paths: list[str],
+    target_bytes: int = SHUFFLE_TARGET_BYTES,
+    expansion: float = INPUT_EXPANSION,
+) -> int:
+    """Set ``spark.sql.shuffle.partitions`` from the measured input size.
+
+    With AQE the setting is the *initial* partition count, which AQE then
+    coalesces; it is never split, so on a large input it must be large
+    enough that each partition fits comfortably in an executor.  The count
+    is raised to ``ceil(total_bytes * expansion / target_bytes)`` and never
+    lowered below the current value."""
+    total = 0
+    for path in paths:
+        total += input_totals(input_files(spark, path)).first().total_bytes or 0
+    wanted = max(1, -(-int(total * expansion) // target_bytes))
+    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    chosen = max(current, wanted)
+    spark.conf.set("spark.sql.shuffle.partitions", str(chosen))
+    return chosen
+
 # Columns of the enriched reviews that the four feature builders read.
 FEATURE_INPUT_COLUMNS = [
     "parent_asin", "product_title", "store", "main_category", "price_tier", "user_id", "rating",
@@ -101,12 +129,19 @@ def run_pipeline(
     mode: str = "table",
     min_partitions: int | None = None,
     success_kwargs: dict | None = None,
+    size_shuffles: bool = True,
 ) -> dict:
-    """Load JSON inputs, enrich, build and write the four tables."""
+    """Load JSON inputs, enrich, build and write the four tables.
+    ``size_shuffles`` sets the initial shuffle partition count from the
+    input size (see ``size_shuffle_partitions``)."""
     ensure_utc(spark)
     started = time.time()
+    shuffle_partitions = (
+        size_shuffle_partitions(spark, [reviews_path, products_path]) if size_shuffles else None
+    )
     reviews = read_reviews(spark, reviews_path, min_partitions=min_partitions)
     products = read_products(spark, products_path, min_partitions=min_partitions)
     report = build_features(prepare(reviews, products), spark, target.rstrip("/"), mode, success_kwargs)
+    report["shuffle_partitions"] = shuffle_partitions
     report["elapsed_seconds"] = round(time.time() - started, 3)
     return report

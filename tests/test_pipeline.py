@@ -36,3 +36,19 @@ def test_pipeline_matches_registered_queries(spark, tmp_path):
             assert got.dtypes == expected.dtypes, name
             assert _frame_rows(got) == _frame_rows(expected), name
         json.dumps(report)
+
+
+def test_shuffle_partitions_sized_from_input(spark, tmp_path):
+    from revscope.plans.pipeline import size_shuffle_partitions
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("x" * 10_000)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        n = size_shuffle_partitions(spark, [str(tmp_path / "in")], target_bytes=1_000, expansion=2)
+        assert n == 20 and spark.conf.get("spark.sql.shuffle.partitions") == "20"
+        # never lowered
+        assert size_shuffle_partitions(spark, [str(tmp_path / "in")], target_bytes=10**9) == 20
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
