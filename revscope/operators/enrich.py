@@ -75,7 +75,8 @@ def attach_products(reviews: DataFrame, dim: DataFrame, hot: DataFrame | None =
     """Left outer join (J3): a review without metadata survives with NULL
     product columns.  Spark picks broadcast vs. shuffle from the dimension's
     measured size (AQE).  When ``hot`` keys are given, their reviews are
-    spread over ``salts`` buckets (round-robin by row id) and only their
+    spread over ``salts`` buckets (by a hash of the row and its input
+    partition) and only their
     dimension rows are replicated once per bucket; the join runs on
     (key, bucket), so a product holding a third of all reviews is split over
     many tasks.  Every review still meets exactly its product's dimension
@@ -84,13 +85,16 @@ def attach_products(reviews: DataFrame, dim: DataFrame, hot: DataFrame | None =
         joined = reviews.join(dim, on="parent_asin", how="left")
     else:
         h = F.broadcast(hot.select("parent_asin", "salts"))
+        # The bucket is a pure function of the row and of its input partition
+        # index, so a task recomputed after an executor loss reproduces it
+        # exactly; copies of one review in different input partitions still
+        # land in different buckets.  Only hot-product rows are hashed.
+        row_hash = F.xxhash64(*[F.col(c) for c in reviews.columns], F.spark_partition_id())
         salted = (
             reviews.join(h, on="parent_asin", how="left")
             .withColumn(
                 "_salt",
-                F.when(F.col("salts").isNotNull(), F.pmod(F.monotonically_increasing_id(), F.col("salts")))
-                .otherwise(F.lit(0))
-                .cast("int"),
+                F.when(F.col("salts").isNotNull(), F.pmod(row_hash, F.col("salts"))).otherwise(F.lit(0)).cast("int"),
             )
             .drop("salts")
         )
