@@ -39,10 +39,11 @@ def top_products(counts: DataFrame, k: int = TOP_PRODUCTS) -> DataFrame:
 def label_top_products(counts: DataFrame, products: DataFrame, k: int = TOP_PRODUCTS) -> DataFrame:
     """Top-k products labelled with title and store, falling back to the id
     when metadata is missing (J5).  The lookup side is cut to the k ids first
-    (semi join), so the label aggregation only touches k products."""
+    (semi join against the broadcast k-row list), so the label aggregation
+    only touches k products."""
     top = top_products(counts, k)
     labels = (
-        products.join(top.select("parent_asin"), on="parent_asin", how="left_semi")
+        products.join(F.broadcast(top.select("parent_asin")), on="parent_asin", how="left_semi")
         .groupBy("parent_asin")
         .agg(F.min("title").alias("title"), F.min("store").alias("store"))
     )
