@@ -45,7 +45,7 @@ def test_tolerant_products_and_load_errors(spark, tmp_path):
 
 
 def test_feature_csv_round_trip_with_quotes(spark, tmp_path):
-    rows = [("B010", 'Fire Tablet with Alexa, 7" Display', "Amazon", 81.74, "Average Performer", 77.35, 1.29, 95.13, 18.04, 6.15),
+    rows = [("B010", 'Tablet with stand, 7" Display', "Acme", 81.74, "Average Performer", 77.35, 1.29, 95.13, 18.04, 6.15),
             ("B075", "Plain", None, None, "Underperformer", 10.0, None, 50.0, 1.0, 0.5)]
     df = spark.createDataFrame(rows, SUCCESS_PREDICTION)
     src, dst = tmp_path / "pq", tmp_path / "csv"
@@ -54,7 +54,7 @@ def test_feature_csv_round_trip_with_quotes(spark, tmp_path):
     back = readers.read_feature_csv(spark, str(dst), SUCCESS_PREDICTION)
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
     text = "".join(p.read_text() for p in dst.glob("*.csv"))
-    assert '"Fire Tablet with Alexa, 7"" Display"' in text
+    assert '"Tablet with stand, 7"" Display"' in text
 
 
 def test_export_all_reports_failures(spark, tmp_path):

@@ -11,11 +11,11 @@ from tests.fixtures import ms, product, products_df, review, reviews_df
 
 def test_report_contains_is_case_sensitive_but_exclusion_is_not(spark):
     reviews = reviews_df(spark, [review("P1", 1.0, ms(2020, 1, 1)), review("P2", 1.0, ms(2020, 1, 1))])
-    products = products_df(spark, [product("P1", "Echo Dot"), product("P2", "echo dot", store="AMAZON basics")])
+    products = products_df(spark, [product("P1", "Widget Pro"), product("P2", "widget pro", store="ACME basics")])
     enriched = enrich.prepare(reviews, products)
-    got = [r.parent_asin for r in theme.example_reviews(enriched, "Echo Dot", "Negative", None).collect()]
+    got = [r.parent_asin for r in theme.example_reviews(enriched, "Widget Pro", "Negative", None).collect()]
     assert got == ["P1"]  # T17: reports match case-sensitively
-    kept = [r.parent_asin for r in profile.exclude_store(products, "amazon").collect()]
+    kept = [r.parent_asin for r in profile.exclude_store(products, "acme").collect()]
     assert kept == ["P1"]  # the sampler's exclusion ignores case
 
 
