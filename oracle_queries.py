@@ -356,7 +356,8 @@ _FINAL: dict[str, str] = {
                parent_asin, title, rating_number, store
         FROM rk WHERE rank_in_category <= 5""",
     "last_turns": """SELECT conv_id, turn, role, text FROM (
-        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rn FROM conversations)
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role NULLS FIRST, text NULLS FIRST) AS rn
+        FROM conversations)
         WHERE rn <= 3""",
     "sample_reviews": f"SELECT * FROM {_samples('enriched')}",
     "example_reviews": """SELECT parent_asin, product_title, review_title, text, rating, helpful_vote FROM enriched
@@ -370,11 +371,14 @@ _FINAL: dict[str, str] = {
         ORDER BY review_count DESC, parent_asin, product_title NULLS FIRST, store NULLS FIRST LIMIT 10""",
     "top_satisfaction": """SELECT parent_asin, product_title, store, total_reviews, avg_rating, satisfaction_rate,
         negative_rate FROM competitive_analysis WHERE total_reviews >= 25
-        ORDER BY satisfaction_rate DESC NULLS LAST, parent_asin, price_tier NULLS FIRST LIMIT 10""",
+        ORDER BY satisfaction_rate DESC NULLS LAST, parent_asin, product_title NULLS FIRST, store NULLS FIRST,
+                 main_category NULLS FIRST, price_tier NULLS FIRST LIMIT 10""",
     "top_success": """SELECT parent_asin, product_title, store, success_score, satisfaction_rate, review_velocity,
-        success_category FROM success_prediction ORDER BY success_score DESC NULLS LAST, parent_asin LIMIT 5""",
+        success_category FROM success_prediction
+        ORDER BY success_score DESC NULLS LAST, parent_asin, product_title NULLS FIRST, store NULLS FIRST LIMIT 5""",
     "bottom_success": """SELECT parent_asin, product_title, store, success_score, satisfaction_rate, success_category
-        FROM success_prediction ORDER BY success_score ASC NULLS FIRST, parent_asin LIMIT 5""",
+        FROM success_prediction
+        ORDER BY success_score ASC NULLS FIRST, parent_asin, product_title NULLS FIRST, store NULLS FIRST LIMIT 5""",
     "top_brands": """SELECT * FROM brand_performance ORDER BY total_reviews DESC, store NULLS FIRST LIMIT 15""",
     "top_categories": """SELECT main_category, count(*) AS product_count FROM sampled GROUP BY 1
         ORDER BY product_count DESC, main_category NULLS FIRST LIMIT 10""",
@@ -424,10 +428,12 @@ _FINAL: dict[str, str] = {
         SELECT store, products, avg_success_score, CAST(surging_months AS BIGINT) AS surging_months FROM ({ASK})""",
     "top_by_satisfaction": """SELECT parent_asin, product_title, store, total_reviews, avg_rating, satisfaction_rate,
         negative_rate FROM competitive_analysis
-        ORDER BY satisfaction_rate DESC NULLS LAST, parent_asin, price_tier NULLS FIRST LIMIT 5""",
+        ORDER BY satisfaction_rate DESC NULLS LAST, parent_asin, product_title NULLS FIRST, store NULLS FIRST,
+                 main_category NULLS FIRST, price_tier NULLS FIRST LIMIT 5""",
     "feedback_for_top_rated": f"""
         , top AS (SELECT parent_asin, product_title, store, avg_rating, total_reviews FROM competitive_analysis
-                  ORDER BY avg_rating DESC NULLS LAST, total_reviews DESC, parent_asin, price_tier NULLS FIRST LIMIT 5)
+                  ORDER BY avg_rating DESC NULLS LAST, total_reviews DESC, parent_asin, product_title NULLS FIRST,
+                           store NULLS FIRST, main_category NULLS FIRST, price_tier NULLS FIRST LIMIT 5)
         , top_reviews AS (SELECT * FROM enriched WHERE parent_asin IN (SELECT parent_asin FROM top))
         SELECT top.*, s.sample_reviews, s.sample_count
         FROM top LEFT JOIN {_samples('top_reviews')} s ON s.parent_asin = top.parent_asin""",

@@ -13,7 +13,9 @@ HISTORY_MESSAGES = 8
 def last_turns(conversations: DataFrame, n: int = HISTORY_MESSAGES) -> DataFrame:
     """``row_number() <= n`` over turns, newest first; Spark cuts each
     conversation to n rows per task before the shuffle (WindowGroupLimit)."""
-    newest_first = Window.partitionBy("conv_id").orderBy(F.desc("turn"))
+    newest_first = Window.partitionBy("conv_id").orderBy(
+        F.desc("turn"), F.asc_nulls_first("role"), F.asc_nulls_first("text")
+    )
     return (
         conversations.withColumn("rn", F.row_number().over(newest_first))
         .filter(F.col("rn") <= n)

@@ -21,7 +21,9 @@ def feedback_for_top_rated(competitive: DataFrame, enriched: DataFrame, k: int =
     average ratings joined to their sample review texts."""
     top = (
         competitive.orderBy(
-            F.desc_nulls_last("avg_rating"), F.desc("total_reviews"), F.asc("parent_asin"), F.asc_nulls_first("price_tier")
+            F.desc_nulls_last("avg_rating"), F.desc("total_reviews"), F.asc("parent_asin"),
+            F.asc_nulls_first("product_title"), F.asc_nulls_first("store"), F.asc_nulls_first("main_category"),
+            F.asc_nulls_first("price_tier"),
         )
         .limit(k)
         .select("parent_asin", "product_title", "store", "avg_rating", "total_reviews")

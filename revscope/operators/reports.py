@@ -35,7 +35,10 @@ def top_satisfaction(competitive: DataFrame, min_reviews: int | None = 1000, k:
     """Highest satisfaction among products with at least ``min_reviews`` (K6, Q3)."""
     df = competitive if min_reviews is None else competitive.filter(F.col("total_reviews") >= min_reviews)
     return (
-        df.orderBy(F.desc_nulls_last("satisfaction_rate"), F.asc("parent_asin"), F.asc_nulls_first("price_tier"))
+        df.orderBy(
+            F.desc_nulls_last("satisfaction_rate"), F.asc("parent_asin"), F.asc_nulls_first("product_title"),
+            F.asc_nulls_first("store"), F.asc_nulls_first("main_category"), F.asc_nulls_first("price_tier"),
+        )
         .limit(k)
         .select("parent_asin", "product_title", "store", "total_reviews", "avg_rating", "satisfaction_rate", "negative_rate")
     )
@@ -44,7 +47,9 @@ def top_satisfaction(competitive: DataFrame, min_reviews: int | None = 1000, k:
 def top_success(prediction: DataFrame, k: int = 5) -> DataFrame:
     """Best success scores (K7); NULL scores last."""
     return (
-        prediction.orderBy(F.desc_nulls_last("success_score"), F.asc("parent_asin"))
+        prediction.orderBy(
+            F.desc_nulls_last("success_score"), F.asc("parent_asin"), F.asc_nulls_first("product_title"), F.asc_nulls_first("store")
+        )
         .limit(k)
         .select("parent_asin", "product_title", "store", "success_score", "satisfaction_rate", "review_velocity", "success_category")
     )
@@ -54,7 +59,9 @@ def bottom_success(prediction: DataFrame, k: int = 5) -> DataFrame:
     """Lowest success scores (K7).  An ascending sort puts NULL scores (one
     rating, no stddev) first, as the published report does."""
     return (
-        prediction.orderBy(F.asc_nulls_first("success_score"), F.asc("parent_asin"))
+        prediction.orderBy(
+            F.asc_nulls_first("success_score"), F.asc("parent_asin"), F.asc_nulls_first("product_title"), F.asc_nulls_first("store")
+        )
         .limit(k)
         .select("parent_asin", "product_title", "store", "success_score", "satisfaction_rate", "success_category")
     )
