@@ -3,7 +3,7 @@ the registered queries."""
 
 import json
 
-from revscope.plans.pipeline import run_pipeline
+from revscope.plans.job import run_pipeline
 from revscope.plans.registry import SUCCESS_VOLUME, Inputs
 from tools.compare_oracle import rows_of
 
@@ -39,7 +39,7 @@ def test_pipeline_matches_registered_queries(spark, tmp_path):
 
 
 def test_shuffle_partitions_sized_from_input(spark, tmp_path):
-    from revscope.plans.pipeline import size_shuffle_partitions
+    from revscope.plans.job import size_shuffle_partitions
 
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text("x" * 10_000)
