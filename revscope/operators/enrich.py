@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 from revscope.functions import dates, labels
 from revscope.functions.text import text_length
 
-PRODUCT_DIM_COLUMNS = ("parent_asin", "product_title", "main_category", "store", "price", "features", "description")
-
-
 def distinct_products(reviews: DataFrame) -> DataFrame:
     """Distinct reviewed product ids (A29).  Map-side partial aggregation means
     a product holding a third of all reviews still ships one key per task."""
