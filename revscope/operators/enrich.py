@@ -68,6 +68,22 @@ def hot_products(
     ).select("parent_asin", F.ceil(F.col("review_rows") / rows_per_salt).cast("int").alias("salts"))
 
 
+def hot_products_from_metadata(
+    products: DataFrame, fraction: float = HOT_KEY_FRACTION, rows_per_salt: int = ROWS_PER_SALT
+) -> DataFrame:
+    """Hot products named from metadata alone (``rating_number`` as the
+    volume signal), for joins where review counts are not at hand, such as
+    a stream-static join.  Salting never changes a join's result, so an
+    imperfect signal only costs balance, never correctness.  At most
+    ``1 / fraction`` rows by construction."""
+    total = products.select(F.sum("rating_number")).scalar()
+    return products.filter(
+        F.col("parent_asin").isNotNull()
+        & (F.col("rating_number") >= total * fraction)
+        & (F.col("rating_number") > rows_per_salt)
+    ).select("parent_asin", F.ceil(F.col("rating_number") / rows_per_salt).cast("int").alias("salts")).distinct()
+
+
 def attach_products(reviews: DataFrame, dim: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Left outer join (J3): a review without metadata survives with NULL
     product columns.  Spark picks broadcast vs. shuffle from the dimension's

@@ -22,7 +22,13 @@ from pyspark.sql import functions as F
 
 from revscope.functions.labels import momentum
 from revscope.functions.numeric import round_half_up, smoothed_pct
-from revscope.operators.enrich import product_dim
+from revscope.operators.enrich import (
+    HOT_KEY_FRACTION,
+    ROWS_PER_SALT,
+    attach_products,
+    hot_products_from_metadata,
+    product_dim,
+)
 from revscope.schemas import REVIEW_VELOCITY, REVIEWS, conform
 
 MONTHLY_KEYS = ["parent_asin", "product_title", "store", "month_start"]
@@ -36,11 +42,21 @@ def read_review_stream(spark: SparkSession, path: str, fmt: str = "parquet", max
     return reader.load(path)
 
 
-def monthly_counts(reviews: DataFrame, products: DataFrame, lateness: str = "31 days") -> DataFrame:
-    """Finalised (product, month) counts of a review stream (append mode)."""
+def monthly_counts(
+    reviews: DataFrame,
+    products: DataFrame,
+    lateness: str = "31 days",
+    hot_fraction: float = HOT_KEY_FRACTION,
+    rows_per_salt: int = ROWS_PER_SALT,
+) -> DataFrame:
+    """Finalised (product, month) counts of a review stream (append mode).
+    The stream-static join salts products that the metadata names as hot
+    (see ``enrich.hot_products_from_metadata``), as the batch join does."""
     dim = product_dim(products).select("parent_asin", "product_title", "store")
-    events = reviews.join(dim, on="parent_asin", how="left").withColumn(
-        "month_start", F.date_trunc("month", F.timestamp_millis("timestamp"))
+    hot = hot_products_from_metadata(products, hot_fraction, rows_per_salt)
+    events = (
+        attach_products(reviews.select("parent_asin", "timestamp", "rating"), dim, hot)
+        .withColumn("month_start", F.date_trunc("month", F.timestamp_millis("timestamp")))
     )
     return (
         events.withWatermark("month_start", lateness)
@@ -103,10 +119,12 @@ def start_velocity_stream(
     checkpoint_path: str,
     lateness: str = "31 days",
     available_now: bool = False,
+    hot_fraction: float = HOT_KEY_FRACTION,
+    rows_per_salt: int = ROWS_PER_SALT,
 ):
     """Start the streaming query; returns the ``StreamingQuery``."""
     writer = (
-        monthly_counts(reviews, products, lateness)
+        monthly_counts(reviews, products, lateness, hot_fraction, rows_per_salt)
         .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint_path)
         .foreachBatch(velocity_sink(output_path))

@@ -19,8 +19,10 @@ def test_stream_matches_batch_for_final_months(spark, tmp_path):
     for (y,) in years.select("y").distinct().orderBy("y").collect():
         years.filter(F.col("y") == y).drop("y").coalesce(1).write.mode("append").parquet(str(src))
     stream = read_review_stream(spark, str(src), max_files_per_trigger=1)
+    # rows_per_salt=1 with fraction 0.004: the highest-rated products are salted in the stream-static join
     query = start_velocity_stream(
-        stream, i.products, str(tmp_path / "velocity"), str(tmp_path / "chk"), lateness="0 seconds", available_now=True
+        stream, i.products, str(tmp_path / "velocity"), str(tmp_path / "chk"), lateness="0 seconds",
+        available_now=True, hot_fraction=0.004, rows_per_salt=1,
     )
     query.awaitTermination(300)
     assert query.exception() is None
