@@ -78,3 +78,14 @@ def test_hot_key_list_is_bounded(spark):
     counts = enrich.review_key_counts(reviews)
     # at most 1 / fraction keys can hold a fraction of the rows each
     assert enrich.hot_products(counts, fraction=0.001, rows_per_salt=0).count() <= 1000
+
+
+def test_metadata_hot_list_is_bounded_and_skips_small_or_null(spark):
+    from revscope.schemas import PRODUCTS
+
+    rows = [("P1", "t", "c", "s", "$1", [], [], 4.0, 900), ("P2", "t", "c", "s", "$1", [], [], 4.0, 90),
+            (None, "t", "c", "s", "$1", [], [], 4.0, 5000), ("P3", "t", "c", "s", "$1", [], [], 4.0, 10)]
+    products = spark.createDataFrame(rows, PRODUCTS)
+    hot = {r.parent_asin: r.salts for r in enrich.hot_products_from_metadata(products, 0.05, 100).collect()}
+    assert hot == {"P1": 9}  # P2 is under rows_per_salt, P3 under the fraction, the NULL id is never hot
+    assert enrich.hot_products_from_metadata(products, 0.5, 0).count() <= 2
