@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from revscope.llm import exact_dedup
+from revscope.llm.bpe import bpe_digests
 from revscope.llm.packing import pack
+from revscope.llm.secret_scan import secret_spans
 from revscope.llm.token_files import token_files
 
 
@@ -19,13 +22,31 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_spans(_table(spark, sf_dir, "documents"))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe_digests(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_exact_dedup": op2_exact_dedup,
+    "op3_secret_scan": op3_secret_scan,
     "op7_token_files": op7_token_files,
+    "op9_bpe": op9_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_exact_dedup": exact_dedup.ORACLE,
+}
