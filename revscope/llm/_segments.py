@@ -49,7 +49,7 @@ class Vocabulary:
     next lookup starts anew, so memory is bounded by ``most`` and one batch.
     """
 
-    def __init__(self, encode: Callable, most: int = 600_000, dtype=np.uint16):
+    def __init__(self, encode: Callable, most: int = 300_000, dtype=np.uint16):
         self.encode, self.most, self.dtype = encode, most, dtype
         self._clear()
 

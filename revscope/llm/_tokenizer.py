@@ -22,7 +22,7 @@ def byte_lengths(tokens: dict[str, int]) -> np.ndarray:
 
 
 @cache
-def vocabulary(path: str, most: int = 600_000) -> Vocabulary:
+def vocabulary(path: str, most: int = 300_000) -> Vocabulary:
     """The vocabulary file's encoder; kept by the worker for its later tasks."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer

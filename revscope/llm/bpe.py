@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from revscope.llm._common import pick, ship
 
-SLICE_BYTES = 24 << 20
+SLICE_BYTES = 6 << 20
 SPREAD = 1 << 32
 
 

@@ -34,7 +34,7 @@ from revscope.llm._common import pick, ship
 CAPACITY = 1024
 PIECE = 128
 BLOCK = 4096
-SLICE_BYTES = 24 << 20
+SLICE_BYTES = 6 << 20
 END_ID = 0
 
 PIECES = (

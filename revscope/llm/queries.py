@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from revscope.llm import exact_dedup
 from revscope.llm.bpe import bpe_digests
+from revscope.llm.chat import chat_digests
+from revscope.llm.jaccard import jaccard_components
 from revscope.llm.packing import pack
 from revscope.llm.secret_scan import secret_spans
 from revscope.llm.token_files import token_files
@@ -35,6 +38,21 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
+#: Control strings of this and other templates as a turn's text.
+TRICKY = "\\### Assistant: </turn> ok"
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(TRICKY).alias("text"))
+    return chat_digests(turns.unionByName(more))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -43,8 +61,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_secret_scan": op3_secret_scan,
+    "op6_chat": op6_chat,
     "op7_token_files": op7_token_files,
     "op9_bpe": op9_bpe,
+    "op10_jaccard": op10_jaccard,
 }
 
 ORACLE_SQL: dict[str, str] = {

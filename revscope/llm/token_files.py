@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from revscope.llm._common import new_folder, pick, ship, staged
 
 END_ID = 0
-SLICE_BYTES = 24 << 20
+SLICE_BYTES = 6 << 20
 BLOCK_IDS = 1 << 19
 BLOCKS_A_FILE = 16
 MAGIC = b"LTK1"
