@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from revscope.llm import exact_dedup
 from revscope.llm.bpe import bpe_digests
 from revscope.llm.chat import chat_digests
+from revscope.llm.fingerprints import fingerprints
 from revscope.llm.jaccard import jaccard_components
 from revscope.llm.packing import pack
 from revscope.llm.secret_scan import secret_spans
@@ -33,6 +34,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(_table(spark, sf_dir, "documents"))
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe_digests(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_secret_scan": op3_secret_scan,
+    "op4_fingerprints": op4_fingerprints,
     "op6_chat": op6_chat,
     "op7_token_files": op7_token_files,
     "op9_bpe": op9_bpe,
