@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revscope.llm import exact_dedup
+from revscope.llm import exact_dedup, language, toxicity
 from revscope.llm.bpe import bpe_digests
 from revscope.llm.chat import chat_digests
 from revscope.llm.fingerprints import fingerprints
@@ -38,6 +38,22 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def _fold(of: int):
+    """The fold of a document, by its id alone; null ids are in fold 0's place -1."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(of)), F.lit(-1))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_id(_table(spark, sf_dir, "documents"), learn=_fold(4) != 2, held_out=_fold(4) == 2)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.learned(docs, _table(spark, sf_dir, "labels"), learn=_fold(5) != 0)
+    rows = toxicity.scored(docs, model)
+    return rows.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe_digests(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -67,8 +83,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_fingerprints": op4_fingerprints,
+    "op5_language": op5_language,
     "op6_chat": op6_chat,
     "op7_token_files": op7_token_files,
+    "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_jaccard": op10_jaccard,
 }
