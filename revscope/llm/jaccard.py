@@ -4,8 +4,8 @@ Two documents link when their sets of word shingles have a Jaccard similarity
 of 0.9 or more (a ratio of integers, compared exactly).
 
 Method.
-1. One pass over the texts makes each set's size, a 128-bit digest (equal sets
-   are one class from here on) and its segment tokens: a size range with at
+1. A pass over the texts makes each set's size and a 128-bit digest; equal sets
+   are one class from here on.  A second makes its segment tokens: a size range with at
    most ``k`` differing shingles between linked sets is cut, by shingle hash,
    into ``k + 1`` segments, so linked sets agree on a segment.  A segment token
    is the hash of a segment; every set has those of its own size range and of
@@ -46,6 +46,9 @@ SIZE = 3
 #: The similarity as a fraction: a link when ``DEN * intersection >= NUM * union``.
 NUM, DEN = 90, 100
 SLICE_BYTES = 16 << 20
+#: Segment tokens met in one task, about; bytes of a token (besides the bits that chose the task) and of a class's name.
+PART_TOKENS, TOKEN_BYTES, NODE_BYTES = 500_000, 5, 6
+NODES = 1 << 8 * NODE_BYTES
 #: A group holds about so many tokens and sets at most.
 GROUP_TOKENS, GROUP_SETS = 500_000, 768
 
@@ -84,47 +87,102 @@ def _sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
         yield np.unique(found[a:b])
 
 
-def _digested(size: int, num: int, den: int):
+def _digest(shingles: np.ndarray) -> tuple[int, int]:
+    with np.errstate(over="ignore"):
+        return tuple(int(mix(shingles, k).sum(dtype=np.uint64).view(np.int64)) for k in (1, 2))
+
+
+def _digested(size: int):
+    """Size and digest of each document's set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from revscope.llm._segments import slices
+
+        for batch in batches:
+            for part in slices(batch, "text", SLICE_BYTES):
+                found = [(len(s), *_digest(s)) for s in _sets(part.column("text"), size)]
+                counts, first, second = zip(*found)
+                yield pa.record_batch(
+                    {
+                        "doc_id": part.column("doc_id"),
+                        "n_shingles": pa.array(counts, pa.int64()),
+                        "d1": pa.array(first, pa.int64()),
+                        "d2": pa.array(second, pa.int64()),
+                    }
+                )
+
+    return run
+
+
+def _star(token: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct tokens, the smallest node of each, and an edge to it from each further node."""
+    order = np.argsort(token, kind="stable")
+    token, node = token[order], node[order]
+    first = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, np.int64)
+    least = np.minimum.reduceat(node, first) if len(first) else node
+    to = np.repeat(least, np.diff(np.append(first, len(token))))
+    other = node != to
+    return token[first], least, np.unique(np.stack([node[other], to[other]], axis=1), axis=0)
+
+
+def _packed(numbers: np.ndarray, width: int) -> bytes:
+    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _unpacked(raw: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(raw) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
+    return out.view("<u8").ravel()
+
+
+def _tokens(size: int, num: int, den: int, bits: int):
+    """Segment tokens, dealt into ``2 ** bits`` parts by their first bits.
+
+    A slice sends each of its tokens once, with the smallest node that has it;
+    the edges to that node from the slice's others go along.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from revscope.llm._segments import slices
 
         ends, segments = ranges(1 << 16, num, den)
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
-                counts, first, second, tokens, seen = [], [], [], [], set()
+                tokens, nodes, seen = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], set()
                 for s in _sets(part.column("text"), size):
                     n = len(s)
-                    a, b = _digest(s)
-                    counts.append(n)
-                    first.append(a)
-                    second.append(b)
-                    if not n or (a, b) in seen:  # a copy's tokens are there already
-                        tokens.append(None)
+                    digest = _digest(s)
+                    if not n or digest in seen:
                         continue
-                    seen.add((a, b))
+                    seen.add(digest)
                     while ends[-2] < n:
                         ends, segments = ranges(2 * n, num, den)
                     m = int(np.searchsorted(ends, n))
-                    tokens.append(np.concatenate([segment_tokens(s, k, int(segments[k])) for k in (m, m + 1)]).view(np.int64))
-                offsets = np.concatenate([[0], np.cumsum([0 if t is None else len(t) for t in tokens])]).astype(np.int32)
-                values = [t for t in tokens if t is not None]
-                flat = np.concatenate(values) if values else np.zeros(0, np.int64)
+                    tokens += [segment_tokens(s, k, int(segments[k])) for k in (m, m + 1)]
+                    nodes.append(np.full(len(tokens[-1]) + len(tokens[-2]), digest[0] % NODES, np.uint64))
+                token, least, edges = _star(np.concatenate(tokens), np.concatenate(nodes))
+                cuts = np.searchsorted(token >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)).tolist()
+                cells = [_packed(token[a:b], TOKEN_BYTES) + _packed(least[a:b], NODE_BYTES) for a, b in zip(cuts, cuts[1:])]
                 yield pa.record_batch(
                     {
-                        "doc_id": part.column("doc_id"),
-                        "n_shingles": pa.array(counts, pa.int64()),
-                        "d1": pa.array(first, pa.int64()),
-                        "d2": pa.array(second, pa.int64()),
-                        "tokens": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                        "part": pa.array(np.arange(1 << bits, dtype=np.int32)),
+                        "cells": pa.array(cells, pa.binary()),
+                        "edges": pa.array([edges.tobytes(), *[b""] * (len(cells) - 1)], pa.binary()),
                     }
                 )
 
     return run
 
 
-def _digest(shingles: np.ndarray) -> tuple[int, int]:
-    with np.errstate(over="ignore"):
-        return tuple(int(mix(shingles, k).sum(dtype=np.uint64).view(np.int64)) for k in (1, 2))
+def _shared(table: pa.Table) -> pa.Table:
+    """Edges between the nodes that have a token of this part in common."""
+    cells = [x.as_py() for x in table.column("cells")]
+    sizes = [len(x) // (TOKEN_BYTES + NODE_BYTES) * TOKEN_BYTES for x in cells]
+    token = _unpacked(b"".join(x[:n] for x, n in zip(cells, sizes)), TOKEN_BYTES)
+    node = _unpacked(b"".join(x[n:] for x, n in zip(cells, sizes)), NODE_BYTES)
+    known = np.frombuffer(b"".join(x.as_py() for x in table.column("edges")), "<u8").reshape(-1, 2)
+    edges = np.unique(np.concatenate([known, _star(token, node)[2]]), axis=0).astype(np.int64)
+    return pa.table({"src": pa.array(edges[:, 0]), "dst": pa.array(edges[:, 1])})
 
 
 def _fetched(size: int):
@@ -293,14 +351,17 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, num: int = NUM, den: i
     """One row per document: doc_id, n_shingles, component_id (smallest doc id reachable by links)."""
     ship(docs.sparkSession)
     narrow = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = staged(narrow.mapInArrow(_digested(size, num, den), "doc_id long, n_shingles long, d1 long, d2 long, tokens array<long>"), "sets")
-    # classes of equal sets; the first digest alone names them until sets are compared
+    rows = staged(narrow.mapInArrow(_digested(size), "doc_id long, n_shingles long, d1 long, d2 long"), "sets")
+    # classes of equal sets; a part of the digest names them until sets are compared
     classes = rows.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("first_id"), F.min("n_shingles").alias("n_shingles"))
-    tokens = rows.select(F.explode("tokens").alias("token"), "d1")
-    star = tokens.select("d1", F.min("d1").over(Window.partitionBy("token").orderBy("d1").rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("to"))
-    families = components(star.filter("d1 <> to").distinct(), "d1", "to")
+    classes = classes.withColumn("node", F.pmod("d1", F.lit(NODES)))
+    total = classes.agg(F.sum("n_shingles")).first()[0] or 0
+    bits = max(1, (total * 4 * (den - num) // (den + num) // PART_TOKENS).bit_length())
+    cells = narrow.mapInArrow(_tokens(size, num, den, bits), "part int, cells binary, edges binary")
+    star = cells.groupBy("part").applyInArrow(_shared, "src long, dst long")
+    families = components(star, "src", "dst")
     classes = staged(classes, "classes")
-    candidates = classes.join(families, classes["d1"] == families["node"]).select("first_id", "n_shingles", "d1", "d2", F.col("component").alias("family"))
+    candidates = classes.join(families, "node").select("first_id", "n_shingles", "d1", "d2", F.col("component").alias("family"))
     candidates = staged(candidates, "candidates")
     chosen = candidates.filter("first_id is not null").select("family", F.col("first_id").alias("cid"), "n_shingles", "d1", "d2")
     texts = narrow.join(chosen, narrow["doc_id"] == chosen["cid"]).drop("doc_id")
