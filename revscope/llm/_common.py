@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SHIPPED: set[str] = set()
+_STAGED: dict[str, list[str]] = {}
 
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:
@@ -73,14 +74,20 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs a re-read, not a recomputation,
-    and what reads the table twice does not compute it twice.
+    and what reads the table twice does not compute it twice.  The table stays
+    until ``release``.
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bytes_of(column: str):
-    """Text as UTF-8, null counting as empty."""
-    return F.coalesce(F.col(column), F.lit(""))
+def release(spark: SparkSession) -> None:
+    """Delete all staged tables of this application; results that read them must be written by then."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)

@@ -372,3 +372,14 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, num: int = NUM, den: i
     )
     result = rows.select("doc_id", "n_shingles", "d1", "d2").join(staged(named, "named"), ["d1", "d2"], "left")
     return result.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int = DEN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, all columns: of linked documents those of the smallest doc id.
+
+    Rows without doc id and documents without words, which link with nothing, stay.
+    """
+    found = jaccard_components(docs, size, num, den, id_col, text_col)
+    gone = staged(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "near-copies")
+    # few documents go: the ids that do are shuffled with the rows, or broadcast if Spark finds them small
+    return docs.join(gone, docs[id_col].cast("long") == gone["__gone"], "left_anti")

@@ -99,12 +99,13 @@ def _kind(places: Column, kind: int, keep: Column | None = None) -> Column:
     return F.transform(F.filter(paired, lambda x: x["ok"]), lambda x: x["row"])
 
 
-def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """doc_id, text, base, spans: arrays of (start, kind, end), kind an index of ``KINDS``."""
-    narrow = pick(docs, doc_id=id_col, text=text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    matched = narrow.select(
-        "doc_id",
-        "text",
+def scanned(rows: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``rows`` (row, text) with base and spans: arrays of (start, kind, end), kind an index of ``KINDS``."""
+    matched = rows.select(
+        "row",
+        F.coalesce("text", F.lit("")).alias("text"),
+    ).select(
+        "*",
         F.regexp_extract_all("text", F.lit(ASSIGN), 0).alias("m_assign"),
         F.regexp_extract_all("text", F.lit(ACCESS), 0).alias("m_access"),
         F.regexp_extract_all("text", F.lit(HEX), 0).alias("m_hex"),
@@ -123,7 +124,7 @@ def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
             )
         ),
     ).otherwise(F.array().cast("array<struct<start:int,kind:int,end:int>>"))
-    based = matched.select("doc_id", "text", "m_candidate", base.alias("base"))
+    based = matched.select("row", "text", "m_candidate", base.alias("base"))
     judged = F.transform(
         "m_candidate",
         lambda v: F.when(v.rlike("[0-9]") & v.rlike("[A-Za-z]"), _suspicious(v, window)).otherwise(F.lit(False)),
@@ -135,7 +136,7 @@ def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
             lambda x: ~F.exists("base", lambda b: (b["start"] <= x["start"]) & (b["end"] >= x["end"])),
         ),
     ).otherwise(F.array().cast("array<struct<start:int,kind:int,end:int>>"))
-    return based.select("doc_id", "text", "base", F.array_sort(F.concat("base", added)).alias("spans"))
+    return based.select("row", "text", "base", F.array_sort(F.concat("base", added)).alias("spans"))
 
 
 def joined(places: Column | str) -> Column:
@@ -146,10 +147,10 @@ def joined(places: Column | str) -> Column:
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: counts of the base kinds, digest of the base spans, all spans."""
-    rows = scanned(docs, id_col, text_col)
+    rows = scanned(pick(docs, row=id_col, text=text_col))
     count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
     return rows.select(
-        "doc_id",
+        F.col("row").alias("doc_id"),
         count(0).alias("n_assign"),
         count(1).alias("n_access"),
         count(2).alias("n_hex"),
@@ -169,3 +170,13 @@ def redacted(text: Column, places: Column, mark: str = "[SECRET]") -> Column:
 
     rest = lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["at"] + 1, F.length(text)))
     return F.when(F.size(places) > 0, F.aggregate(places, start, step, rest)).otherwise(text)
+
+
+def without_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with the found secrets of its text replaced, all rows and columns; null text stays null."""
+    names = docs.columns
+    flat = docs.toDF(*[f"__c{i}" for i in range(len(names))])
+    at = names.index(text_col)
+    rows = scanned(flat.select(F.struct("*").alias("row"), F.col(f"__c{at}").alias("text")))
+    clean = F.when(F.col(f"row.__c{at}").isNotNull(), redacted(F.col("text"), F.col("spans")))
+    return rows.select(*[(clean if i == at else F.col(f"row.__c{i}")).alias(f"__c{i}") for i in range(len(names))]).toDF(*names)
