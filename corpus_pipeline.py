@@ -1,11 +1,76 @@
-"""Corpus pipeline."""
+"""Corpus pipeline: documents that reject no language, exact copy, near copy or secret, packed.
+
+``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and
+returns a DataFrame, which is written and read again as the next one's docs.
+All but the last keep the columns of documents.
+
+1. language_id: documents in no learned language go (no letter, null text, or
+   n-grams far from every profile).
+2. exact_dedup: of texts equal up to white space the smallest doc id stays.
+3. jaccard_join: of documents connected by links (five-word shingles, similarity
+   0.8 or more) the smallest doc id stays.
+4. secret_scan: found secrets are replaced by a mark; every document stays.
+5. packing: the texts' tokens in windows of at most 1024.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from revscope.llm import exact_dedup, jaccard, language, packing, secret_scan
+from revscope.llm._common import new_folder, release
+
+SHINGLE_WORDS, SIMILARITY = 5, (80, 100)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
+    return language.in_learned_language(docs, learn=F.lit(True))
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
+    return exact_dedup.without_copies(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
+    return jaccard.one_of_each(docs, SHINGLE_WORDS, *SIMILARITY)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
+    return secret_scan.without_secrets(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language_id),
+    ("exact_dedup", exact_copies),
+    ("jaccard_join", near_copies),
+    ("secret_scan", secrets),
+    ("packing", packed),
+]
+
+#: Profiles, the links' components and the tokens are beyond SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what each returns is written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        out = stage(spark, docs, sf_dir)
+        path = new_folder(spark, f"pipeline-{name}")
+        out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+    release(spark)
     return docs
