@@ -21,8 +21,8 @@ def round_half_up(c, scale: int = 2) -> Column:
 
 
 def pct(part, whole, scale: int | None = 2) -> Column:
-    """``part / whole * 100``; rounded unless ``scale`` is None."""
-    raw = _col(part) / _col(whole) * 100
+    """``part / whole * 100``; rounded unless ``scale`` is None; NULL where ``whole`` is 0."""
+    raw = F.try_divide(_col(part), _col(whole)) * 100
     return raw if scale is None else round_half_up(raw, scale)
 
 

@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revscope.functions import dates, labels
+from revscope.functions.numeric import pct
 from revscope.functions.text import text_length
 
+
 def distinct_products(reviews: DataFrame) -> DataFrame:
     """Distinct reviewed product ids (A29).  Map-side partial aggregation means
     a product holding a third of all reviews still ships one key per task."""
@@ -43,8 +45,10 @@ def product_dim(products: DataFrame, extra: dict[str, str] | None = None) -> Dat
 
 
 # ---- skew handling parameters ----
-HOT_KEY_FRACTION = 0.01      # a product with >= 1% of all reviews is a hot key (so at most 100 of them)
 ROWS_PER_SALT = 2_000_000    # target review rows per salted join partition of a hot key
+MAX_HOT_KEYS = 100_000       # hot keys named at most (the largest); any other key has under 1/100,000 of all rows
+NULL_SALTS = 1_024           # buckets of the reviews without product id, which match nothing
+SALT_COLUMNS = ("user_id", "timestamp")
 # ----
 
 
@@ -54,73 +58,46 @@ def review_key_counts(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("parent_asin").agg(F.count(F.lit(1)).alias("review_rows"))
 
 
-def hot_products(
-    counts: DataFrame, fraction: float = HOT_KEY_FRACTION, rows_per_salt: int = ROWS_PER_SALT
-) -> DataFrame:
-    """Product ids holding at least ``fraction`` of all reviews and more than
-    ``rows_per_salt`` of them, with the number of salt buckets each needs.
-    At most ``1 / fraction`` rows by construction, so safe to broadcast."""
-    total = counts.select(F.sum("review_rows")).scalar()
-    return counts.filter(
-        F.col("parent_asin").isNotNull()
-        & (F.col("review_rows") >= total * fraction)
-        & (F.col("review_rows") > rows_per_salt)
-    ).select("parent_asin", F.ceil(F.col("review_rows") / rows_per_salt).cast("int").alias("salts"))
-
-
-def hot_products_from_metadata(
-    products: DataFrame, fraction: float = HOT_KEY_FRACTION, rows_per_salt: int = ROWS_PER_SALT
-) -> DataFrame:
-    """Hot products named from metadata alone (``rating_number`` as the
-    volume signal), for joins where review counts are not at hand, such as
-    a stream-static join.  Salting never changes a join's result, so an
-    imperfect signal only costs balance, never correctness.  At most
-    ``1 / fraction`` rows by construction."""
-    total = products.select(F.sum("rating_number")).scalar()
-    return products.filter(
-        F.col("parent_asin").isNotNull()
-        & (F.col("rating_number") >= total * fraction)
-        & (F.col("rating_number") > rows_per_salt)
-    ).select("parent_asin", F.ceil(F.col("rating_number") / rows_per_salt).cast("int").alias("salts")).distinct()
+def hot_products(counts: DataFrame, rows_per_salt: int = ROWS_PER_SALT, most: int = MAX_HOT_KEYS) -> DataFrame:
+    """Product ids with more than ``rows_per_salt`` reviews and the number of
+    salt buckets each needs.  The list is cut to the ``most`` largest, which
+    bounds its broadcast; a key beyond them holds less than 1 / ``most`` of
+    all reviews, so it is no hot key however many rows there are."""
+    return (
+        counts.filter(F.col("parent_asin").isNotNull() & (F.col("review_rows") > rows_per_salt))
+        .orderBy(F.desc("review_rows"), "parent_asin")
+        .limit(most)
+        .select("parent_asin", F.ceil(F.col("review_rows") / rows_per_salt).cast("int").alias("salts"))
+    )
 
 
 def attach_products(reviews: DataFrame, dim: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Left outer join (J3): a review without metadata survives with NULL
     product columns.  Spark picks broadcast vs. shuffle from the dimension's
-    measured size (AQE).  When ``hot`` keys are given, their reviews are
-    spread over ``salts`` buckets (by a hash of the row and its input
-    partition) and only their
-    dimension rows are replicated once per bucket; the join runs on
-    (key, bucket), so a product holding a third of all reviews is split over
-    many tasks.  Every review still meets exactly its product's dimension
-    rows, so the result does not depend on the bucket a review lands in."""
+    measured size (AQE).  When ``hot`` keys are given (one row per id), their
+    reviews are spread over ``salts`` buckets and only their dimension rows
+    are replicated once per bucket; the join runs on (key, bucket), so a
+    product holding a third of all reviews is split over many tasks.  Reviews
+    without product id, which match nothing, are spread too.
+
+    A review's bucket is a hash of who wrote it and when: the same on every
+    attempt, and it reads no column that the query does not need otherwise
+    but these two.  Every review still meets exactly its product's dimension
+    rows, so the result does not depend on the bucket."""
     if hot is None:
         joined = reviews.join(dim, on="parent_asin", how="left")
     else:
         h = F.broadcast(hot.select("parent_asin", "salts"))
-        # The bucket is a pure function of the row and of its input partition
-        # index, so a task recomputed after an executor loss reproduces it
-        # exactly; copies of one review in different input partitions still
-        # land in different buckets.  Only hot-product rows are hashed.
-        row_hash = F.xxhash64(*[F.col(c) for c in reviews.columns], F.spark_partition_id())
+        row_hash = F.xxhash64(*[F.col(c) for c in SALT_COLUMNS if c in reviews.columns] or [F.col("parent_asin")])
+        salts = F.when(F.col("parent_asin").isNull(), F.lit(NULL_SALTS)).otherwise(F.coalesce("salts", F.lit(1)))
         salted = (
             reviews.join(h, on="parent_asin", how="left")
-            .withColumn(
-                "_salt",
-                F.when(F.col("salts").isNotNull(), F.pmod(row_hash, F.col("salts"))).otherwise(F.lit(0)).cast("int"),
-            )
+            .withColumn("_salt", F.pmod(row_hash, salts).cast("int"))
             .drop("salts")
         )
         replicated = (
             dim.join(h, on="parent_asin", how="left")
-            .withColumn(
-                "_salt",
-                F.explode(
-                    F.when(F.col("salts").isNotNull(), F.sequence(F.lit(0), F.col("salts") - 1)).otherwise(
-                        F.array(F.lit(0))
-                    )
-                ),
-            )
+            .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
             .drop("salts")
         )
         joined = salted.join(replicated, on=["parent_asin", "_salt"], how="left").drop("_salt")
@@ -150,8 +127,7 @@ def prepare(
     reviews: DataFrame,
     products: DataFrame,
     product_extra: dict[str, str] | None = None,
-    hot_fraction: float = HOT_KEY_FRACTION,
-    rows_per_salt: int = ROWS_PER_SALT,
+    rows_per_salt: int | None = ROWS_PER_SALT,
 ) -> DataFrame:
     """Reviews enriched with product metadata.
 
@@ -167,7 +143,18 @@ def prepare(
       the NULL-price rule gives.
     * Metadata is not de-duplicated: a duplicated ``parent_asin`` multiplies
       its reviews, as in the original job; ``quality.duplicate_products``
-      reports such ids."""
+      reports such ids.
+    * ``rows_per_salt=None`` joins without salting."""
+    return join_products(add_review_columns(reviews), products, product_extra, rows_per_salt)
+
+
+def join_products(
+    reviews: DataFrame,
+    products: DataFrame,
+    product_extra: dict[str, str] | None = None,
+    rows_per_salt: int | None = ROWS_PER_SALT,
+) -> DataFrame:
+    """The join of ``prepare``, for reviews whose own columns are derived already."""
     counts = review_key_counts(reviews)
     # `review_rows > 0` always holds; referencing the count keeps this use of
     # the per-product counts identical to the hot-key one, so Spark computes
@@ -175,8 +162,8 @@ def prepare(
     reviewed = counts.filter(F.col("review_rows") > 0).select("parent_asin")
     sampled = products.join(reviewed, on="parent_asin", how="left_semi")
     dim = add_product_columns(product_dim(sampled, product_extra))
-    hot = hot_products(counts, hot_fraction, rows_per_salt)
-    enriched = attach_products(add_review_columns(reviews), dim, hot)
+    hot = None if rows_per_salt is None else hot_products(counts, rows_per_salt)
+    enriched = attach_products(reviews, dim, hot)
     return enriched.withColumn("price_tier", F.coalesce(F.col("price_tier"), F.lit(labels.PRICE_TIERS[0])))
 
 
@@ -188,8 +175,6 @@ def match_rate(reviews: DataFrame, products: DataFrame) -> DataFrame:
     return sampled.select(
         "sampled_products",
         n_matched.alias("matched_products"),
-        F.round((n_matched / F.col("sampled_products") * 100).cast("decimal(28,10)"), 1)
-        .cast("double")
-        .alias("match_rate_pct"),
+        pct(n_matched, "sampled_products", 1).alias("match_rate_pct"),
         (F.col("sampled_products") - n_matched).alias("missing_products"),
     )

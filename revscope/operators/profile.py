@@ -83,7 +83,7 @@ def product_summary(df: DataFrame, exact: bool = True) -> DataFrame:
     distinct = F.count_distinct("parent_asin") if exact else F.approx_count_distinct("parent_asin")
     return df.agg(F.count(F.lit(1)).alias("total_rows"), distinct.alias("unique_products")).select(
         "unique_products",
-        F.round((F.col("total_rows") / F.col("unique_products")).cast("decimal(28,10)"), 0)
+        F.round(F.try_divide("total_rows", "unique_products").cast("decimal(28,10)"), 0)
         .cast("bigint")
         .alias("avg_reviews_per_product"),
     )
@@ -91,11 +91,12 @@ def product_summary(df: DataFrame, exact: bool = True) -> DataFrame:
 
 def completeness(df: DataFrame, columns: list[str] | None = None, ok_pct: float = COMPLETENESS_OK_PCT) -> DataFrame:
     """Non-null count and share per column (A13) from ONE aggregate pass,
-    unpivoted to one row per column."""
+    unpivoted to one row per column.  A requested column that ``df`` lacks
+    has a row too, with NULL counts and status ``MISSING``."""
     columns = list(columns or df.columns)
-    present = [c for c in columns if c in df.columns]
+    present = [c if c in df.columns else None for c in columns]
     wide = df.agg(
-        F.count(F.lit(1)).alias("__total"), *[F.count(F.col(c)).alias(f"__nn_{i}") for i, c in enumerate(present)]
+        F.count(F.lit(1)).alias("__total"), *[(F.count(F.col(c)) if c else F.lit(None).cast("long")).alias(f"__nn_{i}") for i, c in enumerate(present)]
     )
     stacked = wide.select(
         "__total",
@@ -103,7 +104,7 @@ def completeness(df: DataFrame, columns: list[str] | None = None, ok_pct: float
             F.array(
                 *[
                     F.struct(F.lit(c).alias("column_name"), F.lit(i).alias("position"), F.col(f"__nn_{i}").alias("nn"))
-                    for i, c in enumerate(present)
+                    for i, c in enumerate(columns)
                 ]
             )
         ).alias("c"),
@@ -115,7 +116,10 @@ def completeness(df: DataFrame, columns: list[str] | None = None, ok_pct: float
         F.col("c.nn").alias("non_null_count"),
         F.col("__total").alias("total_rows"),
         share.alias("completeness_pct"),
-        F.when(pct(F.col("c.nn"), F.col("__total"), None) > ok_pct, "OK").otherwise("LOW").alias("status"),
+        F.when(F.col("c.nn").isNull(), "MISSING")
+        .when(pct(F.col("c.nn"), F.col("__total"), None) > ok_pct, "OK")
+        .otherwise("LOW")
+        .alias("status"),
     )
 
 

@@ -45,7 +45,8 @@ def label_top_products(counts: DataFrame, products: DataFrame, k: int = TOP_PROD
     labels = (
         products.join(F.broadcast(top.select("parent_asin")), on="parent_asin", how="left_semi")
         .groupBy("parent_asin")
-        .agg(F.min("title").alias("title"), F.min("store").alias("store"))
+        .agg(F.min(F.struct(F.col("title").isNull().alias("untitled"), "title", "store")).alias("m"))
+        .select("parent_asin", "m.title", "m.store")
     )
     return top.join(labels, on="parent_asin", how="left").select(
         "parent_asin",
@@ -83,15 +84,15 @@ def target_summary(
 
 
 def extract_sample(reviews: DataFrame, targets: DataFrame) -> DataFrame:
-    """Reviews of the target products (J4).  The target list is cut to k ids
-    by construction, so broadcasting it is size-bounded; the reviews are
-    streamed through a broadcast semi join without a shuffle."""
-    return reviews.join(F.broadcast(targets.select("parent_asin").distinct()), on="parent_asin", how="left_semi")
+    """Reviews of the target products (J4).  A list of targets that Spark
+    measures as small is broadcast and the reviews stream past it; nothing is
+    assumed of a longer one."""
+    return reviews.join(targets.select("parent_asin").distinct(), on="parent_asin", how="left_semi")
 
 
 def sample_scan_report(reviews: DataFrame, targets: DataFrame) -> DataFrame:
     """Scanned and kept review rows of the extraction (J4), one pass."""
-    keys = F.broadcast(targets.select("parent_asin").distinct().withColumn("_hit", F.lit(1)))
+    keys = targets.select("parent_asin").distinct().withColumn("_hit", F.lit(1))
     tagged = reviews.select("parent_asin").join(keys, on="parent_asin", how="left")
     return tagged.agg(
         F.count(F.lit(1)).alias("scanned_reviews"), F.count("_hit").alias("extracted_reviews")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revscope.functions.display import display_value
+from revscope.schemas import FEATURE_TABLES
+from revscope.sources.readers import read_feature_csv
 
 TABLE_VIEWS = {
     "sentiment_trends": "agg_sentiment_trends",
@@ -24,20 +24,45 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> list[st
     return list(tables)
 
 
-QUERY_STATEMENT = re.compile(r"^\s*(?:--[^\n]*\n\s*|/\*.*?\*/\s*)*\(*\s*(select|with|values|table|from)\b", re.I | re.S)
+def is_query(spark: SparkSession, sql: str) -> bool:
+    """Whether ``sql`` parses to a query: no command and no insertion anywhere in its plan."""
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
+    kinds = [
+        spark._jvm.java.lang.Class.forName(f"org.apache.spark.sql.catalyst.plans.logical.{name}")
+        for name in ("Command", "ParsedStatement")
+    ]
+    waiting = [plan]
+    while waiting:
+        node = waiting.pop()
+        if any(kind.isInstance(node) for kind in kinds):
+            return False
+        children = node.children()
+        waiting += [children.apply(i) for i in range(children.size())]
+    return True
 
 
 def ask_sql(spark: SparkSession, tables: dict[str, DataFrame], sql: str, read_only: bool = True) -> DataFrame:
     """Run one query over the registered tables (Q1).  The text goes through
     Spark's parser and Catalyst like any SQL; joins, subqueries and CTEs work.
-    ``spark.sql`` runs DDL/DML statements immediately, so by default only
-    query statements are accepted (the first keyword is checked)."""
-    if read_only and not QUERY_STATEMENT.match(sql):
+    ``spark.sql`` runs DDL/DML statements immediately, so by default a text
+    whose parsed plan holds a command or an insertion is refused."""
+    if read_only and not is_query(spark, sql):
         raise ValueError("only query statements (SELECT/WITH/VALUES/TABLE) are accepted")
     register_views(spark, tables)
     return spark.sql(sql)
 
 
+def open_published(spark: SparkSession, base: str, csv: bool = False) -> dict[str, DataFrame]:
+    """The published tables under ``base`` as their ``agg_*`` views, in one call:
+    Parquet folders by default, headered CSV folders with ``csv``."""
+    tables = {}
+    for name, view in TABLE_VIEWS.items():
+        path = f"{base.rstrip('/')}/{name}"
+        tables[view] = read_feature_csv(spark, path, FEATURE_TABLES[name]) if csv else spark.read.parquet(path)
+    register_views(spark, tables)
+    return tables
+
+
 def format_result(df: DataFrame, n: int = 20) -> dict:
     """Text rendering of a result (Q2): a ' | ' header, the first ``n`` rows
     with NULL shown as 'NULL' and floats with two decimals, and the true row

@@ -14,6 +14,9 @@ Scale notes
 
 from __future__ import annotations
 
+import argparse
+import json
+import sys
 import time
 import uuid
 
@@ -21,17 +24,20 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from revscope.operators.competitive import competitive_analysis
-from revscope.operators.enrich import prepare
+from revscope.operators.enrich import add_review_columns, join_products
 from revscope.operators.sentiment import sentiment_trends
 from revscope.operators.success import success_prediction
 from revscope.operators.velocity import velocity_analysis
-from revscope.session import ensure_checkpoint_dir, ensure_utc
-from revscope.sources.readers import input_files, input_totals, read_products, read_reviews
-from revscope.sources.writers import write_feature
+from revscope.operators.profile import completeness
+from revscope.schemas import FEATURE_TABLES
+from revscope.session import ensure_checkpoint_dir, ensure_utc, session
+from revscope.sources.readers import input_files, input_totals, read_feature_csv, read_products, read_reviews
+from revscope.sources.writers import export_all_csv, write_feature
 
 # ---- shuffle sizing defaults ----
 SHUFFLE_TARGET_BYTES = 256 * 1024 * 1024   # bytes of (decompressed) input per initial shuffle partition
-INPUT_EXPANSION = 6                         # decompressed / stored size of gzip JSON
+INPUT_EXPANSION = 0.5                       # bytes shuffled / stored size of gzip JSON: ids, ratings and dates, no texts
+MOST_PARTITIONS = 50_000                    # map output bookkeeping on the driver grows with maps x partitions
 # ----
 
 
@@ -46,12 +52,13 @@ def size_shuffle_partitions(
     With AQE the setting is the *initial* partition count, which AQE then
     coalesces; it is never split, so on a large input it must be large
     enough that each partition fits comfortably in an executor.  The count
-    is raised to ``ceil(total_bytes * expansion / target_bytes)`` and never
+    is raised to ``ceil(total_bytes * expansion / target_bytes)``, at most
+    ``MOST_PARTITIONS`` (beyond it partitions grow instead), and never
     lowered below the current value."""
     total = 0
     for path in paths:
         total += input_totals(input_files(spark, path)).first().total_bytes or 0
-    wanted = max(1, -(-int(total * expansion) // target_bytes))
+    wanted = min(MOST_PARTITIONS, max(1, -(-int(total * expansion) // target_bytes)))
     current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     chosen = max(current, wanted)
     spark.conf.set("spark.sql.shuffle.partitions", str(chosen))
@@ -63,17 +70,18 @@ FEATURE_INPUT_COLUMNS = [
     "sentiment", "review_length", "is_detailed_review", "verified_purchase", "helpful_vote",
     "review_date", "review_year_month",
 ]
+# The review-side ones, as staged before the join (with the salt's columns).
+REVIEW_INPUT_COLUMNS = [
+    "parent_asin", "user_id", "timestamp", "title", "rating", "sentiment", "review_length", "is_detailed_review",
+    "verified_purchase", "helpful_vote", "review_date", "review_year_month",
+]
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    """Remove a folder this job wrote, through the cluster file system; left
-    in place (inside the checkpoint folder) when no JVM gateway is available."""
-    try:
-        jvm = spark.sparkContext._jvm
-        fs_path = jvm.org.apache.hadoop.fs.Path(path)
-        fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(fs_path, True)
-    except Exception:  # noqa: BLE001
-        pass
+    """Remove a folder this job wrote, through the cluster file system."""
+    jvm = spark.sparkContext._jvm
+    fs_path = jvm.org.apache.hadoop.fs.Path(path)
+    fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(fs_path, True)
 
 
 def materialize(df: DataFrame, mode: str, spark: SparkSession, label: str = "enriched") -> tuple[DataFrame, callable]:
@@ -136,12 +144,60 @@ def run_pipeline(
     input size (see ``size_shuffle_partitions``)."""
     ensure_utc(spark)
     started = time.time()
-    shuffle_partitions = (
-        size_shuffle_partitions(spark, [reviews_path, products_path]) if size_shuffles else None
-    )
-    reviews = read_reviews(spark, reviews_path, min_partitions=min_partitions)
-    products = read_products(spark, products_path, min_partitions=min_partitions)
-    report = build_features(prepare(reviews, products), spark, target.rstrip("/"), mode, success_kwargs)
+    before = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    try:
+        shuffle_partitions = (
+            size_shuffle_partitions(spark, [reviews_path, products_path]) if size_shuffles else None
+        )
+        products = read_products(spark, products_path, min_partitions=min_partitions)
+        # the narrow columns are staged once: counting and joining would decompress the source twice
+        reviews = add_review_columns(read_reviews(spark, reviews_path, min_partitions=min_partitions))
+        narrow, cleanup = materialize(reviews.select(*REVIEW_INPUT_COLUMNS), "table" if mode == "table" else "none", spark, "reviews")
+        try:
+            report = build_features(join_products(narrow, products), spark, target.rstrip("/"), mode, success_kwargs)
+        finally:
+            cleanup()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     report["shuffle_partitions"] = shuffle_partitions
     report["elapsed_seconds"] = round(time.time() - started, 3)
     return report
+
+
+def publish(spark: SparkSession, target: str, csv_target: str) -> dict:
+    """The publish flow over the tables ``run_pipeline`` wrote under ``target``:
+    headered CSV, typed read-back, and the null, range and summary checks on
+    what was written, as DataFrames of a report."""
+    names = list(FEATURE_TABLES)
+    status = export_all_csv(spark, target, csv_target, names)
+    typed = {name: read_feature_csv(spark, f"{csv_target.rstrip('/')}/{name}", FEATURE_TABLES[name]) for name in names}
+    return {
+        "status": status,
+        "completeness": {name: completeness(df) for name, df in typed.items()},
+        "tables": typed,
+    }
+
+
+def main(arguments: list[str] | None = None) -> int:
+    """``python -m revscope.plans.job REVIEWS PRODUCTS TARGET [--csv FOLDER]``: 0 if all tables were written."""
+    parser = argparse.ArgumentParser(description="Build the feature tables from review and product records.")
+    parser.add_argument("reviews")
+    parser.add_argument("products")
+    parser.add_argument("target")
+    parser.add_argument("--csv", help="also publish headered CSV tables into this folder")
+    parser.add_argument("--mode", choices=("table", "persist", "none"), default="table")
+    parser.add_argument("--min-partitions", type=int)
+    given = parser.parse_args(arguments)
+    spark = session("revscope-job")
+    report = run_pipeline(spark, given.reviews, given.products, given.target, given.mode, given.min_partitions)
+    failed = 0
+    if given.csv:
+        rows = publish(spark, given.target, given.csv)["status"].collect()  # a row for each of the four tables
+        report["csv"] = {r.table_name: r.rows if r.status == "OK" else r.error for r in rows}
+        failed = sum(r.status != "OK" for r in rows)
+    print(json.dumps(report))
+    return 1 if failed else 0
+
+
+if __name__ == "__main__":
+    sys.exit(main())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings every job of this library expects.  AQE re-plans joins and
@@ -16,9 +18,6 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
-FALLBACK_CHECKPOINT_DIR = "/tmp/revscope-checkpoints"
-
-
 def session(app: str = "revscope", conf: dict | None = None, master: str | None = None) -> SparkSession:
     """Build (or get) a session with the library defaults plus ``conf``."""
     builder = SparkSession.builder.appName(app)
@@ -27,9 +26,7 @@ def session(app: str = "revscope", conf: dict | None = None, master: str | None
     for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    ensure_utc(spark)
-    ensure_checkpoint_dir(spark)
-    return spark
+    return ensure_utc(spark)
 
 
 def ensure_utc(spark: SparkSession) -> SparkSession:
@@ -39,19 +36,17 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str = FALLBACK_CHECKPOINT_DIR) -> str:
-    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``,
-    else the context's checkpoint folder).  Only when neither is named (local
-    runs and tests) is ``fallback`` installed on the context."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: ``spark.checkpoint.dir``,
+    else the context's checkpoint folder.  Where neither is named, a local
+    master (one machine) gets a temporary folder; any other is refused, since
+    a folder of one machine would lose or hide the others' files."""
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
-        return fallback
-    existing = sc.getCheckpointDir()
-    if existing:
-        return existing
-    sc.setCheckpointDir(fallback)
-    return fallback
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="revscope-checkpoints-")
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder

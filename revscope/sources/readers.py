@@ -13,17 +13,13 @@ CORRUPT_COLUMN = "_corrupt_record"
 
 def spread(df: DataFrame, min_partitions: int | None) -> DataFrame:
     """gzip files are not splittable (one task per file) and a Parquet file
-    is split no finer than its row groups.  When a scan has fewer partitions
-    than ``min_partitions``, spread the rows round-robin so the rest of the
-    job is not serialised behind a few huge tasks; a scan that is already
-    wide (the normal case on a cluster) is left alone."""
-    if not min_partitions:
+    is split no finer than its row groups.  When a scan is planned with fewer
+    partitions than ``min_partitions``, its rows are spread round-robin so the
+    rest of the job is not serialised behind a few huge tasks; a scan that is
+    already wide (the normal case on a cluster) is left alone."""
+    if not min_partitions or df._jdf.queryExecution().toRdd().getNumPartitions() >= min_partitions:
         return df
-    try:
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave the scan as it is
-        return df
-    return df.repartition(min_partitions) if current < min_partitions else df
+    return df.repartition(min_partitions)
 
 
 def read_reviews(
@@ -68,29 +64,49 @@ def read_products_tolerant(
     return reader.schema(with_corrupt).json(path)
 
 
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """The column names of the first line of a headered CSV input."""
+    return spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path).columns
+
+
 def read_feature_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A published, headered CSV table with a declared schema (S10).  Quotes
-    inside fields are doubled (RFC 4180), so the escape character is '"'."""
+    """A published, headered CSV table with a declared schema (S10).  Columns
+    are matched by the header's names, whatever their order; a declared column
+    that the header lacks is an error, and so is a file with another header.
+    Quotes inside fields are doubled (RFC 4180), so the escape character is '"'."""
+    types = {f.name: f for f in schema.fields}
+    header = csv_header(spark, path)
+    if missing := [n for n in types if n not in header]:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    declared = StructType([types.get(n, StructField(n, StringType(), True)) for n in header])
     return (
-        spark.read.schema(schema)
+        spark.read.schema(declared)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "FAILFAST")
         .csv(path)
+        .select(*types)
     )
 
 
 def stage_strings(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """All-string staging read (S11): every column text, blank cells NULL."""
-    schema = StructType([StructField(c, StringType(), True) for c in columns])
+    """All-string staging read (S11): every column text, blank cells NULL;
+    columns are matched by the header's names."""
+    header = csv_header(spark, path)
+    if missing := [n for n in columns if n not in header]:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    schema = StructType([StructField(c, StringType(), True) for c in header])
     return (
         spark.read.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("quote", '"')
         .option("escape", '"')
         .option("nullValue", "")
         .csv(path)
+        .select(*columns)
     )
 
 

@@ -59,7 +59,7 @@ def export_all_csv(spark: SparkSession, src_base: str, dst_base: str, tables: li
             n = export_csv(spark, f"{src_base.rstrip('/')}/{name}", f"{dst_base.rstrip('/')}/{name}", single_file)
             rows.append((name, n, "OK", None))
         except Exception as exc:  # noqa: BLE001 - the summary reports the failure
-            rows.append((name, None, "FAILED", str(exc)[:500]))
+            rows.append((name, None, "FAILED", str(exc)))
     return spark.createDataFrame(rows, "table_name string, rows long, status string, error string")
 
 

@@ -1,18 +1,17 @@
 """Streaming review velocity (A12 on a stream).
 
-reviews stream -> stream-static left join with product metadata -> monthly
-(product, month) counts under a watermark on the month start -> foreachBatch
-sink that adds the previous existing month's count, the smoothed change and
-the momentum, and writes each micro-batch to its own ``batch_id=<n>`` folder.
-
-* A month is emitted once the watermark (latest month seen minus
-  ``lateness``) has passed it; reviews arriving later than that are dropped
-  by Spark's state eviction, which keeps the state bounded.
+reviews stream -> foreachBatch: monthly (product, month) counts and rating
+sums of the micro-batch, written to its own ``batch_id=<n>`` folder.
+
+* The written rows are partial sums: a month's count is the sum over all
+  batches, so a review that arrives late, by however much, corrects its month.
+  No watermark decides what counts, and the stream keeps no state.
 * The sink overwrites its batch folder, so a micro-batch replayed after a
   failure replaces its own output instead of duplicating it.
-* The previous month of a product comes from earlier batches' output (only
-  the products present in the batch are looked up) plus the batch itself;
-  months are emitted in order, so this equals the batch job's lag.
+* ``read_velocity`` adds the partial sums up, joins the product metadata (a
+  row a month by then, not a review, so no key is hot) and takes the previous
+  existing month, as the batch job does.  ``compact`` folds many batches into
+  one.
 """
 
 from __future__ import annotations
@@ -20,18 +19,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from revscope.functions.dates import review_date, year_month
 from revscope.functions.labels import momentum
 from revscope.functions.numeric import round_half_up, smoothed_pct
-from revscope.operators.enrich import (
-    HOT_KEY_FRACTION,
-    ROWS_PER_SALT,
-    attach_products,
-    hot_products_from_metadata,
-    product_dim,
-)
+from revscope.operators.enrich import product_dim
 from revscope.schemas import REVIEW_VELOCITY, REVIEWS, conform
 
-MONTHLY_KEYS = ["parent_asin", "product_title", "store", "month_start"]
+PARTIALS = "parent_asin string, year_month date, monthly_reviews long, rated long, rating_sum double, batch_id long"
 
 
 def read_review_stream(spark: SparkSession, path: str, fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
@@ -42,98 +36,65 @@ def read_review_stream(spark: SparkSession, path: str, fmt: str = "parquet", max
     return reader.load(path)
 
 
-def monthly_counts(
-    reviews: DataFrame,
-    products: DataFrame,
-    lateness: str = "31 days",
-    hot_fraction: float = HOT_KEY_FRACTION,
-    rows_per_salt: int = ROWS_PER_SALT,
-) -> DataFrame:
-    """Finalised (product, month) counts of a review stream (append mode).
-    The stream-static join salts products that the metadata names as hot
-    (see ``enrich.hot_products_from_metadata``), as the batch join does."""
-    dim = product_dim(products).select("parent_asin", "product_title", "store")
-    hot = hot_products_from_metadata(products, hot_fraction, rows_per_salt)
-    events = (
-        attach_products(reviews.select("parent_asin", "timestamp", "rating"), dim, hot)
-        .withColumn("month_start", F.date_trunc("month", F.timestamp_millis("timestamp")))
-    )
-    return (
-        events.withWatermark("month_start", lateness)
-        .groupBy(*MONTHLY_KEYS)
-        .agg(F.count(F.lit(1)).alias("monthly_reviews"), F.avg("rating").alias("monthly_avg_rating_raw"))
-    )
-
-
-def _with_velocity(batch: DataFrame, previous: DataFrame | None) -> DataFrame:
-    rows = batch.select(
-        "parent_asin",
-        "product_title",
-        "store",
-        F.to_date("month_start").alias("year_month"),
-        "monthly_reviews",
-        round_half_up("monthly_avg_rating_raw", 2).alias("monthly_avg_rating"),
-        F.lit(True).alias("_new"),
-    )
-    if previous is not None:
-        last = (
-            previous.join(rows.select("parent_asin").distinct(), on="parent_asin", how="left_semi")
-            .groupBy("parent_asin")
-            .agg(F.max_by(F.struct("product_title", "store", "year_month", "monthly_reviews"),
-                          F.struct("year_month", "product_title", "store")).alias("l"))
-            .select("parent_asin", "l.*")
-            .withColumn("monthly_avg_rating", F.lit(None).cast("double"))
-            .withColumn("_new", F.lit(False))
-        )
-        rows = rows.unionByName(last)
-    by_product = Window.partitionBy("parent_asin").orderBy("year_month", "product_title", "store")
-    out = (
-        rows.withColumn("prev_month_reviews", F.lag("monthly_reviews", 1).over(by_product))
-        .filter("_new")
-        .withColumn("velocity_change", F.col("monthly_reviews") - F.col("prev_month_reviews"))
-        .withColumn("velocity_change_pct", smoothed_pct("monthly_reviews", "prev_month_reviews"))
-        .withColumn("momentum", momentum("velocity_change_pct"))
+def partial_counts(reviews: DataFrame) -> DataFrame:
+    """Count and rating sum by product and month; sums of these are the whole's."""
+    dated = reviews.select("parent_asin", year_month(review_date("timestamp")).alias("year_month"), "rating")
+    return dated.groupBy("parent_asin", "year_month").agg(
+        F.count(F.lit(1)).alias("monthly_reviews"),
+        F.count("rating").alias("rated"),
+        F.sum(F.col("rating").cast("double")).alias("rating_sum"),
     )
-    return conform(out, REVIEW_VELOCITY)
 
 
 def velocity_sink(output_path: str):
-    """foreachBatch function writing velocity rows of each micro-batch."""
+    """foreachBatch function writing the partial counts of each micro-batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        previous = None
-        try:
-            previous = spark.read.parquet(output_path).filter(F.col("batch_id") < batch_id).drop("batch_id")
-        except Exception:  # noqa: BLE001 - nothing written yet
-            previous = None
-        _with_velocity(batch, previous).write.mode("overwrite").parquet(f"{output_path}/batch_id={batch_id}")
+        partial_counts(batch).write.mode("overwrite").parquet(f"{output_path}/batch_id={batch_id}")
 
     return write
 
 
-def start_velocity_stream(
-    reviews: DataFrame,
-    products: DataFrame,
-    output_path: str,
-    checkpoint_path: str,
-    lateness: str = "31 days",
-    available_now: bool = False,
-    hot_fraction: float = HOT_KEY_FRACTION,
-    rows_per_salt: int = ROWS_PER_SALT,
-):
+def start_velocity_stream(reviews: DataFrame, output_path: str, checkpoint_path: str, available_now: bool = False):
     """Start the streaming query; returns the ``StreamingQuery``."""
-    writer = (
-        monthly_counts(reviews, products, lateness, hot_fraction, rows_per_salt)
-        .writeStream.outputMode("append")
-        .option("checkpointLocation", checkpoint_path)
-        .foreachBatch(velocity_sink(output_path))
-    )
+    writer = reviews.writeStream.option("checkpointLocation", checkpoint_path).foreachBatch(velocity_sink(output_path))
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
-def read_velocity(spark: SparkSession, output_path: str) -> DataFrame:
-    """The velocity table written by the stream so far."""
-    return conform(spark.read.parquet(output_path), REVIEW_VELOCITY)
+def read_partials(spark: SparkSession, output_path: str) -> DataFrame:
+    """The partial counts written so far; an unreadable folder is an error, not an empty one."""
+    return spark.read.schema(PARTIALS).parquet(output_path)
+
+
+def read_velocity(spark: SparkSession, output_path: str, products: DataFrame, before: str | None = None) -> DataFrame:
+    """The velocity table of all reviews received so far, or of months before
+    ``before`` (a date), for readers who want only months past."""
+    partials = read_partials(spark, output_path)
+    if before:
+        partials = partials.filter(F.col("year_month") < F.lit(before).cast("date"))
+    sums = [F.sum(c).alias(c) for c in ("monthly_reviews", "rated", "rating_sum")]
+    months = partials.groupBy("parent_asin", "year_month").agg(*sums)
+    dim = product_dim(products).select("parent_asin", "product_title", "store")
+    monthly = (
+        months.join(dim, on="parent_asin", how="left")
+        .groupBy("parent_asin", "product_title", "store", "year_month")
+        .agg(*sums)
+        .withColumn("monthly_avg_rating", round_half_up(F.try_divide("rating_sum", "rated"), 2))
+    )
+    by_product = Window.partitionBy("parent_asin").orderBy("year_month", "product_title", "store")
+    out = (
+        monthly.withColumn("prev_month_reviews", F.lag("monthly_reviews", 1).over(by_product))
+        .withColumn("velocity_change", F.col("monthly_reviews") - F.col("prev_month_reviews"))
+        .withColumn("velocity_change_pct", smoothed_pct("monthly_reviews", "prev_month_reviews"))
+        .withColumn("momentum", momentum("velocity_change_pct"))
+    )
+    return conform(out, REVIEW_VELOCITY)
+
+
+def compact(spark: SparkSession, output_path: str, compacted_path: str) -> None:
+    """All batches' partial counts as one batch of a new folder, for a stopped stream's output."""
+    sums = [F.sum(c).alias(c) for c in ("monthly_reviews", "rated", "rating_sum")]
+    folded = read_partials(spark, output_path).groupBy("parent_asin", "year_month").agg(*sums)
+    folded.write.mode("overwrite").parquet(f"{compacted_path}/batch_id=-1")

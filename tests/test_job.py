@@ -52,3 +52,45 @@ def test_shuffle_partitions_sized_from_input(spark, tmp_path):
         assert size_shuffle_partitions(spark, [str(tmp_path / "in")], target_bytes=10**9) == 20
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_command_line(spark, tmp_path):
+    from revscope.plans.ask import ask_sql, open_published
+    from revscope.plans.job import main
+
+    i = Inputs(spark, SF)
+    i.reviews.write.json(str(tmp_path / "reviews"), compression="gzip")
+    i.products.write.json(str(tmp_path / "products"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    target, csv = str(tmp_path / "out"), str(tmp_path / "csv")
+    assert main([str(tmp_path / "reviews"), str(tmp_path / "products"), target, "--csv", csv]) == 0
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    tables = open_published(spark, target)
+    assert _frame_rows(tables["agg_review_velocity"]) == _frame_rows(i.velocity)
+    n = ask_sql(spark, {}, "SELECT count(*) AS n FROM agg_competitive_analysis").first().n
+    assert n == i.competitive.count()
+    from_csv = open_published(spark, csv, csv=True)
+    assert from_csv["agg_sentiment_trends"].count() == i.trends.count()
+
+
+def test_staging_folder(spark, monkeypatch):
+    import pytest
+
+    from revscope.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(Session())

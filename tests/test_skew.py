@@ -51,7 +51,7 @@ BUILDERS = {
 def test_hot_product_is_salted_and_results_are_unchanged(spark, no_broadcast):
     reviews, products = skewed_reviews(spark)
     # reference: no salting at all
-    expected = {k: _rows(b(enrich.prepare(reviews, products, hot_fraction=1.1))) for k, b in BUILDERS.items()}
+    expected = {k: _rows(b(enrich.prepare(reviews, products, rows_per_salt=None))) for k, b in BUILDERS.items()}
     salted = enrich.prepare(reviews, products, rows_per_salt=500)
     hot = enrich.hot_products(enrich.review_key_counts(reviews), rows_per_salt=500).collect()
     assert [r.parent_asin for r in hot] == ["P7"] and hot[0].salts >= 10
@@ -73,19 +73,49 @@ def test_hot_product_is_salted_and_results_are_unchanged(spark, no_broadcast):
     assert top.total_reviews * 2 >= reviews.count()
 
 
-def test_hot_key_list_is_bounded(spark):
-    reviews, _ = skewed_reviews(spark)
-    counts = enrich.review_key_counts(reviews)
-    # at most 1 / fraction keys can hold a fraction of the rows each
-    assert enrich.hot_products(counts, fraction=0.001, rows_per_salt=0).count() <= 1000
+def test_hot_key_list_names_every_large_key_up_to_its_bound(spark):
+    counts = spark.range(1000).select(F.concat(F.lit("P"), "id").alias("parent_asin"), F.lit(900_000_000).cast("long").alias("review_rows"))
+    hot = enrich.hot_products(counts).collect()
+    assert len(hot) == 1000 and {r.salts for r in hot} == {450}  # equal large keys are all hot
+    assert enrich.hot_products(counts, most=10).count() == 10
 
 
-def test_metadata_hot_list_is_bounded_and_skips_small_or_null(spark):
-    from revscope.schemas import PRODUCTS
+def small_join(spark, dim_rows, rows_per_salt):
+    reviews = spark.range(400).select(
+        F.when(F.col("id") % 4 == 0, F.lit(None)).when(F.col("id") % 4 == 1, "P1").otherwise(F.concat(F.lit("Q"), F.col("id") % 3)).alias("parent_asin"),
+        F.concat(F.lit("u"), "id").alias("user_id"),
+        F.col("id").alias("timestamp"),
+        F.lit("t").alias("title"),
+    )
+    dim = spark.createDataFrame(dim_rows, "parent_asin string, product_title string")
+    hot = enrich.hot_products(enrich.review_key_counts(reviews), rows_per_salt)
+    return enrich.attach_products(reviews, dim, None), enrich.attach_products(reviews, dim, hot)
+
 
-    rows = [("P1", "t", "c", "s", "$1", [], [], 4.0, 900), ("P2", "t", "c", "s", "$1", [], [], 4.0, 90),
-            (None, "t", "c", "s", "$1", [], [], 4.0, 5000), ("P3", "t", "c", "s", "$1", [], [], 4.0, 10)]
-    products = spark.createDataFrame(rows, PRODUCTS)
-    hot = {r.parent_asin: r.salts for r in enrich.hot_products_from_metadata(products, 0.05, 100).collect()}
-    assert hot == {"P1": 9}  # P2 is under rows_per_salt, P3 under the fraction, the NULL id is never hot
-    assert enrich.hot_products_from_metadata(products, 0.5, 0).count() <= 2
+def test_null_ids_and_duplicate_metadata_give_the_unsalted_result(spark, no_broadcast):
+    dims = [("P1", "a"), ("P1", "b"), ("P1", "a"), ("Q0", "c"), (None, "never")]
+    plain, salted = small_join(spark, dims, 10)
+    assert _rows(salted) == _rows(plain)
+    # the reviews without id are spread over tasks
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = salted.filter("parent_asin is null").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert tasks > 1
+
+
+def test_the_salt_reads_no_text_and_lets_filters_reach_the_scan(spark, tmp_path):
+    i = Inputs(spark, SF)
+    i.reviews.write.parquet(str(tmp_path / "reviews"))
+    reviews = spark.read.parquet(str(tmp_path / "reviews"))
+    enriched = enrich.prepare(reviews, i.products)
+    for build in (sentiment.sentiment_trends, velocity.velocity_analysis, theme.theme_prep):
+        plan = build(enriched)._jdf.queryExecution().optimizedPlan().toString()
+        scans = [line for line in plan.splitlines() if "Relation" in line]
+        physical = build(enriched)._jdf.queryExecution().executedPlan().toString()
+        schemas = [line.split("ReadSchema: ")[1] for line in physical.splitlines() if "ReadSchema" in line and "user_id" in line]
+        assert scans and schemas and not any("text:" in x or "asin:string,title" in x for x in schemas)
+    plan = enriched.filter("verified_purchase AND parent_asin = 'P7'").select("rating")._jdf.queryExecution().executedPlan().toString()
+    # the plan's text is cut after the second filter's first letters
+    assert "EqualTo(verified_purchase,true), EqualTo(p" in plan

@@ -163,7 +163,7 @@ def test_checkpoint_dir_comes_from_the_session(spark):
     from revscope.session import ensure_checkpoint_dir
 
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    assert ensure_checkpoint_dir(spark, fallback="/nonexistent-fallback") == named
+    assert ensure_checkpoint_dir(spark) == (named or spark.sparkContext.getCheckpointDir())
 
 
 def test_ask_sql_accepts_queries_only(spark):
@@ -189,3 +189,49 @@ def test_tolerant_read_falls_back_when_inference_fails(spark, tmp_path):
     fallback = readers.read_products_tolerant(spark, str(path), infer=True)
     assert "details" in fallback.columns and "_corrupt_record" in fallback.columns
     assert fallback.select("parent_asin").first().parent_asin == "P1"
+
+
+def test_csv_columns_are_matched_by_name(spark, tmp_path):
+    import pytest
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    (tmp_path / "t.csv").write_text("store,parent_asin,extra\nS1,P1,x\n")
+    schema = StructType([StructField(c, StringType()) for c in ("parent_asin", "store")])
+    assert [tuple(r) for r in readers.read_feature_csv(spark, str(tmp_path / "t.csv"), schema).collect()] == [("P1", "S1")]
+    assert [tuple(r) for r in readers.stage_strings(spark, str(tmp_path / "t.csv"), ["parent_asin", "store"]).collect()] == [("P1", "S1")]
+    with pytest.raises(ValueError):
+        readers.read_feature_csv(spark, str(tmp_path / "t.csv"), StructType([StructField("absent", StringType())]))
+
+
+def test_failed_export_keeps_the_whole_message(spark, tmp_path):
+    status = writers.export_all_csv(spark, str(tmp_path), str(tmp_path / "csv"), ["no_such_table"]).first()
+    assert status.status == "FAILED" and "no_such_table" in status.error and not status.error.endswith("...")
+
+
+def test_requested_column_that_is_absent_is_reported(spark):
+    from revscope.operators.profile import completeness
+
+    rows = {r.column_name: r for r in completeness(spark.createDataFrame([(1,), (None,)], "a int"), ["a", "b"]).collect()}
+    assert rows["a"].completeness_pct == 50.0 and rows["b"].status == "MISSING" and rows["b"].non_null_count is None
+
+
+def test_empty_inputs_give_nulls(spark):
+    from revscope.operators.enrich import match_rate
+    from revscope.operators.profile import completeness, product_summary
+
+    none = spark.createDataFrame([], "parent_asin string, title string")
+    assert match_rate(none, none).first().match_rate_pct is None
+    assert product_summary(none).first().avg_reviews_per_product is None
+    assert completeness(none).first().completeness_pct is None
+
+
+def test_only_queries_are_accepted(spark):
+    import pytest
+
+    from revscope.plans.ask import ask_sql, is_query
+
+    for sql in ("SELECT 1", "WITH a AS (SELECT 1 AS x) SELECT * FROM a", "VALUES (1)", "/* c */ (SELECT 1) UNION (SELECT 2)", "FROM range(3) SELECT id"):
+        assert is_query(spark, sql), sql
+    for sql in ("WITH a AS (SELECT 1) INSERT INTO t SELECT * FROM a", "FROM (SELECT 1) INSERT INTO t SELECT *", "CREATE TABLE t AS SELECT 1", "DROP TABLE t", "SET x = 1"):
+        with pytest.raises(ValueError):
+            ask_sql(spark, {}, sql)
