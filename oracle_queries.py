@@ -21,7 +21,7 @@ SECOND_TS = 'epoch_ms(("timestamp" // 1000) * 1000)'
 BASE = f"""
 nd AS (SELECT count(*) AS n FROM documents),
 reviews AS (
-  SELECT concat('P', l.l_partkey) AS parent_asin,
+  SELECT concat(CASE WHEN l.l_partkey % 43 = 0 THEN 'X' ELSE 'P' END, l.l_partkey) AS parent_asin,
          concat('P', l.l_partkey, '-', l.l_suppkey) AS asin,
          concat('U', o.o_custkey) AS user_id,
          CASE WHEN l.l_orderkey % 101 = 0 THEN NULL
@@ -36,7 +36,7 @@ reviews AS (
   LEFT JOIN documents d ON d.doc_id = l.l_orderkey % (SELECT n FROM nd)
 ),
 products AS (
-  SELECT concat('P', p_partkey) AS parent_asin,
+  SELECT concat('P', CASE WHEN p_partkey % 59 = 0 THEN p_partkey - 1 ELSE p_partkey END) AS parent_asin,
          p_type AS main_category,
          p_name AS title,
          CAST(10 + p_partkey % 41 AS DOUBLE) / 10 AS average_rating,

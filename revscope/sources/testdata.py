@@ -5,8 +5,9 @@
 
 Every lineitem row becomes one review and every part row one product; the
 modulo rules below only *derive attribute values* (a missing rating, a NULL
-store, a price written as text) so the enrichment rules meet NULLs and dirty
-values.  No rule filters rows.  Review text is drawn from the whole documents
+store, a price written as text, an id without metadata, an id recorded twice)
+so the enrichment rules meet NULLs, dirty values, unmatched reviews, unreviewed
+products and duplicate metadata.  No rule filters rows.  Review text is drawn from the whole documents
 table: document ``l_orderkey mod count(documents)`` (doc ids run 0..n-1).
 """
 
@@ -19,13 +20,6 @@ from revscope.schemas import PRODUCTS_FULL, REVIEWS, conform
 from revscope.sources.readers import spread
 
 
-def _parallelism(spark: SparkSession) -> int | None:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
-        return None
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -37,7 +31,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # a single-file table splits only by row groups: widen the narrow key
     # columns before the text join so the text work uses every core
-    li = spread(li, _parallelism(spark))
+    li = spread(li, spark.sparkContext.defaultParallelism)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     n_docs = docs.select(F.count(F.lit(1))).scalar()
@@ -48,7 +42,8 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = base.join(docs, base.doc_slot == docs.doc_id, "left")
     key = F.col("l_orderkey")
     out = joined.select(
-        F.concat(F.lit("P"), F.col("l_partkey")).alias("parent_asin"),
+        # every 43rd product's reviews name an id without metadata, so its own product row is unreviewed
+        F.concat(F.when(F.col("l_partkey") % 43 == 0, "X").otherwise("P"), F.col("l_partkey")).alias("parent_asin"),
         F.concat(F.lit("P"), F.col("l_partkey"), F.lit("-"), F.col("l_suppkey")).alias("asin"),
         F.concat(F.lit("U"), F.col("o_custkey")).alias("user_id"),
         F.when(key % 101 == 0, F.lit(None))
@@ -68,7 +63,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     key = F.col("p_partkey")
     out = part.select(
-        F.concat(F.lit("P"), key).alias("parent_asin"),
+        # every 59th row is a second record of the id before it
+        F.concat(F.lit("P"), F.when(key % 59 == 0, key - 1).otherwise(key)).alias("parent_asin"),
         F.col("p_type").alias("main_category"),
         F.col("p_name").alias("title"),
         ((10 + key % 41).cast("double") / 10).alias("average_rating"),
