@@ -34,6 +34,12 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return flat.select(*chosen)
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``df`` with its columns named ``__c0``, ``__c1`` and so on, and those names."""
+    names = [f"__c{i}" for i in range(len(df.columns))]
+    return df.toDF(*names), names
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in the executors' Python (once per application)."""
     context = spark.sparkContext

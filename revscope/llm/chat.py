@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from revscope.llm._common import pick
 
 BUDGET, HISTORY, SYSTEM, OVERHEAD = 1024, 192, 256, 4
-TOKEN = r"\w+|[^\w\s]"
+#: A word (a run without ASCII signs or white space) or an ASCII sign.
+TOKEN = r"[^\x00-\x20!-/:-@\[-`{-\x7F]+|[!-/:-@\[-`{-~]"
 END = "</turn>\n"
 
 
@@ -136,3 +137,28 @@ def chat_digests(conversations: DataFrame, **options: int) -> DataFrame:
         F.sha2("loss", 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+def oracle(extra: str, budget: int = BUDGET, history: int = HISTORY, system: int = SYSTEM) -> str:
+    """DuckDB SQL for ``chat_digests`` of ``conversations`` and the rows of ``extra``, counting
+    the formatted characters from the windows' sizes."""
+    stride = budget - history - system
+    return f"""
+WITH turns AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations UNION ALL {extra}),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos,
+                  len(regexp_extract_all(text, '{TOKEN}')) + {OVERHEAD} AS tokens,
+                  7 + coalesce(1 + length(role), 0) + length(text) + length(regexp_replace(text, '[^\\\\<>]', '', 'g')) + 8 AS size FROM turns),
+summed AS (SELECT *, sum(tokens) OVER (PARTITION BY conv_id ORDER BY pos) AS stop FROM placed),
+spans AS (SELECT *, stop - tokens AS start, (stop - tokens) // {stride} AS span FROM summed),
+apart AS (SELECT *, coalesce(stop > (span + 1) * {stride} AND lag(span) OVER (PARTITION BY conv_id ORDER BY pos) = span, false) AS apart FROM spans),
+firsts AS (SELECT *, coalesce(lag(span) OVER o <> span OR lag(apart) OVER o <> apart, true) AS opens,
+                  coalesce(sum(CASE WHEN pos = 1 AND role = 'system' THEN 0 ELSE size END) OVER (PARTITION BY conv_id ORDER BY start RANGE BETWEEN {history} PRECEDING AND 1 PRECEDING), 0) AS before,
+                  first_value(CASE WHEN role = 'system' THEN size ELSE 0 END) OVER o AS opening
+           FROM apart WINDOW o AS (PARTITION BY conv_id ORDER BY pos))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       (sum(size) + sum(CASE WHEN opens THEN before + CASE WHEN pos > 1 THEN opening ELSE 0 END ELSE 0 END))::BIGINT AS formatted_chars
+FROM firsts GROUP BY conv_id
+"""

@@ -27,11 +27,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from revscope.llm._common import pick, ship
+from revscope.llm._common import numbered, pick, ship
 
 #: n-grams in a language's profile, and at most in a text's.
 PLACES = 400
-SLICE_BYTES = 4 << 20
 UNKNOWN = "und"
 #: A text whose closeness to every profile is below this is in none of the languages.
 LEAST = 0.1
@@ -84,6 +83,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch({"lang": pa.array([lang] * len(keys)), "ngram": pa.array(keys.view(np.int64)), "n": pa.array(counts)})
         held.clear()
 
+    from revscope.llm._segments import lean
+
+    lean()
     for batch in batches:
         texts: dict[str, list] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
@@ -138,37 +140,36 @@ def load_profiles(profiles: DataFrame, places: int = PLACES) -> Profiles:
 
 
 def predicted(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred, score, margin; all columns of ``docs`` under their own names before them."""
+    """``docs`` with its columns numbered (``__c0``, ...) and lang_pred, score, margin."""
     ship(docs.sparkSession)
-    names = docs.columns
-    place = names.index(text_col)
+    flat, _ = numbered(docs)
+    place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from revscope.llm._segments import lean
+
+        lean()
         for batch in batches:
             found = [profiles.predict(x.as_py()) for x in batch.column(place)]
             lang, score, margin = (list(x) for x in zip(*found)) if found else ([], [], [])
             more = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(margin, pa.float64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "__lang_pred", "__score", "__margin"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "lang_pred", "score", "margin"])
 
-    fields = docs.toDF(*[f"__c{i}" for i in range(len(names))])
-    schema = StructType(list(fields.schema.fields))
-    for name, kind in (("__lang_pred", "string"), ("__score", "double"), ("__margin", "double")):
-        schema = schema.add(name, kind)
-    return fields.mapInArrow(run, schema)
+    schema = StructType(list(flat.schema.fields)).add("lang_pred", "string").add("score", "double").add("margin", "double")
+    return flat.mapInArrow(run, schema)
 
 
 def language_id(docs: DataFrame, learn: Column, held_out: Column, places: int = PLACES, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score."""
     profiles = load_profiles(learned(docs, learn, places, text_col, lang_col), places)
     rows = pick(docs.withColumn("__held", held_out), doc_id=id_col, held_out="__held", text=text_col)
-    return predicted(rows, profiles, "text").select(
-        F.col("__c0").cast("long").alias("doc_id"), F.col("__c1").alias("held_out"), F.col("__lang_pred").alias("lang_pred"), F.col("__score").alias("score"), F.col("__margin").alias("margin")
+    return predicted(rows, profiles).select(
+        F.col("__c0").cast("long").alias("doc_id"), F.col("__c1").alias("held_out"), "lang_pred", "score", "margin"
     )
 
 
 def in_learned_language(docs: DataFrame, learn: Column, least: float = LEAST, places: int = PLACES, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` whose text is in one of the learned languages, all columns."""
-    names = docs.columns
     profiles = load_profiles(learned(docs, learn, places, text_col, lang_col), places)
-    rows = predicted(docs, profiles, text_col).filter((F.col("__lang_pred") != UNKNOWN) & (F.col("__score") >= least))
-    return rows.drop("__lang_pred", "__score", "__margin").toDF(*names)
+    rows = predicted(docs, profiles, text_col).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return rows.drop("lang_pred", "score", "margin").toDF(*docs.columns)

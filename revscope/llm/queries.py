@@ -8,11 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revscope.llm import exact_dedup, language, toxicity
+from revscope.llm import chat, exact_dedup, jaccard, language, toxicity
 from revscope.llm.bpe import bpe_digests
-from revscope.llm.chat import chat_digests
 from revscope.llm.fingerprints import fingerprints
-from revscope.llm.jaccard import jaccard_components
 from revscope.llm.packing import pack
 from revscope.llm.secret_scan import secret_spans
 from revscope.llm.token_files import token_files
@@ -60,7 +58,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(_table(spark, sf_dir, "documents"))
+    return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
 #: Control strings of this and other templates as a turn's text.
@@ -71,7 +69,7 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     role = F.when(F.col("id") == 0, "user").otherwise("assistant")
     more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(TRICKY).alias("text"))
-    return chat_digests(turns.unionByName(more))
+    return chat.chat_digests(turns.unionByName(more))
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,4 +91,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.ORACLE,
+    "op6_chat": chat.oracle(f"SELECT -7, 0, 'user', '{TRICKY}' UNION ALL SELECT -7, 1, 'assistant', '{TRICKY}'"),
+    "op10_jaccard": jaccard.ORACLE,
 }

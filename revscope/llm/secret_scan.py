@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revscope.llm._common import pick
+from revscope.llm._common import numbered, pick
 
 # the contract's patterns (fixed values)
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -174,9 +174,8 @@ def redacted(text: Column, places: Column, mark: str = "[SECRET]") -> Column:
 
 def without_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with the found secrets of its text replaced, all rows and columns; null text stays null."""
-    names = docs.columns
-    flat = docs.toDF(*[f"__c{i}" for i in range(len(names))])
-    at = names.index(text_col)
-    rows = scanned(flat.select(F.struct("*").alias("row"), F.col(f"__c{at}").alias("text")))
-    clean = F.when(F.col(f"row.__c{at}").isNotNull(), redacted(F.col("text"), F.col("spans")))
-    return rows.select(*[(clean if i == at else F.col(f"row.__c{i}")).alias(f"__c{i}") for i in range(len(names))]).toDF(*names)
+    flat, names = numbered(docs)
+    own = names[docs.columns.index(text_col)]
+    rows = scanned(flat.select(F.struct("*").alias("row"), F.col(own).alias("text")))
+    clean = F.when(F.col(f"row.{own}").isNotNull(), redacted(F.col("text"), F.col("spans")))
+    return rows.select(*[(clean if n == own else F.col(f"row.{n}")).alias(n) for n in names]).toDF(*docs.columns)
