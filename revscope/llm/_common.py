@@ -76,6 +76,16 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/llm/{label}-{uuid.uuid4().hex}"
 
 
+#: Rows of a few ids that may be broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def measured(rows: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``rows`` (narrow and staged) as a join side: broadcast if counted at no
+    more than ``most``, shuffled with the other side beyond that."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows.hint("merge")
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
