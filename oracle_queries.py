@@ -453,6 +453,18 @@ _FINAL: dict[str, str] = {
         {_r("count(*) FILTER (WHERE sentiment = 'Positive') / count(*) * 100")} AS satisfaction_rate,
         {_r("count(*) FILTER (WHERE sentiment = 'Negative') / count(*) * 100")} AS negative_rate
         FROM enriched GROUP BY main_category""",
+    "peek": """SELECT parent_asin, title, description, categories, rating_number FROM (
+        SELECT CASE WHEN length(parent_asin) > 12 THEN parent_asin[1:12] || '...' ELSE parent_asin END AS parent_asin,
+               CASE WHEN length(title) > 12 THEN title[1:12] || '...' ELSE title END AS title,
+               concat(coalesce(len(description), 0), ' items') AS description,
+               concat(coalesce(len(categories), 0), ' items') AS categories, rating_number
+        FROM (SELECT * FROM products ORDER BY products.parent_asin NULLS FIRST, products.title NULLS FIRST LIMIT 25))""",
+    "display_rows": f"""SELECT parent_asin, CAST(review_count AS VARCHAR) AS review_count,
+        coalesce(printf('%.2f', avg_rating), 'NULL') AS avg_rating, coalesce(printf('%.2f', rating_stddev), 'NULL') AS rating_stddev
+        FROM (SELECT parent_asin, count(*) AS review_count, {_r("avg(rating)")} AS avg_rating,
+                     {_r("stddev_samp(rating)")} AS rating_stddev FROM reviews GROUP BY parent_asin)""",
+    "concat_parts": "SELECT * FROM customer UNION ALL BY NAME SELECT * FROM supplier",
+    "promote_staged": """SELECT parent_asin, TRY_CAST(price AS DOUBLE) AS price, rating_number, average_rating FROM products""",
     "feedback_for_product": f"""
         , m AS (SELECT * FROM enriched WHERE contains(product_title, 'ring'))
         , stats AS (SELECT parent_asin, product_title, store, count(*) AS total_reviews,

@@ -130,9 +130,11 @@ def latest_momentum(velocity: DataFrame, k: int = 10, momenta: tuple = ("Surging
     )
 
 
-def peek(df: DataFrame, n: int = 5, width: int = 100) -> DataFrame:
-    """First rows for display (K12): long strings cut to ``width`` characters,
-    arrays and maps shown as 'N items'."""
+def peek(df: DataFrame, n: int = 5, width: int = 100, order_by: list[str] | None = None) -> DataFrame:
+    """First rows for display (K12), in ``order_by`` order where given: long
+    strings cut to ``width`` characters, arrays and maps shown as 'N items'."""
+    if order_by:
+        df = df.orderBy(*[F.asc_nulls_first(c) for c in order_by])
     cols = []
     for field in df.schema.fields:
         c = F.col(field.name)

@@ -6,11 +6,14 @@ reviews per product) are set here, once."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
+from revscope.functions.display import display_rows
 from revscope.operators import (
     competitive,
     conversations,
@@ -25,9 +28,11 @@ from revscope.operators import (
     theme,
     velocity,
 )
-from revscope.plans.ask import ask_sql
-from revscope.session import ensure_utc
+from revscope.plans.ask import ask_sql, open_published
+from revscope.plans.job import build_features
+from revscope.session import ensure_checkpoint_dir, ensure_utc
 from revscope.sources import testdata
+from revscope.sources.readers import promote_staged, read_parts
 
 # ---- parameters for the test tables ----
 STORE = "Brand#2"              # a store present in the test data
@@ -56,7 +61,7 @@ METADATA_FIELDS = [
 
 
 class Inputs:
-    """Lazily built inputs of one query (plans only; nothing is computed here)."""
+    """Lazily built inputs of one query (plans only, but for ``published``, which is written)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         ensure_utc(spark)
@@ -111,6 +116,17 @@ class Inputs:
     def counts(self) -> DataFrame:
         return self._get("counts", lambda: sampling.review_counts(self.reviews))
 
+    @property
+    def published(self) -> dict[str, DataFrame]:
+        """The four tables as the job writes them, from one enrichment, opened as ``agg_*``."""
+
+        def write() -> dict[str, DataFrame]:
+            target = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/revscope-published-{uuid.uuid4().hex[:12]}"
+            build_features(self.enriched, self.spark, target, success_kwargs={"volume_bounds": SUCCESS_VOLUME})
+            return open_published(self.spark, target)
+
+        return self._get("published", write)
+
     @property
     def conversations(self) -> DataFrame:
         return self._get("conversations", lambda: testdata.table(self.spark, self.sf_dir, "conversations"))
@@ -207,22 +223,24 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "latest_trends": lambda i: reports.latest_trends(i.trends, 10),
     "latest_momentum": lambda i: reports.latest_momentum(i.velocity, 10),
     "random_sample": lambda i: reports.random_sample(i.reviews.select("parent_asin", "user_id", "rating", "timestamp"), 0.01, 42),
+    "peek": lambda i: reports.peek(
+        i.products.select("parent_asin", "title", "description", "categories", "rating_number"), 25, 12, ["parent_asin", "title"]
+    ),
+    "display_rows": lambda i: display_rows(profile.product_stats(i.reviews)),
+    # sources
+    "concat_parts": lambda i: read_parts(i.spark, [f"{i.sf_dir}/customer.parquet", f"{i.sf_dir}/supplier.parquet"]),
+    "promote_staged": lambda i: promote_staged(
+        i.products.select("parent_asin", "price", F.concat(F.col("rating_number").cast("string"), F.lit(".0")).alias("rating_number"), F.col("average_rating").cast("string").alias("average_rating")),
+        StructType([StructField("parent_asin", StringType()), StructField("price", DoubleType()), StructField("rating_number", IntegerType()), StructField("average_rating", DoubleType())]),
+    ),
     # quality
     "null_checks": lambda i: quality.null_checks(i.trends, i.competitive),
     "range_checks": lambda i: quality.range_checks(i.trends),
-    "feature_summary": lambda i: quality.feature_summary(i.trends, i.competitive, i.prediction, i.velocity),
+    "feature_summary": lambda i: quality.feature_summary(*(i.published[t] for t in (
+        "agg_sentiment_trends", "agg_competitive_analysis", "agg_success_prediction", "agg_review_velocity"))),
     "duplicate_products": lambda i: quality.duplicate_products(i.products),
     # question surface
-    "ask_sql": lambda i: ask_sql(
-        i.spark,
-        {
-            "agg_sentiment_trends": i.trends,
-            "agg_competitive_analysis": i.competitive,
-            "agg_success_prediction": i.prediction,
-            "agg_review_velocity": i.velocity,
-        },
-        ASK_SQL_EXAMPLE,
-    ),
+    "ask_sql": lambda i: ask_sql(i.spark, i.published, ASK_SQL_EXAMPLE),
     "top_by_satisfaction": lambda i: questions.top_by_satisfaction(i.competitive, 5),
     "feedback_for_top_rated": lambda i: questions.feedback_for_top_rated(i.competitive, i.enriched, 5, 3),
     "surging_products": lambda i: questions.surging_products(i.velocity),

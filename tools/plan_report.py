@@ -20,7 +20,6 @@ QUERIES = [
     "theme_prep", "sample_reviews", "text_stats", "completeness", "extract_sample", "top_per_category",
     "last_turns", "feedback_for_top_rated",
 ]
-# ``prepare`` (60k+ rows with all columns) is collected too: fine at the sizes this report is run on.
 
 
 def final_section(plan: str) -> str:
@@ -38,7 +37,7 @@ def summarise(plan: str) -> list[str]:
         s = re.sub(r"^\*\(\d+\)\s*", "", s)  # whole-stage codegen marker
         if s.startswith(("FileScan", "Scan parquet")):
             table = re.search(r"/([a-z]+)\.parquet", s)
-            schema = re.search(r"ReadSchema: (struct<[^>]*>)", s)
+            schema = re.search(r"ReadSchema: (struct<.*>)", s)
             pushed = re.search(r"PushedFilters: (\[[^\]]*\])", s)
             out.append(f"scan {table.group(1) if table else '?'} {schema.group(1) if schema else ''} pushed={pushed.group(1) if pushed else '[]'}")
         elif re.match(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct)", s):
@@ -57,15 +56,14 @@ def main() -> None:
     from revscope.plans.registry import queries
     from revscope.session import session
 
-    spark = session("plan-report", {"spark.sql.shuffle.partitions": "16"}, master="local[8]")
+    spark = session("plan-report", {"spark.sql.shuffle.partitions": "16", "spark.sql.maxMetadataStringLength": "2000"}, master="local[8]")
     spark.sparkContext.setLogLevel("ERROR")
     registry = queries()
     print(f"# Final physical plans ({os.path.basename(sf)}, local[8], AQE on)\n")
     print("Generated by `tools/plan_report.py`; each query was executed before its plan was read.\n")
     for name in QUERIES:
         df = registry[name](spark, sf)
-        df.write.format("noop").mode("overwrite").save()  # warm
-        df.collect()  # finalises this frame's own adaptive plan
+        df._jdf.queryExecution().toRdd().count()  # runs this frame's own adaptive plan; rows stay on the executors
         plan = df._jdf.queryExecution().executedPlan().toString()
         print(f"## {name}\n\n```")
         print("\n".join(summarise(plan)))
