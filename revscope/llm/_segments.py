@@ -28,8 +28,14 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return out + np.repeat(starts - (ends - lengths), lengths)
 
 
+def lean() -> None:
+    """Give memory back at once: Arrow's own pool keeps what a worker once used."""
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of about ``most`` bytes of ``column``, one row at least."""
+    lean()
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     at, n = 0, batch.num_rows
     ends = np.cumsum(lengths, dtype=np.int64)

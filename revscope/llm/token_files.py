@@ -133,6 +133,9 @@ def _blocks(rank_of: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
+        from revscope.llm._segments import lean
+
+        lean()
         expand = zstandard.ZstdDecompressor().decompress
         file, block = TaskContext.get().partitionId(), 0
         docs: list[tuple[int | None, np.ndarray]] = []
@@ -191,6 +194,9 @@ def write_tokens(docs: DataFrame, vocabulary_path: str, folder: str, id_col: str
 
 def _decoded(id_of: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from revscope.llm._segments import lean
+
+        lean()
         for batch in batches:
             for value in batch.column("content"):
                 content, at = value.as_py(), 0

@@ -14,7 +14,7 @@ word of the sample that enough texts have) reach the driver.  Scoring is a
 projection of the text.
 
 Defined cases: null text counts as empty and gets the model's score of a text
-without words; labels without a text, null labels and texts without a label
+without words; labels without a text, labels other than 0 and 1 and texts without a label
 teach nothing; where no label 1 or no label 0 was learned every score is the
 share of label 1 (0 if nothing was); repeated rows each get a row; further
 columns are not read; an empty table gives no rows.
@@ -170,7 +170,7 @@ class Model:
 def learned(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """The classifier fitted on at most ``sample`` rows of each label of those where ``learn`` (of doc_id) holds."""
     ship(docs.sparkSession)
-    marked = pick(labels, doc_id=id_col, toxic="toxic").filter("toxic is not null and doc_id is not null").filter(learn)
+    marked = pick(labels, doc_id=id_col, toxic="toxic").filter("toxic in (0, 1) and doc_id is not null").filter(learn)
     rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
     # twice the rows first, so that labels without a document are made up for
     chosen = staged(marked.withColumn("rank", rank).filter(F.col("rank") <= 2 * sample).select("doc_id", "toxic"), "labels")
