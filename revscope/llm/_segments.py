@@ -35,7 +35,6 @@ def lean() -> None:
 
 def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of about ``most`` bytes of ``column``, one row at least."""
-    lean()
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     at, n = 0, batch.num_rows
     ends = np.cumsum(lengths, dtype=np.int64)
@@ -44,6 +43,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordB
         to = max(at + 1, int(np.searchsorted(ends, done + most, side="right")))
         yield batch.slice(at, to - at)
         at = to
+        pa.default_memory_pool().release_unused()
 
 
 class Vocabulary:

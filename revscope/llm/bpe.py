@@ -169,8 +169,9 @@ def vocabulary(path: str, pattern: str):
 
 def _encoder(path: str, pattern: str, digests: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from revscope.llm._segments import slices, token_ids
+        from revscope.llm._segments import lean, slices, token_ids
 
+        lean()
         vocab, ranks = vocabulary(path, pattern), load(path)
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):

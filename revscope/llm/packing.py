@@ -102,9 +102,10 @@ def cut_documents(counts: np.ndarray, capacity: int, piece: int) -> Cut:
 
 def _packer(path: str, capacity: int, piece: int, block: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from revscope.llm._segments import slices, token_ids
+        from revscope.llm._segments import lean, slices, token_ids
         from revscope.llm._tokenizer import vocabulary
 
+        lean()
         vocab = vocabulary(path)
         sequence = TaskContext.get().partitionId() << 36
         waiting: list[pa.Table] = []

@@ -76,9 +76,10 @@ def _tokenised(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        from revscope.llm._segments import slices, token_ids
+        from revscope.llm._segments import lean, slices, token_ids
         from revscope.llm._tokenizer import vocabulary
 
+        lean()
         vocab = vocabulary(path)
         press = zstandard.ZstdCompressor(level=1).compress
         total = np.zeros(0, np.int64)

@@ -27,7 +27,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,8 +59,9 @@ def _hash(word: str) -> int:
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the distinct words of each text, text after text, and offsets."""
     from revscope.llm._segments import ragged
+    from revscope.llm._words import split_words
 
-    parts = pc.utf8_split_whitespace(texts.cast(pa.large_string()))
+    parts = split_words(texts)
     offsets = parts.offsets.to_numpy()
     offsets = offsets - offsets[0]
     coded = parts.flatten().dictionary_encode()
