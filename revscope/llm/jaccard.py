@@ -9,7 +9,8 @@ Method.
    most ``k`` differing shingles between linked sets is cut, by shingle hash,
    into ``k + 1`` segments, so linked sets agree on a segment.  A segment token
    is the hash of a segment; every set has those of its own size range and of
-   the next, which covers all pairs of sizes that can link.
+   the next, which covers all pairs of sizes that can link.  (Exact from a
+   similarity of 0.9 on; for lower ones see ``ranges``.)
 2. Classes that share a segment token are joined into families; sets of
    different families cannot link.  A family is partitioned into groups of
    bounded size.
@@ -32,6 +33,7 @@ table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revscope.llm._common import pick, ship, staged
+from revscope.llm._common import measured, numbered, pick, ship, staged
 from revscope.llm._words import components, mix, shingle_hashes, word_hashes
 
 SIZE = 3
@@ -47,18 +49,25 @@ SIZE = 3
 NUM, DEN = 90, 100
 SLICE_BYTES = 16 << 20
 #: Segment tokens met in one task, about; bytes of a token (besides the bits that chose the task) and of a class's name.
-PART_TOKENS, TOKEN_BYTES, NODE_BYTES = 500_000, 5, 6
+PART_TOKENS, TOKEN_BYTES, NODE_BYTES = 1_000_000, 5, 6
+#: Shingles of a segment, and the chance that a link at the threshold has no token, where ``k + 1`` segments would be too short.
+SEGMENT, MISS = 10, 1e-4
 NODES = 1 << 8 * NODE_BYTES
 #: A group holds about so many tokens and sets at most.
 GROUP_TOKENS, GROUP_SETS = 500_000, 768
 
 
-def ranges(largest: int, num: int = NUM, den: int = DEN) -> tuple[np.ndarray, np.ndarray]:
-    """Upper ends of the size ranges, and the segments of each range's scheme.
+def ranges(largest: int, num: int = NUM, den: int = DEN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Upper ends of the size ranges, and the segments and rounds of each range's scheme.
 
     Sizes a <= b can link only if ``den * a >= num * b``, so the two are in one
-    range or in neighbours; then at most ``(a + b) (den - num) / (den + num)``
-    shingles are in one set alone.
+    range or in neighbours; then at most ``k = (a + b) (den - num) / (den + num)``
+    shingles are in one set alone, and of ``k + 1`` segments one is equal.
+
+    Below a similarity of about 0.9 such segments hold so few shingles that they
+    agree by chance.  There segments are ``SEGMENT`` shingles long, cut anew in
+    so many rounds that two linked sets, at the threshold itself, fail to agree
+    on any with a probability of at most ``MISS``.
     """
     ends, low = [], 1
     while True:
@@ -67,18 +76,31 @@ def ranges(largest: int, num: int = NUM, den: int = DEN) -> tuple[np.ndarray, np
         if low > largest:
             break
         low = high + 1
-    ends = np.array(ends, np.int64)
-    return ends, 2 * ends * (den - num) // (den + num) + 1
-
-
-def segment_tokens(shingles: np.ndarray, scheme: int, segments: int) -> np.ndarray:
-    """A hash for each of ``segments`` parts of the sorted set ``shingles``."""
-    part = ((shingles >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)
-    with np.errstate(over="ignore"):
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(shingles, 3), dtype=np.uint64)])
-        bounds = np.searchsorted(part, np.arange(segments + 1, dtype=np.uint64))
-        total = sums[bounds[1:]] - sums[bounds[:-1]]
-        return mix(total + mix(np.arange(segments, dtype=np.uint64) + np.uint64(scheme << 32), 4))
+    segments, rounds = [], []
+    for high in ends:
+        k = 2 * high * (den - num) // (den + num)
+        parts = high // SEGMENT
+        if (den + num) >= 2 * (SEGMENT - 1) * (den - num) or k < 8:
+            segments.append(k + 1)
+            rounds.append(1)
+        else:
+            segments.append(parts)
+            rounds.append(math.ceil(math.log(1 / MISS) / (parts * (1 - 1 / parts) ** k)))
+    return np.array(ends, np.int64), np.array(segments, np.int64), np.array(rounds, np.int64)
+
+
+def segment_tokens(shingles: np.ndarray, scheme: int, segments: int, rounds: int = 1) -> np.ndarray:
+    """A hash for each of ``segments`` parts of the sorted set ``shingles``, in each round of cuts."""
+    found = []
+    for r in range(rounds):
+        cut = np.sort(mix(shingles, 100 + r)) if r else shingles
+        part = ((cut >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)
+        with np.errstate(over="ignore"):
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(cut, 3), dtype=np.uint64)])
+            bounds = np.searchsorted(part, np.arange(segments + 1, dtype=np.uint64))
+            total = sums[bounds[1:]] - sums[bounds[:-1]]
+            found.append(mix(total + mix(np.arange(segments, dtype=np.uint64) + np.uint64((scheme << 40) + (r << 32)), 4)))
+    return np.concatenate(found)
 
 
 def _sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -145,7 +167,7 @@ def _tokens(size: int, num: int, den: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from revscope.llm._segments import slices
 
-        ends, segments = ranges(1 << 16, num, den)
+        ends, segments, rounds = ranges(1 << 16, num, den)
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 tokens, nodes, seen = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], set()
@@ -156,20 +178,22 @@ def _tokens(size: int, num: int, den: int, bits: int):
                         continue
                     seen.add(digest)
                     while ends[-2] < n:
-                        ends, segments = ranges(2 * n, num, den)
+                        ends, segments, rounds = ranges(2 * n, num, den)
                     m = int(np.searchsorted(ends, n))
-                    tokens += [segment_tokens(s, k, int(segments[k])) for k in (m, m + 1)]
+                    tokens += [segment_tokens(s, k, int(segments[k]), int(rounds[k])) for k in (m, m + 1)]
                     nodes.append(np.full(len(tokens[-1]) + len(tokens[-2]), digest[0] % NODES, np.uint64))
                 token, least, edges = _star(np.concatenate(tokens), np.concatenate(nodes))
                 cuts = np.searchsorted(token >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)).tolist()
-                cells = [_packed(token[a:b], TOKEN_BYTES) + _packed(least[a:b], NODE_BYTES) for a, b in zip(cuts, cuts[1:])]
-                yield pa.record_batch(
-                    {
-                        "part": pa.array(np.arange(1 << bits, dtype=np.int32)),
-                        "cells": pa.array(cells, pa.binary()),
-                        "edges": pa.array([edges.tobytes(), *[b""] * (len(cells) - 1)], pa.binary()),
-                    }
-                )
+                filled = [(p, a, b) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+                cells = [_packed(token[a:b], TOKEN_BYTES) + _packed(least[a:b], NODE_BYTES) for _, a, b in filled]
+                if filled:
+                    yield pa.record_batch(
+                        {
+                            "part": pa.array([p for p, _, _ in filled], pa.int32()),
+                            "cells": pa.array(cells, pa.binary()),
+                            "edges": pa.array([edges.tobytes(), *[b""] * (len(cells) - 1)], pa.binary()),
+                        }
+                    )
 
     return run
 
@@ -364,7 +388,8 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, num: int = NUM, den: i
     candidates = classes.join(families, "node").select("first_id", "n_shingles", "d1", "d2", F.col("component").alias("family"))
     candidates = staged(candidates, "candidates")
     chosen = candidates.filter("first_id is not null").select("family", F.col("first_id").alias("cid"), "n_shingles", "d1", "d2")
-    texts = narrow.join(chosen, narrow["doc_id"] == chosen["cid"]).drop("doc_id")
+    # candidates grow with the documents: shuffled at every size
+    texts = narrow.join(chosen.hint("merge"), narrow["doc_id"] == chosen["cid"]).drop("doc_id")
     members = staged(texts.mapInArrow(_fetched(size), "family long, cid long, n_shingles long, members binary"), "members")
     links = components(_family_links(members, num, den), "src", "dst")
     named = classes.join(links, classes["first_id"] == links["node"], "left").select(
@@ -381,5 +406,22 @@ def one_of_each(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int = DE
     """
     found = jaccard_components(docs, size, num, den, id_col, text_col)
     gone = staged(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "near-copies")
-    # few documents go: the ids that do are shuffled with the rows, or broadcast if Spark finds them small
-    return docs.join(gone, docs[id_col].cast("long") == gone["__gone"], "left_anti")
+    flat, names = numbered(docs)
+    own = flat[names[docs.columns.index(id_col)]].cast("long")
+    return flat.join(measured(gone), own == gone["__gone"], "left_anti").toDF(*docs.columns)
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+ORACLE = f"""
+WITH RECURSIVE
+words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {SIZE} THEN [array_to_string(w[i:i + {SIZE} - 1], ' ') FOR i IN range(1, len(w) - {SIZE} + 2)]
+                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE {DEN} * common.n >= {NUM} * (x.n + y.n - common.n)),
+reached AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other)
+SELECT reached.doc_id, coalesce(any_value(sizes.n), 0) AS n_shingles, min(other) AS component_id
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY reached.doc_id
+"""
