@@ -4,8 +4,12 @@ Base spans: assignments, access keys and long hexadecimal runs, found by fixed
 patterns.  Method: in candidate strings a window of ``WINDOW`` characters
 slides by one; counts of the characters in it are updated by the one that
 enters and the one that leaves, and the Shannon entropy with them.  A candidate
-whose highest entropy reaches its character class's threshold adds a span of
-kind ``entropy``, unless an allow-list pattern matches it or base spans cover it.
+is judged by its maximal runs per character class (``RUNS``, itself among them),
+so a key counts by its own class whatever touches it: where the highest entropy
+of a run reaches its class's threshold, the whole candidate (with the name, path
+or padding joined to it) adds a span of kind ``entropy``, unless base spans
+cover it.  The allow list silences runs: ``ALLOWED`` has to match a run from
+end to end, and what ``CUT`` matches is taken out before runs are made.
 
 Positions are code points, ends exclusive.  Everything is a projection of the
 text, so nothing is shuffled.
@@ -32,17 +36,40 @@ KINDS = ("assign", "access", "hex", "entropy")
 #: Runs of the widest class; those with a letter and a digit are candidates.
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
-#: Character class, its pattern, and the entropy in bits from which a window counts.
-CLASSES = (("hex", r"^[0-9A-Fa-f]+$", 3.0), ("base64", r"^", 3.9))
-#: Runs that are no secrets: counting and alphabet rows, one unit repeated, UUIDs, file and version names.
+#: A part of a path or name that is a plain word: letters only, of one case but for the first.
+_PLAIN = r"(?<![0-9A-Za-z])(?:[A-Za-z]?[a-z]{3,}|[A-Z]{4,})(?![0-9A-Za-z])"
+#: Character class of a run (the first that matches it), its pattern, and the entropy in bits from which a
+#: window counts: what all but about 1 % of 20 random characters of the class reach.  Paths and names reach
+#: that of the last two classes, so joined parts count in full only without a plain word among them.
+CLASSES = (
+    ("hex", r"^[0-9A-Fa-f]+$", 2.9),
+    ("base32", r"^(?:[0-9A-Z]+|[0-9a-z]+)$", 3.3),
+    ("alnum", r"^[0-9A-Za-z]+$", 3.64),
+    ("base64", rf"^(?!.*{_PLAIN})(?:[0-9A-Za-z+/=]+|[0-9A-Za-z_=-]+)$", 3.64),
+    ("joined", r"^", 3.9),
+)
+#: The runs by which a candidate is judged.
+RUNS = tuple(f"[{c}]{{{WINDOW},}}" for c in ("0-9A-Fa-f", "0-9A-Z", "0-9a-z", "0-9A-Za-z", "0-9A-Za-z+/=", "0-9A-Za-z_=-", "0-9A-Za-z+/_=-"))
+#: Keys written in dashed groups of one length (4 to 8) and one case; judged without the dashes.
+GROUPS = "|".join(
+    rf"(?<![0-9A-Za-z])[{c}]{{{n}}}(?:-[{c}]{{{n}}}){{{-(-WINDOW // n) - 1},}}(?![0-9A-Za-z])" for n in range(4, 9) for c in ("0-9A-Z", "0-9a-z")
+)
+_ROWS = "0123456789|123456789|abcdefghij|qwertyuiop|example|sample|placeholder|dummy|xxxx"
+_UUID = "[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
+#: Runs that are no secrets, from end to end: letters and digits around a counting or alphabet row or a
+#: placeholder word, one unit repeated, UUIDs, file and version names.
 ALLOWED = (
-    r"(?i)^(?=.*(0123456789|123456789|abcdefghij|qwertyuiop))",
-    r"^(.{1,8}?)\1{2,}",
-    r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
-    r"(?i)example|sample|placeholder|dummy|xxxx",
-    r"^[A-Za-z]+([-_/][A-Za-z]+)*[-_/]?[0-9]{1,4}$",
+    rf"(?i)^[0-9a-z]*(?:{_ROWS})[0-9a-z]*$",
+    r"^(.{1,8}?)\1{2,}$",
+    rf"(?i)^{_UUID}$",
+    r"^[A-Za-z]++(?:[-_/][A-Za-z]++)*+[-_/]?[0-9]{1,4}$",  # possessive: Java recurses for each part otherwise
 )
-
+#: What is taken out of a candidate: the first and third of these as parts of it, and the key of public manuals.
+CUT = "|".join((
+    rf"(?i:(?<![0-9a-z])(?=[0-9a-z]*?(?:{_ROWS}))[0-9a-z]+)",
+    rf"(?i:(?<![0-9a-z]){_UUID}(?![0-9a-z]))",
+    "wJalrXUtnFEMI/K7MDENG/bPxRfiCY[0-9A-Za-z]*",
+))
 
 def spans(text: Column, matches: Column, pattern: str) -> Column:
     """(start, end) of all ``matches`` of ``pattern``: the gaps between them tell where they lie."""
@@ -60,7 +87,12 @@ def spans(text: Column, matches: Column, pattern: str) -> Column:
 
 def highest_entropy(value: Column, window: int = WINDOW) -> Column:
     """The largest Shannon entropy (bits) of a window of ``value``, by incremental counts."""
-    codes = F.transform(F.split(value, ""), lambda c: F.ascii(c))
+    # as an array's only element the codes are a variable, made once and not at every step
+    once = F.array(F.transform(F.split(value, ""), lambda c: F.ascii(c)))
+    return F.get(F.transform(once, lambda codes: _highest(codes, window)), F.lit(0))
+
+
+def _highest(codes: Column, window: int) -> Column:
     weight = lambda n: F.when(n > 0, n * F.log2(n)).otherwise(F.lit(0.0))
     zero = F.struct(F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
 
@@ -76,18 +108,34 @@ def highest_entropy(value: Column, window: int = WINDOW) -> Column:
         best = F.when((i >= window - 1) & (entropy > s["best"]), entropy).otherwise(s["best"])
         return F.struct(counts.alias("counts"), total.alias("sum"), best.alias("best"))
 
-    return F.aggregate(F.sequence(F.lit(0), F.length(value) - 1), zero, step, lambda s: s["best"])
+    return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), zero, step, lambda s: s["best"])
 
 
 def _suspicious(value: Column, window: int) -> Column:
     threshold = F.lit(None).cast("double")
     for _, pattern, bits in reversed(CLASSES):
         threshold = F.when(value.rlike(pattern), F.lit(bits)).otherwise(threshold)
+    # the sum of changes may end a rounding error below the threshold
+    return _mixed(value) & ~_allowed(value) & (highest_entropy(value, window) >= threshold - 1e-9)
+
+
+def _mixed(value: Column) -> Column:
+    return value.rlike("[0-9]") & value.rlike("[A-Za-z]")
+
+
+def _allowed(value: Column) -> Column:
     allowed = F.lit(False)
     for pattern in ALLOWED:
         allowed = allowed | value.rlike(pattern)
-    # the sum of changes may end a rounding error below the threshold
-    return F.when(allowed, F.lit(False)).otherwise(highest_entropy(value, window) >= threshold - 1e-9)
+    return allowed
+
+
+def _judged(candidate: Column, window: int) -> Column:
+    """Whether a run of ``candidate`` is suspicious."""
+    rest = F.regexp_replace(candidate, CUT, " ")
+    groups = F.transform(F.regexp_extract_all(rest, F.lit(GROUPS), 0), lambda v: F.replace(v, F.lit("-"), F.lit("")))
+    runs = F.array_distinct(F.concat(*[F.regexp_extract_all(rest, F.lit(pattern), 0) for pattern in RUNS], groups))
+    return F.when(_mixed(candidate) & ~_allowed(candidate), F.exists(runs, lambda v: _suspicious(v, window))).otherwise(F.lit(False))
 
 
 def _kind(places: Column, kind: int, keep: Column | None = None) -> Column:
@@ -125,10 +173,7 @@ def scanned(rows: DataFrame, window: int = WINDOW) -> DataFrame:
         ),
     ).otherwise(F.array().cast("array<struct<start:int,kind:int,end:int>>"))
     based = matched.select("row", "text", "m_candidate", base.alias("base"))
-    judged = F.transform(
-        "m_candidate",
-        lambda v: F.when(v.rlike("[0-9]") & v.rlike("[A-Za-z]"), _suspicious(v, window)).otherwise(F.lit(False)),
-    )
+    judged = F.transform("m_candidate", lambda v: _judged(v, window))
     added = F.when(
         F.size("m_candidate") > 0,
         F.filter(

@@ -111,6 +111,34 @@ def test_secret_spans(spark, awkward):
     assert len(secret_scan.secret_spans(awkward).collect()) == awkward.count()
 
 
+KEYS = {
+    "hex": ("0123456789ABCDEF", 32), "base32": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 32), "lower": ("abcdefghijklmnopqrstuvwxyz0123456789", 24),
+    "alnum": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 24), "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 40),
+}
+AROUND = ["{}", "KEY={}", "id={}", "/{}", "my-name-{}", "---{}", "/sample/{}", "example={}", "dummy_{}", "a/123456789/{}", "{}/x", "{}=="]
+
+
+def test_random_keys_are_found_whatever_touches_them(spark):
+    r = random.Random(11)
+    key = lambda letters, n: "".join(r.choice(letters) for _ in range(n))
+    rows = [(f"{name} {form}", form.format(key(*KEYS[name]))) for name in KEYS for form in AROUND for _ in range(60)]
+    rows += [("groups", "-".join(key("0123456789ABCDEF", 5) for _ in range(5))) for _ in range(60)]
+    rows += [("hex repeated digit", "AAA" + key("0123456789ABCDEF", 29)) for _ in range(60)]
+    df = spark.createDataFrame([(i, f"see {t} here") for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    found = Counter(rows[x.doc_id][0] for x in secret_scan.secret_spans(df).filter("spans <> ''").collect())
+    assert {name: n for name in dict(rows) if (n := found[name]) < 55} == {}
+
+
+def test_what_is_no_key_stays(spark):
+    texts = [
+        "a-long-file-name-with-number-12", "550e8400-e29b-41d4-a716-446655440000", "id=550e8400-e29b-41d4-a716-446655440000", "src/main/java/com/acme/service/UserService2Impl",
+        "TEST_CASE_NUMBER_42_WITH_ERROR", "getHttpResponseCode200Ok", "x/0123456789abcdefghijklmnop", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "key=zb1zb1zb1zb1zb1zb1zb1zb1",
+        "----------------------1a", "sample_ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "z" * 3_000 + "1", "a-" * 5_000 + "b1",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [texts[x.doc_id] for x in secret_scan.secret_spans(df).filter("spans <> ''").collect()] == []
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(1, "a token = \"24be64439e3e49cf46b2d7c90f3602a3d0b907ff\" b"), (2, "clean"), (3, None)], "doc_id long, text string")
     assert [r.text for r in secret_scan.without_secrets(df).orderBy("doc_id").collect()] == ['a [SECRET]" b', "clean", None]
