@@ -11,6 +11,14 @@ Learning counts n-grams over all learning rows; a task merges its counts before
 they are shuffled, and what reaches the driver is the profiles, ``PLACES`` rows
 a language.  Prediction is a projection of the text.
 
+Rejection (``in_learned_language``) compares a text's closeness with a bound of
+its predicted language and text-length band, taken from all learning rows of
+that language and band: ``SLACK`` times the ``LOW`` quantile of their closeness
+to their own language.  Spark counts closeness in steps of ``1 / STEPS``, so at
+most that many rows a language and band reach the driver.  Bands short of
+``ENOUGH`` rows take in their neighbours.  What stays undecided: texts of a few
+words, whose closeness varies as much as noise does.
+
 Defined cases: null text or text without a letter is ``und`` with score 0; so is
 every text where nothing was learned; equal distances go to the first language
 by name; repeated rows each get a row; further columns are not read; an empty
@@ -32,8 +40,11 @@ from revscope.llm._common import numbered, pick, ship
 #: n-grams in a language's profile, and at most in a text's.
 PLACES = 400
 UNKNOWN = "und"
-#: A text whose closeness to every profile is below this is in none of the languages.
+#: A text whose closeness to every profile is below this is in none of the languages, whatever was learned.
 LEAST = 0.1
+#: The quantile of closeness of a language's and band's learning rows, what share of it is the bound, rows
+#: from which the quantile counts (the smallest closeness below that), and steps of closeness.
+LOW, SLACK, ENOUGH, STEPS = 0.05, 0.6, 100, 1000
 _END = np.uint64(1)  # a word's end in an n-gram; letters are above, 0 is no character
 
 
@@ -168,8 +179,51 @@ def language_id(docs: DataFrame, learn: Column, held_out: Column, places: int =
     )
 
 
+def _band(text: Column) -> Column:
+    """The text-length band: lengths up to twice the least one."""
+    return F.floor(F.log2(F.greatest(F.length(text), F.lit(1)))).cast("int")
+
+
+def rejection_bounds(rows: DataFrame, profiles: Profiles) -> dict[tuple[str, int], float]:
+    """Bounds by language and band, from learning rows (text, lang); bands between and beside those seen have one too."""
+    found = predicted(rows, profiles).filter("__c1 = lang_pred")
+    step = F.floor(F.col("score") * STEPS).cast("int")
+    counted = found.groupBy(F.col("lang_pred").alias("lang"), _band(F.col("__c0")).alias("band"), step.alias("step")).count()
+    held: dict[str, dict[int, dict[int, int]]] = {}
+    for r in counted.collect():  # at most STEPS rows a language and band
+        held.setdefault(r["lang"], {}).setdefault(r["band"], {})[r["step"]] = r["count"]
+    return {(lang, band): _bound(bands, band) for lang, bands in held.items() for band in range(32)}
+
+
+def _bound(bands: dict[int, dict[int, int]], band: int) -> float:
+    steps: dict[int, int] = {}
+    for far in range(32):
+        for near in {band - far, band + far}:
+            for step, n in bands.get(near, {}).items():
+                steps[step] = steps.get(step, 0) + n
+        if sum(steps.values()) >= ENOUGH:
+            break
+    total = sum(steps.values())
+    left = int(LOW * total) if total >= ENOUGH else 0
+    for step in sorted(steps):
+        left -= steps[step]
+        if left < 0:
+            return SLACK * step / STEPS
+    return 0.0
+
+
 def in_learned_language(docs: DataFrame, learn: Column, least: float = LEAST, places: int = PLACES, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` whose text is in one of the learned languages, all columns."""
     profiles = load_profiles(learned(docs, learn, places, text_col, lang_col), places)
-    rows = predicted(docs, profiles, text_col).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    return rows.drop("lang_pred", "score", "margin").toDF(*docs.columns)
+    rows = pick(docs.filter(learn), text=text_col, lang=lang_col).filter("text is not null and lang is not null")
+    bounds: dict[str, list[float]] = {}
+    for (lang, _), bound in sorted(rejection_bounds(rows, profiles).items()):
+        bounds.setdefault(lang, []).append(max(bound, least))
+    own = predicted(docs, profiles, text_col)
+    text = F.col(f"__c{docs.columns.index(text_col)}")
+    table = F.lit(None).cast("map<string,array<double>>")
+    if bounds:
+        table = F.create_map(*[x for lang, row in bounds.items() for x in (F.lit(lang), F.array(*map(F.lit, row)))])
+    bound = F.coalesce(F.get(table[F.col("lang_pred")], _band(text)), F.lit(least))
+    kept = own.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= bound))
+    return kept.drop("lang_pred", "score", "margin").toDF(*docs.columns)

@@ -232,6 +232,24 @@ def test_language_cases(spark, awkward, empty):
     assert kept.columns == awkward.columns and kept.count() == sum(any(c.isalpha() for c in t or "") and r is not None for t, r in zip(texts, texts) if t)
 
 
+FINNISH = "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto ja heidän on toimittava toisiaan kohtaan veljeyden hengessä jokaisella on oikeus elämään vapauteen ja henkilökohtaiseen turvallisuuteen ketään ei saa pitää orjana tai orjuutettuna".split()
+POLISH = "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa każdy człowiek posiada wszystkie prawa i wolności".split()
+
+
+def test_noise_and_unlearned_languages_go(spark):
+    r = random.Random(8)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    noise = lambda letters, n: " ".join("".join(r.choice(letters) for _ in range(r.randint(3, 9))) for _ in range(n))
+    strange = [noise(a, n) for a in ("bcdfghjklmnpqrstvwxz", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for n in (30, 60, 200) for _ in range(10)]
+    strange += [" ".join(r.choice(words) for _ in range(n)) for words in (FINNISH, POLISH) for n in (30, 60, 200) for _ in range(10)]
+    clean = ["the cat sat on the mat", "this is a short clean text", "Bonjour le monde", "das ist gut", "la casa es de los padres"]
+    more = [(-1 - i, t, None) for i, t in enumerate(strange)] + [(-1001 - i, t, None) for i, t in enumerate(clean)]
+    rows = docs.unionByName(spark.createDataFrame(more, docs.schema))
+    kept = {x.doc_id for x in language.in_learned_language(rows, F.col("lang").isNotNull()).collect()}
+    assert not kept & {-1 - i for i in range(len(strange))}
+    assert kept >= {-1001 - i for i in range(len(clean))} | {x.doc_id for x in docs.collect()}
+
+
 def test_toxicity_held_out(spark):
     folder = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
