@@ -116,8 +116,9 @@ def learned(docs: DataFrame, learn: Column, places: int = PLACES, text_col: str
     ship(docs.sparkSession)
     rows = pick(docs.filter(learn), text=text_col, lang=lang_col).filter("text is not null and lang is not null")
     counts = rows.mapInArrow(_counted, "lang string, ngram long, n long").groupBy("lang", "ngram").agg(F.sum("n").alias("n"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "ngram")) - 1
-    return counts.withColumn("place", place).filter(F.col("place") < places).select("lang", "ngram", "place")
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "ngram"))
+    # the bare row number in the filter lets each task cut its n-grams to ``places`` before the shuffle
+    return counts.withColumn("place", place).filter(F.col("place") <= places).select("lang", "ngram", (F.col("place") - 1).alias("place"))
 
 
 class Profiles:

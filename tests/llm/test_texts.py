@@ -250,6 +250,11 @@ def test_noise_and_unlearned_languages_go(spark):
     assert kept >= {-1001 - i for i in range(len(clean))} | {x.doc_id for x in docs.collect()}
 
 
+def test_profiles_are_cut_before_the_shuffle(documents):
+    plan = language.learned(documents, F.lit(True))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+
+
 def test_toxicity_held_out(spark):
     folder = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
