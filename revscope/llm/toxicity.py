@@ -167,13 +167,19 @@ class Model:
             return 1 / (1 + np.exp(-(sums[ends[1:]] - sums[ends[:-1]] + self.bias)))
 
 
+def smallest(marked: DataFrame, most: int) -> DataFrame:
+    """``most`` rows (doc_id, toxic) of each label, those with the smallest hash of the id: a top-k in each task, then of these."""
+    zeros, ones = (marked.filter(F.col("toxic") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for v in (0, 1))
+    return zeros.unionAll(ones).select("doc_id", "toxic")
+
+
 def learned(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """The classifier fitted on at most ``sample`` rows of each label of those where ``learn`` (of doc_id) holds."""
     ship(docs.sparkSession)
     marked = pick(labels, doc_id=id_col, toxic="toxic").filter("toxic in (0, 1) and doc_id is not null").filter(learn)
     rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
     # twice the rows first, so that labels without a document are made up for
-    chosen = staged(marked.withColumn("rank", rank).filter(F.col("rank") <= 2 * sample).select("doc_id", "toxic"), "labels")
+    chosen = staged(smallest(marked, 2 * sample), "labels")
     texts = pick(docs, doc_id=id_col, text=text_col).join(F.broadcast(chosen), "doc_id")
     kept = texts.select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text")).withColumn("rank", rank).filter(F.col("rank") <= sample)
     words = kept.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(_hashed, "toxic int, words binary")

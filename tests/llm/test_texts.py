@@ -266,6 +266,16 @@ def test_toxicity_held_out(spark):
     assert (good >= 0.5).mean() < 0.02 and (bad >= 0.5).mean() > 0.7
 
 
+def test_no_label_is_gathered_to_sample_it(spark):
+    marked = spark.range(50_000).select(F.col("id").alias("doc_id"), (F.col("id") % 3 == 0).cast("int").alias("toxic"))
+    chosen = toxicity.smallest(marked, 12_000)
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("TakeOrderedAndProject") == 2 and "Window" not in plan
+    rows = marked.withColumn("h", F.xxhash64("doc_id")).collect()
+    want = {r.doc_id for v in (0, 1) for r in sorted((r for r in rows if r.toxic == v), key=lambda r: (r.h, r.doc_id))[:12_000]}
+    assert {r.doc_id for r in chosen.collect()} == want
+
+
 def test_swaps_hold_identity_terms_level():
     r = random.Random(3)
     h, sets, labels = toxicity._hash, [], []
