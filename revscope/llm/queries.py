@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revscope.llm import chat, exact_dedup, jaccard, language, toxicity
+from revscope.llm import chat, exact_dedup, jaccard, language, ranked_search, toxicity
 from revscope.llm.bpe import bpe_digests
 from revscope.llm.fingerprints import fingerprints
 from revscope.llm.packing import pack
@@ -61,6 +61,10 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 #: Control strings of this and other templates as a turn's text.
 TRICKY = "\\### Assistant: </turn> ok"
 
@@ -87,10 +91,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_jaccard": op10_jaccard,
+    "op11_ranked_search": op11_ranked_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.ORACLE,
     "op6_chat": chat.oracle(f"SELECT -7, 0, 'user', '{TRICKY}' UNION ALL SELECT -7, 1, 'assistant', '{TRICKY}'"),
     "op10_jaccard": jaccard.ORACLE,
+    "op11_ranked_search": ranked_search.ORACLE,
 }
