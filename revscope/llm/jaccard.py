@@ -4,399 +4,136 @@ Two documents link when their sets of word shingles have a Jaccard similarity
 of 0.9 or more (a ratio of integers, compared exactly).
 
 Method.
-1. A pass over the texts makes each set's size and a 128-bit digest; equal sets
-   are one class from here on.  A second makes its segment tokens: a size range with at
-   most ``k`` differing shingles between linked sets is cut, by shingle hash,
-   into ``k + 1`` segments, so linked sets agree on a segment.  A segment token
-   is the hash of a segment; every set has those of its own size range and of
-   the next, which covers all pairs of sizes that can link.  (Exact from a
-   similarity of 0.9 on; for lower ones see ``ranges``.)
-2. Classes that share a segment token are joined into families; sets of
-   different families cannot link.  A family is partitioned into groups of
-   bounded size.
-3. Inside a group, a matrix of members by tokens gives all overlaps at once.
-   Groups of one family are compared by their components' representatives
-   first, then exactly: the matrix of a family has a row for each group, the
-   union of its members' prefix tokens (the smallest hashes, of which linked
-   sets share one).  A class outside its family's largest component is a query;
-   only groups whose union meets its prefix are opened, and their members
-   compared with it, in blocks.
-Links leave a task as a spanning forest, never as all pairs.
+1. One pass over the texts makes each set's size, a 128-bit digest (equal sets
+   are one class from here on) and its tokens, the shingles' hashes.  The tokens
+   are exchanged to find which of them other sets hold too (``_shared``); of a
+   set only those can be in an intersection, so a set that has fewer of them
+   than the similarity needs links with nothing.  This is exact at any
+   similarity, and what most documents share with others does not reach it.
+2. The sets left, reduced to these tokens, are partitioned into groups of
+   similar sets, of bounded size.  Inside a group, a matrix of members by tokens
+   gives all overlaps at once (``_matrix``).
+3. Groups are compared with each other through their token unions: tokens that
+   one component alone holds are dropped first, with the sets that have too few
+   others; the matrix of the rest has a row for each group, the union of its
+   members' tokens.  A set's overlap with a group bounds that with each member;
+   only groups where it is enough for a link, and that hold one of the set's
+   rarest tokens among their members' rarest, are opened, in blocks.
+Links leave a task as a spanning forest, never as all pairs; a set that lies in
+one component with a group's members is not compared with them again.
+
+Tokens are 64-bit hashes, of which at least 49 bits are exchanged.  The table
+must give its rows in the same order when read again, as files do.
 
 Defined cases: null text counts as empty; a document without words has an empty
 set and links with nothing; one with fewer than ``size`` words has its whole
-sequence as one shingle; rows that repeat a doc id are one node of the links;
-a text that only rows without doc id have gets a null component and passes no
-link on; repeated rows each get a row; further columns are not read; an empty
-table gives no rows.
+sequence as one shingle; very long texts are one set, whole; rows that repeat a
+doc id are one node of the links; a text that only rows without doc id have gets
+a null component and passes no link on; repeated rows each get a row; further
+columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revscope.llm import _shared
 from revscope.llm._common import measured, numbered, pick, ship, staged
-from revscope.llm._words import components, mix, shingle_hashes, word_hashes
+from revscope.llm._matrix import link_components
+from revscope.llm._words import mix, shingle_hashes, word_hashes
 
 SIZE = 3
 #: The similarity as a fraction: a link when ``DEN * intersection >= NUM * union``.
 NUM, DEN = 90, 100
 SLICE_BYTES = 16 << 20
-#: Segment tokens met in one task, about; bytes of a token (besides the bits that chose the task) and of a class's name.
-PART_TOKENS, TOKEN_BYTES, NODE_BYTES = 1_000_000, 5, 6
-#: Shingles of a segment, and the chance that a link at the threshold has no token, where ``k + 1`` segments would be too short.
-SEGMENT, MISS = 10, 1e-4
-NODES = 1 << 8 * NODE_BYTES
-#: A group holds about so many tokens and sets at most.
-GROUP_TOKENS, GROUP_SETS = 500_000, 768
-
-
-def ranges(largest: int, num: int = NUM, den: int = DEN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Upper ends of the size ranges, and the segments and rounds of each range's scheme.
-
-    Sizes a <= b can link only if ``den * a >= num * b``, so the two are in one
-    range or in neighbours; then at most ``k = (a + b) (den - num) / (den + num)``
-    shingles are in one set alone, and of ``k + 1`` segments one is equal.
-
-    Below a similarity of about 0.9 such segments hold so few shingles that they
-    agree by chance.  There segments are ``SEGMENT`` shingles long, cut anew in
-    so many rounds that two linked sets, at the threshold itself, fail to agree
-    on any with a probability of at most ``MISS``.
-    """
-    ends, low = [], 1
-    while True:
-        high = low * den // num
-        ends.append(high)
-        if low > largest:
-            break
-        low = high + 1
-    segments, rounds = [], []
-    for high in ends:
-        k = 2 * high * (den - num) // (den + num)
-        parts = high // SEGMENT
-        if (den + num) >= 2 * (SEGMENT - 1) * (den - num) or k < 8:
-            segments.append(k + 1)
-            rounds.append(1)
-        else:
-            segments.append(parts)
-            rounds.append(math.ceil(math.log(1 / MISS) / (parts * (1 - 1 / parts) ** k)))
-    return np.array(ends, np.int64), np.array(segments, np.int64), np.array(rounds, np.int64)
-
-
-def segment_tokens(shingles: np.ndarray, scheme: int, segments: int, rounds: int = 1) -> np.ndarray:
-    """A hash for each of ``segments`` parts of the sorted set ``shingles``, in each round of cuts."""
-    found = []
-    for r in range(rounds):
-        cut = np.sort(mix(shingles, 100 + r)) if r else shingles
-        part = ((cut >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)
-        with np.errstate(over="ignore"):
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(cut, 3), dtype=np.uint64)])
-            bounds = np.searchsorted(part, np.arange(segments + 1, dtype=np.uint64))
-            total = sums[bounds[1:]] - sums[bounds[:-1]]
-            found.append(mix(total + mix(np.arange(segments, dtype=np.uint64) + np.uint64((scheme << 40) + (r << 32)), 4)))
-    return np.concatenate(found)
 
 
-def _sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
+def text_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted shingle hashes of all texts, each once a text, and each text's count."""
     found, ends = shingle_hashes(*word_hashes(texts), size)
-    for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
-        yield np.unique(found[a:b])
-
-
-def _digest(shingles: np.ndarray) -> tuple[int, int]:
-    with np.errstate(over="ignore"):
-        return tuple(int(mix(shingles, k).sum(dtype=np.uint64).view(np.int64)) for k in (1, 2))
-
-
-def _digested(size: int):
-    """Size and digest of each document's set."""
+    sets = [np.unique(found[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+    return np.concatenate([np.zeros(0, np.uint64), *sets]), np.array([len(s) for s in sets], np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from revscope.llm._segments import slices
-
-        for batch in batches:
-            for part in slices(batch, "text", SLICE_BYTES):
-                found = [(len(s), *_digest(s)) for s in _sets(part.column("text"), size)]
-                counts, first, second = zip(*found)
-                yield pa.record_batch(
-                    {
-                        "doc_id": part.column("doc_id"),
-                        "n_shingles": pa.array(counts, pa.int64()),
-                        "d1": pa.array(first, pa.int64()),
-                        "d2": pa.array(second, pa.int64()),
-                    }
-                )
 
-    return run
-
-
-def _star(token: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct tokens, the smallest node of each, and an edge to it from each further node."""
-    order = np.argsort(token, kind="stable")
-    token, node = token[order], node[order]
-    first = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, np.int64)
-    least = np.minimum.reduceat(node, first) if len(first) else node
-    to = np.repeat(least, np.diff(np.append(first, len(token))))
-    other = node != to
-    return token[first], least, np.unique(np.stack([node[other], to[other]], axis=1), axis=0)
-
-
-def _packed(numbers: np.ndarray, width: int) -> bytes:
-    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+def digests(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit digests of each set."""
+    ends = np.cumsum(sizes)
+    out = []
+    for salt in (1, 2):
+        with np.errstate(over="ignore"):
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(tokens, salt), dtype=np.uint64)])
+            out.append((sums[ends] - sums[ends - sizes]).view(np.int64))
+    return out[0], out[1]
 
 
-def _unpacked(raw: bytes, width: int) -> np.ndarray:
-    out = np.zeros((len(raw) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
-    return out.view("<u8").ravel()
+def firsts(sizes: np.ndarray, d1: np.ndarray, d2: np.ndarray) -> np.ndarray:
+    """Whether each set is the first of its kind in the slice, and not empty."""
+    pairs = np.stack([d1, d2], axis=1)
+    first = np.zeros(len(sizes), bool)
+    first[np.unique(pairs, axis=0, return_index=True)[1]] = True
+    return first & (sizes > 0)
 
 
-def _tokens(size: int, num: int, den: int, bits: int):
-    """Segment tokens, dealt into ``2 ** bits`` parts by their first bits.
-
-    A slice sends each of its tokens once, with the smallest node that has it;
-    the edges to that node from the slice's others go along.
-    """
+def _dealt(size: int, bits: int):
+    """The texts' sets, a slice at a time, their tokens dealt to the parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from revscope.llm._segments import slices
+        from pyspark import TaskContext
 
-        ends, segments, rounds = ranges(1 << 16, num, den)
-        for batch in batches:
-            for part in slices(batch, "text", SLICE_BYTES):
-                tokens, nodes, seen = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], set()
-                for s in _sets(part.column("text"), size):
-                    n = len(s)
-                    digest = _digest(s)
-                    if not n or digest in seen:
-                        continue
-                    seen.add(digest)
-                    while ends[-2] < n:
-                        ends, segments, rounds = ranges(2 * n, num, den)
-                    m = int(np.searchsorted(ends, n))
-                    tokens += [segment_tokens(s, k, int(segments[k]), int(rounds[k])) for k in (m, m + 1)]
-                    nodes.append(np.full(len(tokens[-1]) + len(tokens[-2]), digest[0] % NODES, np.uint64))
-                token, least, edges = _star(np.concatenate(tokens), np.concatenate(nodes))
-                cuts = np.searchsorted(token >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)).tolist()
-                filled = [(p, a, b) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
-                cells = [_packed(token[a:b], TOKEN_BYTES) + _packed(least[a:b], NODE_BYTES) for _, a, b in filled]
-                if filled:
-                    yield pa.record_batch(
-                        {
-                            "part": pa.array([p for p, _, _ in filled], pa.int32()),
-                            "cells": pa.array(cells, pa.binary()),
-                            "edges": pa.array([edges.tobytes(), *[b""] * (len(cells) - 1)], pa.binary()),
-                        }
-                    )
-
-    return run
-
-
-def _shared(table: pa.Table) -> pa.Table:
-    """Edges between the nodes that have a token of this part in common."""
-    cells = [x.as_py() for x in table.column("cells")]
-    sizes = [len(x) // (TOKEN_BYTES + NODE_BYTES) * TOKEN_BYTES for x in cells]
-    token = _unpacked(b"".join(x[:n] for x, n in zip(cells, sizes)), TOKEN_BYTES)
-    node = _unpacked(b"".join(x[n:] for x, n in zip(cells, sizes)), NODE_BYTES)
-    known = np.frombuffer(b"".join(x.as_py() for x in table.column("edges")), "<u8").reshape(-1, 2)
-    edges = np.unique(np.concatenate([known, _star(token, node)[2]]), axis=0).astype(np.int64)
-    return pa.table({"src": pa.array(edges[:, 0]), "dst": pa.array(edges[:, 1])})
-
-
-def _fetched(size: int):
-    """The sets of candidate classes, as sorted 64-bit numbers, from the text of their first document."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from revscope.llm._segments import slices
 
+        number = TaskContext.get().partitionId() << 24
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
-                sets = list(_sets(part.column("text"), size))
-                wanted = zip(part.column("d1").to_pylist(), part.column("d2").to_pylist())
-                own = pa.array([_digest(s) == w for s, w in zip(sets, wanted)], pa.bool_())  # not another text of that id
-                columns = {n: part.column(n) for n in ("family", "cid", "n_shingles")}
-                columns["members"] = pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())
-                yield pa.record_batch(columns).filter(own)
-
-    return run
-
-
-def overlaps(sets: list[np.ndarray], queries: list[np.ndarray]) -> np.ndarray:
-    """Intersection sizes, members by queries: the token-group matrix of both, block by block of tokens."""
-    sizes = np.array([len(s) for s in sets + queries])
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    token, which, often = np.unique(np.concatenate([*sets, *queries]), return_inverse=True, return_counts=True)
-    shared = often > 1  # a token of one set only is in no intersection
-    place = np.cumsum(shared) - 1
-    keep = shared[which]
-    row, column = row[keep], place[which[keep]]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    out = np.zeros((len(sets), len(queries) or len(sets)), np.float32)
-    width = max(256, (16 << 20) // max(len(sizes), 1))
-    for low in range(0, int(shared.sum()), width):
-        a, b = np.searchsorted(column, [low, low + width])
-        block = np.zeros((len(sizes), min(width, int(shared.sum()) - low)), np.float32)
-        block[row[a:b], column[a:b] - low] = 1
-        out += block[: len(sets)] @ (block[len(sets) :] if queries else block).T
-    return out
-
-
-def _linked(overlap: np.ndarray, a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
-    common = overlap.astype(np.int64)
-    return (den * common >= num * (a[:, None] + b[None, :] - common)) & (common > 0)
-
-
-def _forest(num: int, den: int):
-    """Components inside a group of classes: an edge from each class to its component's smallest."""
-
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("cid")
-        cid = table.column("cid").to_numpy()
-        sets = [np.frombuffer(x, "<u8") for x in table.column("members").to_pylist()]
-        sizes = np.array([len(s) for s in sets])
-        label = np.arange(len(sets))
-        if len(sets) > 1:
-            link = _linked(overlaps(sets, []), sizes, sizes, num, den)
-            while True:
-                new = np.where(link, label[None, :], len(sets)).min(axis=1, initial=len(sets))
-                new = np.minimum(new, label)
-                new = new[new]
-                if (new == label).all():
-                    break
-                label = new
-        return pa.table({"family": table.column("family"), "cid": cid, "to": cid[label]})
-
-    return run
-
-
-def _opened(num: int, den: int):
-    """Queries against the members of one opened group: an edge for each link."""
-
-    def run(table: pa.Table) -> pa.Table:
-        cid, asks = table.column("cid").to_numpy(), table.column("asks").to_numpy(zero_copy_only=False)
-        sets = [np.frombuffer(x, "<u8") for x in table.column("members").to_pylist()]
-        sizes = np.array([len(s) for s in sets])
-        there, query = np.flatnonzero(~asks), np.flatnonzero(asks)
-        src, dst = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for low in range(0, len(query), GROUP_SETS):
-            q = query[low : low + GROUP_SETS]
-            link = _linked(overlaps([sets[i] for i in there], [sets[i] for i in q]), sizes[there], sizes[q], num, den)
-            # linked members of the group are one component with the query: one edge for each
-            a, b = np.nonzero(link)
-            src.append(cid[there[a]])
-            dst.append(cid[q[b]])
-        return pa.table({"src": np.concatenate(src), "dst": np.concatenate(dst)})
+                for low in range(0, part.num_rows, _shared.MOST_SETS):
+                    rows = part.slice(low, _shared.MOST_SETS)
+                    tokens, sizes = text_sets(rows.column("text"), size)
+                    d1, d2 = digests(tokens, sizes)
+                    kept = firsts(sizes, d1, d2)
+                    at = np.where(kept, np.cumsum(kept) - 1, -1)
+                    every = np.repeat(kept, sizes)
+                    place = np.repeat(at, sizes)[every].astype(np.uint64)
+                    docs = pa.StructArray.from_arrays(
+                        [rows.column("doc_id"), pa.array(sizes), pa.array(d1), pa.array(d2), pa.array(at, pa.int32())], ["id", "n", "k1", "k2", "at"]
+                    )
+                    yield _shared.dealt(number, docs, tokens[every], place, None, bits)
+                    number += 1
 
     return run
 
 
-def _grouped(members: DataFrame) -> DataFrame:
-    """Each family's classes dealt into groups of bounded size, by class hash."""
-    sizes = members.groupBy("family").agg(F.count("*").alias("sets"), F.sum("n_shingles").alias("tokens"))
-    groups = F.greatest(F.ceil(F.col("sets") / GROUP_SETS), F.ceil(F.col("tokens") / GROUP_TOKENS)).cast("int")
-    sizes = staged(sizes.select("family", groups.alias("groups")), "families")
-    return members.join(sizes, "family").withColumn("grp", F.pmod(F.xxhash64("cid"), "groups").cast("int"))
-
-
-def _family_links(members: DataFrame, num: int, den: int) -> DataFrame:
-    """(src, dst) edges that connect exactly what links connect, of ``members``
-    (family, cid, n_shingles, members)."""
-    layout = "family long, cid long, to long"
-    first = staged(_grouped(members), "groups")
-    forest = staged(first.groupBy("family", "grp").applyInArrow(_forest(num, den), layout), "forest")
-    edges = [forest.filter("cid <> to").select(F.col("cid").alias("src"), F.col("to").alias("dst"))]
-    split = first.filter("groups > 1")
-    if split.limit(1).count():
-        # representatives of the components found so far, until one group holds them or nothing merges
-        left, before = forest.join(split.select("cid"), "cid", "left_semi").select(F.col("to").alias("cid")).distinct(), -1
-        while (count := left.count()) != before:
-            before = count
-            again = staged(_grouped(split.drop("groups", "grp").join(left, "cid", "left_semi")), "representatives")
-            merged = staged(again.groupBy("family", "grp").applyInArrow(_forest(num, den), layout), "merged")
-            edges.append(merged.filter("cid <> to").select(F.col("cid").alias("src"), F.col("to").alias("dst")))
-            left = merged.select(F.col("to").alias("cid")).distinct()
-        known = edges[0]
-        for e in edges[1:]:
-            known = known.unionByName(e)
-        named = components(known, "src", "dst")
-        placed = staged(
-            split.join(named, split["cid"] == named["node"], "left").select("family", "grp", "cid", "n_shingles", "members", F.coalesce("component", "cid").alias("component")),
-            "placed",
-        )
-        shares = placed.groupBy("family", "component").agg(F.count("*").alias("n"))
-        main = shares.groupBy("family").agg(F.max(F.struct("n", "component")).alias("top")).select("family", F.col("top.component").alias("main"))
-        asking = placed.join(staged(main, "main"), "family").filter("component <> main").drop("main")
-        prefix = _prefixes(num, den)
-        matrix = placed.select("family", "grp", "members").mapInArrow(prefix, "family long, id long, token long").withColumnRenamed("id", "grp").distinct()
-        probes = asking.select("family", "cid", "members").mapInArrow(prefix, "family long, id long, token long").withColumnRenamed("id", "query")
-        open_ = staged(probes.join(matrix, ["family", "token"]).select("family", "query", F.col("grp").cast("int").alias("grp")).distinct(), "open")
-        asked = open_.join(asking.select(F.col("cid").alias("query"), "members"), "query").select("family", "grp", F.col("query").alias("cid"), "members")
-        # a group's queries come in blocks of bounded number, each with the group's members
-        blocks = asked.withColumn("block", F.floor((F.row_number().over(Window.partitionBy("family", "grp").orderBy("cid")) - 1) / GROUP_SETS))
-        blocks = staged(blocks, "queries")
-        held = placed.join(blocks.select("family", "grp", "block").distinct(), ["family", "grp"])
-        cells = held.select("family", "grp", "block", "cid", "members", F.lit(False).alias("asks")).unionByName(
-            blocks.select("family", "grp", "block", "cid", "members", F.lit(True).alias("asks"))
-        )
-        edges.append(staged(cells.groupBy("family", "grp", "block").applyInArrow(_opened(num, den), "src long, dst long"), "opened"))
-    found = edges[0]
-    for e in edges[1:]:
-        found = found.unionByName(e)
-    return found
-
-
-def _prefixes(num: int, den: int):
-    """The smallest hashes of each set: linked sets share one of them."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.frombuffer(x, "<u8") for x in batch.column("members").to_pylist()]
-            heads = [s[: len(s) - -(-num * len(s) // den) + 1] for s in sets]
-            n = np.array([len(h) for h in heads], np.int64)
-            yield pa.record_batch(
-                {
-                    "family": pa.array(np.repeat(batch.column("family").to_numpy(), n)),
-                    "id": pa.array(np.repeat(batch.column(1).to_numpy().astype(np.int64), n)),
-                    "token": pa.array(np.concatenate([np.zeros(0, np.uint64), *heads]).astype(np.uint64).view(np.int64)),
-                }
-            )
-
-    return run
+def node_edges(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """(src, dst) for doc ids with several different sets: these are one node."""
+    several = rows.filter("n > 0 and id is not null").groupBy("id").agg(F.min("k1").alias("a"), F.max("k1").alias("b")).filter("a <> b")
+    own = rows.select("id", "k1", "k2").join(several.select("id"), "id", "left_semi").join(classes, ["k1", "k2"])
+    return own.filter("first_id is not null").select(F.col("id").alias("src"), F.col("first_id").alias("dst"))
 
 
 def jaccard_components(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int = DEN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc id reachable by links)."""
     ship(docs.sparkSession)
     narrow = pick(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = staged(narrow.mapInArrow(_digested(size), "doc_id long, n_shingles long, d1 long, d2 long"), "sets")
-    # classes of equal sets; a part of the digest names them until sets are compared
-    classes = rows.filter("n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("first_id"), F.min("n_shingles").alias("n_shingles"))
-    classes = classes.withColumn("node", F.pmod("d1", F.lit(NODES)))
-    total = classes.agg(F.sum("n_shingles")).first()[0] or 0
-    bits = max(1, (total * 4 * (den - num) // (den + num) // PART_TOKENS).bit_length())
-    cells = narrow.mapInArrow(_tokens(size, num, den, bits), "part int, cells binary, edges binary")
-    star = cells.groupBy("part").applyInArrow(_shared, "src long, dst long")
-    families = components(star, "src", "dst")
-    classes = staged(classes, "classes")
-    candidates = classes.join(families, "node").select("first_id", "n_shingles", "d1", "d2", F.col("component").alias("family"))
-    candidates = staged(candidates, "candidates")
-    chosen = candidates.filter("first_id is not null").select("family", F.col("first_id").alias("cid"), "n_shingles", "d1", "d2")
-    # candidates grow with the documents: shuffled at every size
-    texts = narrow.join(chosen.hint("merge"), narrow["doc_id"] == chosen["cid"]).drop("doc_id")
-    members = staged(texts.mapInArrow(_fetched(size), "family long, cid long, n_shingles long, members binary"), "members")
-    links = components(_family_links(members, num, den), "src", "dst")
-    named = classes.join(links, classes["first_id"] == links["node"], "left").select(
-        "d1", "d2", F.coalesce("component", "first_id").alias("component_id")
-    )
-    result = rows.select("doc_id", "n_shingles", "d1", "d2").join(staged(named, "named"), ["d1", "d2"], "left")
-    return result.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    bits = _shared.part_bits(_shared.token_count(narrow))
+    cells = narrow.mapInArrow(_dealt(size, bits), _shared.CELLS)
+    rows = staged(_shared.shared_tokens(cells, bits, num, den, owners=False), "sets")
+    classes = staged(rows.filter("n > 0").groupBy("k1", "k2").agg(F.min("id").alias("first_id")), "classes")
+    left = rows.filter("members is not null").dropDuplicates(["k1", "k2"]).join(classes, ["k1", "k2"]).filter("first_id is not null")
+    sets = staged(left.select(F.col("first_id").alias("cid"), "n", F.col("k1").alias("key"), "members"), "members")
+    found = link_components(sets, num, den, known=node_edges(rows, classes))
+    return components_of(rows, classes, found)
+
+
+def components_of(rows: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+    """Each document's size and component from its class's."""
+    named = classes.join(found, classes["first_id"] == found["node"], "left").select("k1", "k2", F.coalesce("component", "first_id").alias("component_id"))
+    result = rows.select("id", "n", "k1", "k2").join(staged(named, "named"), ["k1", "k2"], "left")
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
+    return result.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int = DEN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from revscope.llm import jaccard
+from revscope.llm import _matrix, jaccard
 from revscope.llm._words import components
 
 
@@ -51,7 +51,7 @@ def families(seed, many=6):
 
 @pytest.mark.parametrize("size,num,den,sets", [(3, 90, 100, 768), (3, 90, 100, 6), (5, 80, 100, 8)])
 def test_components_equal_all_pairs(spark, monkeypatch, size, num, den, sets):
-    monkeypatch.setattr(jaccard, "GROUP_SETS", sets)
+    monkeypatch.setattr(_matrix, "GROUP_SETS", sets)
     rows = families(size + sets)
     found = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), size, num, den).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute(rows, size, num, den)
@@ -70,42 +70,6 @@ def test_awkward_rows(awkward):
     assert {r.doc_id for r in left.select("doc_id").collect()} == {None} | {i for i, (_, c) in want.items() if c == i}
 
 
-def test_linked_sets_agree_on_a_segment():
-    import numpy as np
-
-    r = np.random.default_rng(1)
-    for num in (80, 90):
-        for n in (1, 5, 9, 10, 11, 60, 200):
-            a = np.unique(r.integers(0, 2**63, n).astype(np.uint64))
-            drop = n * (100 - num) // 100
-            b = np.sort(a[drop:])
-            ends, segments, rounds = jaccard.ranges(1 << 10, num, 100)
-            tokens = [
-                {(m, k, t) for m in (at, at + 1) for k, t in enumerate(jaccard.segment_tokens(s, m, int(segments[m]), int(rounds[m])).tolist())}
-                for s in (a, b)
-                for at in [int(np.searchsorted(ends, len(s)))]
-            ]
-            assert tokens[0] & tokens[1]
-
-
-def test_sets_at_the_threshold_agree_on_a_token_at_the_promised_rate():
-    import numpy as np
-
-    r = np.random.default_rng(2)
-    missed = 0
-    for n in [40, 90, 300] * 150:
-        common = r.integers(0, 2**63, n * 8 // 9).astype(np.uint64)
-        a, b = (np.unique(np.append(common, r.integers(0, 2**63, (len(common) + 7) // 8).astype(np.uint64))) for _ in range(2))
-        ends, segments, rounds = jaccard.ranges(1 << 10, 80, 100)
-        found = [
-            {(m, t) for m in (at, at + 1) for t in jaccard.segment_tokens(s, m, int(segments[m]), int(rounds[m])).tolist()}
-            for s in (a, b)
-            for at in [int(np.searchsorted(ends, len(s)))]
-        ]
-        missed += not found[0] & found[1]
-    assert missed <= 1
-
-
 def test_components_of_chains_and_stars(spark):
     r = random.Random(1)
     edges = [(k, k + 1) for k in range(100, 140)] + [(7, k) for k in range(200, 230)] + [(300, 300)] + [(r.randint(400, 420), r.randint(400, 420)) for _ in range(15)]
