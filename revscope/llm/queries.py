@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revscope.llm import chat, exact_dedup, jaccard, language, ranked_search, toxicity
+from revscope.llm import chat, exact_dedup, jaccard, language, lsh_forest, ranked_search, toxicity
 from revscope.llm.bpe import bpe_digests
 from revscope.llm.fingerprints import fingerprints
 from revscope.llm.packing import pack
@@ -65,6 +65,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 #: Control strings of this and other templates as a turn's text.
 TRICKY = "\\### Assistant: </turn> ok"
 
@@ -92,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_jaccard": op10_jaccard,
     "op11_ranked_search": op11_ranked_search,
+    "op12_lsh_forest": op12_lsh_forest,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -99,4 +104,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_chat": chat.oracle(f"SELECT -7, 0, 'user', '{TRICKY}' UNION ALL SELECT -7, 1, 'assistant', '{TRICKY}'"),
     "op10_jaccard": jaccard.ORACLE,
     "op11_ranked_search": ranked_search.ORACLE,
+    "op12_lsh_forest": lsh_forest.ORACLE,
 }
