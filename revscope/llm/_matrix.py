@@ -1,10 +1,12 @@
 """Exact links among sets by the token-group matrix: ``link_edges``.
 
 Similar sets are partitioned into groups of bounded size.  Inside a group, a
-matrix of members by tokens gives all overlaps at once.  Between groups, the
-matrix has a row for each group, the union of its members' tokens: the overlap
-of a set with a group bounds its overlap with each member, and a group is
-opened for a set only where that overlap is enough for a link.
+matrix of members by tokens gives all overlaps at once.  Between groups, each
+group has the union of its members' tokens: a set's overlap with the union
+bounds its overlap with each member, and the group is opened for the set only
+where that is enough for a link.  Which sets meet a group's union at all is
+found by ids alone, from the union of the members' rarest tokens; a set and a
+group's members are then fetched once for each group and block of sets.
 """
 
 from __future__ import annotations
@@ -94,22 +96,31 @@ def _inside(num: int, den: int):
     return run
 
 
+def opened(sets: list[np.ndarray], queries: list[np.ndarray], sizes: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The queries (places) for which a group is opened: those whose overlap with its token union is enough for a link."""
+    union = np.unique(np.concatenate(sets))
+    at = [np.searchsorted(union, q) for q in queries]
+    overlap = np.array([int((union[i[i < len(union)]] == q[i < len(union)]).sum()) for i, q in zip(at, queries)])
+    return np.flatnonzero(den * overlap >= num * sizes)
+
+
 def _between(num: int, den: int):
-    """Queries against the members of one opened group: an edge for each link."""
+    """Queries against one group: an edge for each two components that a link joins."""
 
     def run(table: pa.Table) -> pa.Table:
-        cid, sizes, sets = table.column("cid").to_numpy(), table.column("n").to_numpy(), _sets(table)
+        owner, sizes, sets = table.column("owner").to_numpy(), table.column("n").to_numpy(), _sets(table)
         asks = table.column("asks").to_numpy(zero_copy_only=False)
         there, query = np.flatnonzero(~asks), np.flatnonzero(asks)
-        if not len(there):
-            return pa.table({"src": pa.array([], pa.int64()), "dst": pa.array([], pa.int64())})
-        src, dst = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for low in range(0, len(query), GROUP_SETS):
+        found = [np.zeros((0, 2), np.int64)]
+        if len(there) and len(query):
+            query = query[opened([sets[i] for i in there], [sets[i] for i in query], sizes[query], num, den)]
+        for low in range(0, len(query) if len(there) else 0, GROUP_SETS):
             q = query[low : low + GROUP_SETS]
             a, b = np.nonzero(_linked(overlaps([sets[i] for i in there], [sets[i] for i in q]), sizes[there], sizes[q], num, den))
-            src.append(cid[there[a]])
-            dst.append(cid[q[b]])
-        return pa.table({"src": np.concatenate(src), "dst": np.concatenate(dst)})
+            found.append(np.unique(np.stack([owner[there[a]], owner[q[b]]], axis=1), axis=0))
+        edges = np.unique(np.concatenate(found), axis=0)
+        edges = edges[edges[:, 0] != edges[:, 1]]
+        return pa.table({"src": edges[:, 0], "dst": edges[:, 1]})
 
     return run
 
@@ -137,9 +148,10 @@ def grouped(sets: DataFrame, salt: int, alone: bool = True) -> DataFrame:
     return joined.withColumn("grp", F.xxhash64("near", dealt)).drop("__sets", "__tokens")
 
 
-def _compare_inside(groups: DataFrame, tokens: int, num: int, den: int) -> DataFrame:
-    """Edges inside the groups, bundles of about ``GROUP_TOKENS`` tokens at a time."""
-    bundled = groups.withColumn("bundle", F.pmod("grp", F.lit(1 + tokens // GROUP_TOKENS)))
+def compare_inside(groups: DataFrame, num: int, den: int, tokens: int | None = None) -> DataFrame:
+    """Edges inside the groups ``grp``, bundles of about ``GROUP_TOKENS`` tokens at a time."""
+    tokens = _tokens(groups) if tokens is None else tokens
+    bundled = groups.withColumn("bundle", F.pmod(F.xxhash64("grp"), F.lit(1 + tokens // GROUP_TOKENS)))
     return staged(bundled.groupBy("bundle").applyInArrow(_apart(_inside(num, den), ["grp"]), EDGES), "inside")
 
 
@@ -154,7 +166,7 @@ def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _compared(left: DataFrame, num: int, den: int) -> list[DataFrame]:
     """Edges for all links among ``left`` (SET and owner) that join two owners."""
     placed = staged(grouped(left, 0), "groups")
-    edges = [_compare_inside(placed, _tokens(left), num, den)]
+    edges = [compare_inside(placed, num, den)]
     cells = placed.select("key", "owner", "n", "grp", "members").mapInArrow(_exploded, "token long, key long, owner long, n long, grp long")
     cells = staged(cells, "cells")
     # a set's rarest tokens: linked sets share one of them, in any common order
@@ -163,19 +175,18 @@ def _compared(left: DataFrame, num: int, den: int) -> list[DataFrame]:
     own, rarest = Window.partitionBy("key"), Window.partitionBy("key").orderBy("often", "token")
     needed = F.ceil(F.lit(num) * F.col("n") / F.lit(den))
     head = F.row_number().over(rarest) <= F.count("*").over(own) - needed + 1
-    ranked = staged(ranked.select("token", "key", "owner", "grp", needed.alias("needed"), head.alias("head")), "ranked")
-    # the matrix: the token union of each group
-    union = ranked.groupBy("token", F.col("grp").alias("to")).agg(F.max("head").alias("heads"), F.min("owner").alias("low"), F.max("owner").alias("high"))
-    met = ranked.join(union, "token").filter("to < grp and not (low = owner and high = owner)")
-    opened = met.groupBy("key", "to").agg(F.count("*").alias("overlap"), F.max("needed").alias("needed"), F.max(F.col("head") & F.col("heads")).alias("first"))
-    opened = staged(opened.filter("first and overlap >= needed").select("key", "to"), "opened")
-    # the sets that opened a group come in blocks of bounded size, each with the group's members
-    load = opened.groupBy("to").agg(F.ceil(F.count("*") / GROUP_SETS).alias("blocks"))
-    asked = opened.join(load, "to").withColumn("block", F.pmod(F.xxhash64("key"), "blocks"))
-    sets = placed.select("cid", "n", "key", "members")
-    queries = asked.join(sets, "key").select("to", "block", "cid", "n", "members", F.lit(True).alias("asks"))
+    # groups that hold one of a set's rarest tokens among their members' rarest, and a member of a fitting size
+    heads = staged(ranked.select("token", "key", "owner", "n", "grp", head.alias("head")).filter("head").drop("head"), "heads")
+    spans = heads.groupBy("token", F.col("grp").alias("to")).agg(*[f("owner").alias(f"{x}_owner") for f, x in ((F.min, "low"), (F.max, "high"))], F.min("n").alias("low_n"), F.max("n").alias("high_n"))
+    fits = f"to < grp and not (low_owner = owner and high_owner = owner) and {den} * high_n >= {num} * n and {num} * low_n <= {den} * n"
+    near = staged(heads.join(spans, "token").filter(fits).select("key", "to").distinct(), "near")
+    # those sets come in blocks of bounded size, each with the group's members
+    load = near.groupBy("to").agg(F.ceil(F.count("*") / GROUP_SETS).alias("blocks"))
+    asked = near.join(load, "to").withColumn("block", F.pmod(F.xxhash64("key"), "blocks"))
+    sets = placed.select("owner", "n", "key", "members")
+    queries = asked.join(sets, "key").select("to", "block", "owner", "n", "members", F.lit(True).alias("asks"))
     blocks = load.select("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
-    held = placed.join(blocks, placed["grp"] == blocks["to"]).select("to", "block", "cid", "n", "members", F.lit(False).alias("asks"))
+    held = placed.join(blocks, placed["grp"] == blocks["to"]).select("to", "block", "owner", "n", "members", F.lit(False).alias("asks"))
     both = staged(queries.unionByName(held), "blocks")
     bundled = both.withColumn("bundle", F.pmod(F.xxhash64("to", "block"), F.lit(1 + _tokens(both) // GROUP_TOKENS)))
     return [*edges, staged(bundled.groupBy("bundle").applyInArrow(_apart(_between(num, den), ["to", "block"]), EDGES), "between")]
@@ -196,7 +207,7 @@ def link_components(sets: DataFrame, num: int, den: int, known: DataFrame | None
     """
     tokens = _tokens(sets)
     edges = [known] if known is not None else []
-    edges += [_compare_inside(grouped(sets, salt, alone=False), tokens, num, den) for salt in range(1, ROUNDS + 1)]
+    edges += [compare_inside(grouped(sets, salt, alone=False), num, den, tokens) for salt in range(1, ROUNDS + 1)]
     named = components(_union(edges), "src", "dst")
     owned = sets.join(named, sets["cid"] == named["node"], "left").select("cid", "n", "key", F.coalesce("component", "cid").alias("owner"), "members")
     bits = _shared.part_bits(tokens)

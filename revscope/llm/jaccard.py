@@ -15,10 +15,9 @@ Method.
    gives all overlaps at once (``_matrix``).
 3. Groups are compared with each other through their token unions: tokens that
    one component alone holds are dropped first, with the sets that have too few
-   others; the matrix of the rest has a row for each group, the union of its
-   members' tokens.  A set's overlap with a group bounds that with each member;
-   only groups where it is enough for a link, and that hold one of the set's
-   rarest tokens among their members' rarest, are opened, in blocks.
+   others.  A set meets the groups that hold one of its rarest tokens among their
+   members' rarest; its overlap with a group's union bounds that with each
+   member, and only groups where it is enough for a link are opened, in blocks.
 Links leave a task as a spanning forest, never as all pairs; a set that lies in
 one component with a group's members is not compared with them again.
 
@@ -50,7 +49,7 @@ from revscope.llm._words import mix, shingle_hashes, word_hashes
 SIZE = 3
 #: The similarity as a fraction: a link when ``DEN * intersection >= NUM * union``.
 NUM, DEN = 90, 100
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 
 
 def text_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
