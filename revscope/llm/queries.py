@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revscope.llm import chat, exact_dedup, jaccard, language, lsh_forest, ranked_search, toxicity
+from revscope.llm import chat, conversation_repair, exact_dedup, jaccard, language, lsh_forest, ranked_search, toxicity
 from revscope.llm.bpe import bpe_digests
 from revscope.llm.fingerprints import fingerprints
 from revscope.llm.packing import pack
@@ -69,6 +69,10 @@ def op12_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(_table(spark, sf_dir, "conversations"))
+
+
 #: Control strings of this and other templates as a turn's text.
 TRICKY = "\\### Assistant: </turn> ok"
 
@@ -97,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_jaccard": op10_jaccard,
     "op11_ranked_search": op11_ranked_search,
     "op12_lsh_forest": op12_lsh_forest,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
