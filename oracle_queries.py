@@ -258,6 +258,16 @@ _FINAL: dict[str, str] = {
     "success_prediction": """SELECT parent_asin, product_title, store, success_score, success_category,
         satisfaction_rate, rating_stddev, verified_rate, review_velocity, engagement_score FROM success_prediction""",
     "velocity_analysis": "SELECT * FROM velocity_analysis",
+    "trends_from_states": "SELECT * FROM sentiment_trends",
+    "velocity_from_states": "SELECT * FROM velocity_analysis",
+    "competitive_from_states": "SELECT * FROM competitive_analysis",
+    "unique_reviewers": """SELECT parent_asin, product_title, store, main_category, price_tier, unique_reviewers
+        FROM competitive_analysis WHERE unique_reviewers > 0""",
+    "sketch_accuracy": """SELECT * FROM (
+        SELECT 'reviews' AS metric, count(*) AS exact, true AS within FROM enriched
+        UNION ALL SELECT 'products', count(DISTINCT parent_asin), true FROM enriched
+        UNION ALL SELECT 'reviewers', count(DISTINCT user_id), true FROM enriched
+        UNION ALL SELECT unnest(['p25_length', 'median_length', 'p75_length']), count(review_length), true FROM enriched)""",
     "theme_prep": "SELECT * FROM theme_prep",
     "record_counts": "SELECT (SELECT count(*) FROM reviews) AS review_rows, (SELECT count(*) FROM products) AS product_rows",
     "review_counts": "SELECT * FROM counts",

@@ -12,25 +12,8 @@ from revscope.schemas import COMPETITIVE_ANALYSIS, conform
 PRODUCT_KEYS = ("parent_asin", "product_title", "store", "main_category", "price_tier")
 
 
-def competitive_analysis(enriched: DataFrame) -> DataFrame:
-    """13 aggregates + 4 derived columns.  The single distinct count is
-    planned by Spark as (keys, user_id) partial aggregation followed by a
-    per-product merge, so a hot product is spread over reviewers first."""
-    agg = enriched.groupBy(*PRODUCT_KEYS).agg(
-        F.count(F.lit(1)).alias("total_reviews"),
-        F.count_distinct("user_id").alias("unique_reviewers"),
-        F.avg("rating").alias("avg_rating"),
-        F.stddev_samp("rating").alias("rating_stddev"),
-        F.count_if(F.col("sentiment") == "Positive").alias("positive_reviews"),
-        F.count_if(F.col("sentiment") == "Negative").alias("negative_reviews"),
-        F.count_if(F.col("sentiment") == "Neutral").alias("neutral_reviews"),
-        F.avg("review_length").alias("avg_review_length"),
-        F.sum("is_detailed_review").alias("detailed_reviews"),
-        F.count_if(F.col("verified_purchase")).alias("verified_purchases"),
-        F.avg("helpful_vote").alias("avg_helpful_votes"),
-        F.min("review_date").alias("first_review_date"),
-        F.max("review_date").alias("last_review_date"),
-    )
+def profile_of(agg: DataFrame) -> DataFrame:
+    """The published columns over a product's unrounded aggregates."""
     out = agg.select(
         *PRODUCT_KEYS,
         "total_reviews",
@@ -52,3 +35,25 @@ def competitive_analysis(enriched: DataFrame) -> DataFrame:
         span_days("first_review_date", "last_review_date").alias("review_span_days"),
     )
     return conform(out, COMPETITIVE_ANALYSIS)
+
+
+def competitive_analysis(enriched: DataFrame) -> DataFrame:
+    """13 aggregates + 4 derived columns.  The single distinct count is
+    planned by Spark as (keys, user_id) partial aggregation followed by a
+    per-product merge, so a hot product is spread over reviewers first."""
+    agg = enriched.groupBy(*PRODUCT_KEYS).agg(
+        F.count(F.lit(1)).alias("total_reviews"),
+        F.count_distinct("user_id").alias("unique_reviewers"),
+        F.avg("rating").alias("avg_rating"),
+        F.stddev_samp("rating").alias("rating_stddev"),
+        F.count_if(F.col("sentiment") == "Positive").alias("positive_reviews"),
+        F.count_if(F.col("sentiment") == "Negative").alias("negative_reviews"),
+        F.count_if(F.col("sentiment") == "Neutral").alias("neutral_reviews"),
+        F.avg("review_length").alias("avg_review_length"),
+        F.sum("is_detailed_review").alias("detailed_reviews"),
+        F.count_if(F.col("verified_purchase")).alias("verified_purchases"),
+        F.avg("helpful_vote").alias("avg_helpful_votes"),
+        F.min("review_date").alias("first_review_date"),
+        F.max("review_date").alias("last_review_date"),
+    )
+    return profile_of(agg)

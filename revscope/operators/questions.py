@@ -16,7 +16,7 @@ def top_by_satisfaction(competitive: DataFrame, k: int = 5) -> DataFrame:
     return top_satisfaction(competitive, min_reviews=None, k=k)
 
 
-def feedback_for_top_rated(competitive: DataFrame, enriched: DataFrame, k: int = 5, n: int = 3) -> DataFrame:
+def feedback_for_top_rated(competitive: DataFrame, reviews: DataFrame, k: int = 5, n: int = 3) -> DataFrame:
     """'What do customers say about the top-rated products?' (Q4): the k best
     average ratings joined to their sample review texts."""
     top = (
@@ -28,7 +28,7 @@ def feedback_for_top_rated(competitive: DataFrame, enriched: DataFrame, k: int =
         .limit(k)
         .select("parent_asin", "product_title", "store", "avg_rating", "total_reviews")
     )
-    samples = sample_reviews(enriched.join(F.broadcast(top.select("parent_asin")), "parent_asin", "left_semi"), n)
+    samples = sample_reviews(reviews.join(F.broadcast(top.select("parent_asin")), "parent_asin", "left_semi"), n)
     return top.join(samples, on="parent_asin", how="left")
 
 

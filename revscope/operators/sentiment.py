@@ -22,18 +22,24 @@ def monthly_store_counts(enriched: DataFrame) -> DataFrame:
     )
 
 
-def sentiment_trends(enriched: DataFrame) -> DataFrame:
-    """Month-over-month change of the *unrounded* average rating, rounded to
+def trends_of(monthly: DataFrame) -> DataFrame:
+    """Trend columns over store-month counts (``monthly_store_counts``).
+
+    Month-over-month change of the *unrounded* average rating, rounded to
     3 places, then classified; the average itself is rounded afterwards.  The
     lag looks at the previous existing month of the store (gaps not filled).
     The window runs on the aggregated rows (at most one per store and month)."""
     by_store = Window.partitionBy("store").orderBy("year_month")
     out = (
-        monthly_store_counts(enriched)
-        .withColumn("positive_rate", pct("positive_count", "review_count"))
+        monthly.withColumn("positive_rate", pct("positive_count", "review_count"))
         .withColumn("negative_rate", pct("negative_count", "review_count"))
         .withColumn("rating_change", round_half_up(F.col("avg_rating") - F.lag("avg_rating", 1).over(by_store), 3))
         .withColumn("trend_direction", trend_direction("rating_change"))
         .withColumn("avg_rating", round_half_up("avg_rating", 2))
     )
     return conform(out, SENTIMENT_TRENDS)
+
+
+def sentiment_trends(enriched: DataFrame) -> DataFrame:
+    """Sentiment per store and month with its trend (see ``trends_of``)."""
+    return trends_of(monthly_store_counts(enriched))

@@ -13,6 +13,9 @@ THEME_MIN_REVIEWS = 10
 SAMPLE_SEPARATOR = "|"
 # ---- end of fixed values ----
 
+#: Characters of a text that rank it before it is fetched.
+HEAD_CHARS = 32
+
 
 def theme_prep(enriched: DataFrame, min_reviews: int = THEME_MIN_REVIEWS) -> DataFrame:
     """Product x sentiment groups with enough reviews for theme extraction."""
@@ -44,17 +47,47 @@ def example_reviews(enriched: DataFrame, title_like: str, sentiment: str, n: int
     return rows.orderBy(*order).limit(n)
 
 
-def sample_reviews(enriched: DataFrame, n: int = 3, sep: str = SAMPLE_SEPARATOR) -> DataFrame:
-    """Up to ``n`` distinct review texts per product, most helpful first, joined
-    by ``sep``.  ``row_number() <= n`` lets Spark cut each group to n rows on
-    the map side (WindowGroupLimit) before the per-product shuffle, so the
-    collected list per product is bounded by n whatever the product's size."""
-    texts = enriched.filter(F.col("text").isNotNull()).select("parent_asin", "helpful_vote", "text").distinct()
+def review_keys(reviews: DataFrame) -> DataFrame:
+    """``reviews`` that have a text, with two narrow columns in its stead: its
+    first ``HEAD_CHARS`` characters, which sort as the text does, and its digest."""
+    return reviews.filter(F.col("text").isNotNull()).select(
+        "parent_asin",
+        "helpful_vote",
+        F.substring("text", 1, HEAD_CHARS).alias("text_head"),
+        F.xxhash64("text").alias("text_digest"),
+        "text",
+    )
+
+
+def sample_keys(reviews: DataFrame, n: int = 3) -> DataFrame:
+    """The keys of each product's first ``n`` distinct texts, and of all that tie with
+    the last of them.  No text is shuffled: the exchanges carry product, votes,
+    head and digest, and ``rank() <= n`` cuts each group on the map side."""
+    narrow = review_keys(reviews).drop("text").distinct()
+    order = Window.partitionBy("parent_asin").orderBy(F.desc("helpful_vote"), F.asc("text_head"))
+    return narrow.withColumn("rn", F.rank().over(order)).filter(F.col("rn") <= n).drop("rn")
+
+
+def sample_reviews(reviews: DataFrame, n: int = 3, sep: str = SAMPLE_SEPARATOR) -> DataFrame:
+    """Up to ``n`` distinct review texts per product, most helpful first (equal
+    votes by text), joined by ``sep``.
+
+    Late materialisation: products are ranked on narrow keys (``sample_keys``),
+    then the texts of these keys alone are fetched.  Texts that share a head or
+    even a digest are all fetched, told apart and ranked by the text itself, so
+    the result is exact.  The fetch is a semi join that Spark broadcasts where it
+    measures the keys as small, so that texts leave their scan only if chosen;
+    beyond that size both sides meet by key, a hot key being split by AQE.
+
+    Reads review columns only: raw and enriched reviews give the same rows, and
+    raw ones spare the text the enrichment join."""
+    keys = sample_keys(reviews, n)
+    rows, kept = review_keys(reviews), keys.select(*[F.col(c).alias(f"__{c}") for c in keys.columns])
+    same = [rows[c].eqNullSafe(kept[f"__{c}"]) if c in ("parent_asin", "helpful_vote") else rows[c] == kept[f"__{c}"] for c in keys.columns]
+    texts = rows.join(kept, same, "left_semi").select("parent_asin", "helpful_vote", "text").distinct()
     ranked = texts.withColumn(
         "rn",
-        F.row_number().over(
-            Window.partitionBy("parent_asin").orderBy(F.desc("helpful_vote"), F.asc("text"))
-        ),
+        F.row_number().over(Window.partitionBy("parent_asin").orderBy(F.desc("helpful_vote"), F.asc("text"))),
     ).filter(F.col("rn") <= n)
     return ranked.groupBy("parent_asin").agg(
         F.array_join(

@@ -22,6 +22,7 @@ import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from revscope.operators.competitive import competitive_analysis
 from revscope.operators.enrich import add_review_columns, join_products
@@ -29,6 +30,7 @@ from revscope.operators.sentiment import sentiment_trends
 from revscope.operators.success import success_prediction
 from revscope.operators.velocity import velocity_analysis
 from revscope.operators.profile import completeness
+from revscope.operators.quality import feature_summary, null_checks, range_checks
 from revscope.schemas import FEATURE_TABLES
 from revscope.session import ensure_checkpoint_dir, ensure_utc, session
 from revscope.sources.readers import input_files, input_totals, read_feature_csv, read_products, read_reviews
@@ -166,18 +168,53 @@ def run_pipeline(
 
 def publish(spark: SparkSession, target: str, csv_target: str) -> dict:
     """The publish flow over the tables ``run_pipeline`` wrote under ``target``:
-    headered CSV, typed read-back, and the null, range and summary checks on
-    what was written, as DataFrames of a report."""
+    headered CSV, typed read-back, and the checks of what was published.
+
+    ``status`` has a row for each table.  If all were written: ``completeness``
+    of each column, ``null_checks`` (rows, NULL dates and ratings), ``range_checks``
+    (least, greatest and mean rating and positive rate), ``summary`` (rows, stores
+    and dates of each table) and ``row_checks`` (rows read back against rows
+    written), all as DataFrames over the tables as read back (``tables``)."""
     names = list(FEATURE_TABLES)
     status = export_all_csv(spark, target, csv_target, names)
+    report = {"status": status}
+    if any(r.status != "OK" for r in status.collect()):  # a row a table
+        return report
     typed = {name: read_feature_csv(spark, f"{csv_target.rstrip('/')}/{name}", FEATURE_TABLES[name]) for name in names}
-    return {
-        "status": status,
+    trends, profile, prediction, velocity = (typed[n] for n in ("sentiment_trends", "competitive_analysis", "success_prediction", "review_velocity"))
+    counts = None
+    for name, df in typed.items():
+        one = df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("read_rows"))
+        counts = one if counts is None else counts.unionByName(one)
+    rows = status.join(counts, "table_name").select("table_name", "rows", "read_rows", (F.col("rows") == F.col("read_rows")).alias("same"))
+    return report | {
         "completeness": {name: completeness(df) for name, df in typed.items()},
+        "null_checks": null_checks(trends, profile),
+        "range_checks": range_checks(trends),
+        "summary": feature_summary(trends, profile, prediction, velocity),
+        "row_checks": rows,
         "tables": typed,
     }
 
 
+def failed_checks(report: dict) -> list[str]:
+    """What of a publish report is wrong, in words; nothing if all is well.
+
+    Rows that differ, tables without rows, NULL months, and values out of range:
+    a mean rating outside 1 to 5, a positive rate outside 0 to 100."""
+    wrong = [f"{r.table_name}: {r.error}" for r in report["status"].collect() if r.status != "OK"]
+    if wrong:
+        return wrong
+    wrong += [f"{r.table_name}: {r.rows} rows written, {r.read_rows} read" for r in report["row_checks"].collect() if not r.same]
+    wrong += [f"{r.feature}: no rows" for r in report["summary"].collect() if not r.row_count]
+    bounds = {"avg_rating": (1, 5), "positive_rate": (0, 100)}
+    for r in report["range_checks"].collect():
+        low, high = bounds[r.metric]
+        if r.min_value is not None and (r.min_value < low or r.max_value > high):
+            wrong.append(f"{r.metric}: {r.min_value} to {r.max_value}")
+    return wrong
+
+
 def main(arguments: list[str] | None = None) -> int:
     """``python -m revscope.plans.job REVIEWS PRODUCTS TARGET [--csv FOLDER]``: 0 if all tables were written."""
     parser = argparse.ArgumentParser(description="Build the feature tables from review and product records.")
@@ -192,9 +229,11 @@ def main(arguments: list[str] | None = None) -> int:
     report = run_pipeline(spark, given.reviews, given.products, given.target, given.mode, given.min_partitions)
     failed = 0
     if given.csv:
-        rows = publish(spark, given.target, given.csv)["status"].collect()  # a row for each of the four tables
+        published = publish(spark, given.target, given.csv)
+        rows = published["status"].collect()  # a row for each of the four tables
         report["csv"] = {r.table_name: r.rows if r.status == "OK" else r.error for r in rows}
-        failed = sum(r.status != "OK" for r in rows)
+        report["failed_checks"] = failed_checks(published)
+        failed = len(report["failed_checks"])
     print(json.dumps(report))
     return 1 if failed else 0
 

@@ -22,8 +22,10 @@ from revscope.operators import (
     quality,
     questions,
     reports,
+    reviewers,
     sampling,
     sentiment,
+    states,
     success,
     theme,
     velocity,
@@ -43,6 +45,8 @@ SUCCESS_VOLUME = (40, 25)      # volume floors scaled to 14-49 reviews per produ
 SATISFACTION_FLOOR = 25        # top-satisfaction review floor
 SAMPLING_MIN_REVIEWS = 30      # dense-sample floor
 SAMPLING_K = 50
+BATCH_EDGE_MS = 895_968_000_000  # 1998-05-24: two batches of reviews for the mergeable states
+DENSE_REVIEWS = 30             # reviews from which a product's reviewers are a bitmap
 HISTORY_TURNS = 3              # longest test conversation has 8 turns
 # ---- end of parameters ----
 
@@ -127,6 +131,27 @@ class Inputs:
 
         return self._get("published", write)
 
+    @property
+    def days(self) -> list[DataFrame]:
+        """The enriched reviews as two batches, an earlier and a later one (of unknown time: the earlier)."""
+        late = F.coalesce(F.col("timestamp") >= F.lit(BATCH_EDGE_MS), F.lit(False))
+        return [self.enriched.filter(~late), self.enriched.filter(late)]
+
+    @property
+    def states(self) -> DataFrame:
+        """The partial states of both batches, merged."""
+        return states.merge_states(*[states.review_states(d) for d in self.days])
+
+    @property
+    def reviewer_states(self) -> DataFrame:
+        ids = reviewers.reviewer_ids(self.reviews)
+        return reviewers.merge_reviewers(*[reviewers.reviewer_states(d, ids, DENSE_REVIEWS) for d in self.days])
+
+    @property
+    def sketches(self) -> DataFrame:
+        """Monthly sketches of both batches, merged."""
+        return states.merge_sketches(*[states.sketch_states(d) for d in self.days])
+
     @property
     def conversations(self) -> DataFrame:
         return self._get("conversations", lambda: testdata.table(self.spark, self.sf_dir, "conversations"))
@@ -157,6 +182,12 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "success_prediction": lambda i: i.prediction,
     "velocity_analysis": lambda i: i.velocity,
     "theme_prep": lambda i: i.theme,
+    # the same tables from mergeable states of two batches
+    "trends_from_states": lambda i: states.trends_from_states(i.states),
+    "velocity_from_states": lambda i: states.velocity_from_states(i.states),
+    "competitive_from_states": lambda i: states.competitive_from_states(i.states, reviewers.unique_reviewers(i.reviewer_states)),
+    "unique_reviewers": lambda i: reviewers.unique_reviewers(i.reviewer_states),
+    "sketch_accuracy": lambda i: states.sketch_accuracy(i.enriched, i.sketches),
     # profiling
     "record_counts": lambda i: profile.record_counts(i.reviews, i.products),
     "review_counts": lambda i: i.counts,
@@ -206,7 +237,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "top_per_category": lambda i: sampling.top_per_category(profile.high_density(i.products, 50000), 5, 5),
     # windows and texts
     "last_turns": lambda i: conversations.last_turns(i.conversations, HISTORY_TURNS),
-    "sample_reviews": lambda i: theme.sample_reviews(i.enriched, 3),
+    "sample_reviews": lambda i: theme.sample_reviews(i.reviews, 3),
     "example_reviews": lambda i: theme.example_reviews(i.enriched, TITLE_NEEDLE, "Negative", 3),
     # ranked reports
     "store_recent_trend": lambda i: reports.store_recent_trend(i.trends, STORE, 12),
@@ -242,7 +273,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     # question surface
     "ask_sql": lambda i: ask_sql(i.spark, i.published, ASK_SQL_EXAMPLE),
     "top_by_satisfaction": lambda i: questions.top_by_satisfaction(i.competitive, 5),
-    "feedback_for_top_rated": lambda i: questions.feedback_for_top_rated(i.competitive, i.enriched, 5, 3),
+    "feedback_for_top_rated": lambda i: questions.feedback_for_top_rated(i.competitive, i.reviews, 5, 3),
     "surging_products": lambda i: questions.surging_products(i.velocity),
     "compare_stores": lambda i: questions.compare_stores(i.enriched),
     "volume_up_sentiment_down": lambda i: questions.volume_up_sentiment_down(i.trends, 1),

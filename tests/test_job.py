@@ -94,3 +94,31 @@ def test_staging_folder(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         ensure_checkpoint_dir(Session())
+
+
+def test_publish_runs_null_range_and_summary_checks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from revscope.plans.job import build_features, failed_checks, publish
+
+    i = Inputs(spark, SF)
+    target = str(tmp_path / "tables")
+    build_features(i.enriched, spark, target, "none", {"volume_bounds": SUCCESS_VOLUME})
+    report = publish(spark, target, str(tmp_path / "csv"))
+    assert failed_checks(report) == []
+    summary = {r.feature: r for r in report["summary"].collect()}
+    assert summary["Competitive Analysis"].row_count == i.competitive.count() and len(summary) == 4
+    nulls = {r.table_name: r for r in report["null_checks"].collect()}
+    assert nulls["sentiment_trends"].total_rows == i.trends.count() == summary["Sentiment Trends"].row_count
+    ranges = {r.metric: r for r in report["range_checks"].collect()}
+    assert ranges["positive_rate"].min_value >= 0 and ranges["avg_rating"].max_value <= 5
+    assert all(r.same and r.rows for r in report["row_checks"].collect())
+    # a value out of range and a table without rows are told
+    i.trends.withColumn("positive_rate", F.lit(250.0)).write.mode("overwrite").parquet(f"{target}/sentiment_trends")
+    i.velocity.limit(0).write.mode("overwrite").parquet(f"{target}/review_velocity")
+    wrong = failed_checks(publish(spark, target, str(tmp_path / "csv")))
+    assert any(w.startswith("positive_rate") for w in wrong) and "Review Velocity: no rows" in wrong
+    # a table that is not there
+    (tmp_path / "none").mkdir()
+    report = publish(spark, str(tmp_path / "none"), str(tmp_path / "csv2"))
+    assert set(report) == {"status"} and len(failed_checks(report)) == 4

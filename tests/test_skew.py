@@ -57,7 +57,7 @@ def test_hot_product_is_salted_and_results_are_unchanged(spark, no_broadcast):
     assert [r.parent_asin for r in hot] == ["P7"] and hot[0].salts >= 10
     got = {k: _rows(b(salted)) for k, b in BUILDERS.items()}
     assert got == expected
-    assert salted.count() == reviews.count()
+    assert salted.count() == enrich.prepare(reviews, products, rows_per_salt=None).count() > reviews.count()
 
     plan = salted._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin [parent_asin" in plan and "_salt" in plan.split("SortMergeJoin [parent_asin")[1].split("]")[0]
