@@ -6,6 +6,7 @@ clash with an operator's own; they are simply not read.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -16,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SHIPPED: set[str] = set()
-_STAGED: dict[str, list[str]] = {}
 
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:
@@ -86,24 +86,65 @@ def measured(rows: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows.hint("merge")
 
 
+class Staging:
+    """The staged tables of one job; ``close`` deletes them.
+
+    ``with staging(spark):`` closes at the end of the block, by when results that
+    read the tables must be written.  Tables staged outside of any block belong to
+    the application and go when Python ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Staging:
+        _OPEN.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.leave()
+        self.close()
+
+    def leave(self) -> None:
+        """Tables staged from now on are not this one's."""
+        if self in _OPEN:
+            _OPEN.remove(self)
+
+    def close(self) -> None:
+        while self.paths:
+            delete(self.spark, self.paths.pop())
+
+
+def staging(spark: SparkSession) -> Staging:
+    return Staging(spark)
+
+
+_OPEN: list[Staging] = []
+_REST: dict[str, Staging] = {}
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system that holds it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@atexit.register
+def _at_exit() -> None:
+    for rest in _REST.values():
+        if rest.spark.sparkContext._jsc is not None and not rest.spark.sparkContext._jsc.sc().isStopped():
+            rest.close()
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs a re-read, not a recomputation,
-    and what reads the table twice does not compute it twice.  The table stays
-    until ``release``.
+    and what reads the table twice does not compute it twice.  The table belongs
+    to the innermost open ``staging`` block.
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    owner = _OPEN[-1] if _OPEN else _REST.setdefault(spark.sparkContext.applicationId, Staging(spark))
+    owner.paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession) -> None:
-    """Delete all staged tables of this application; results that read them must be written by then."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(conf).delete(place, True)
