@@ -189,6 +189,10 @@ brand_performance AS (
 )"""
 
 
+#: 32 bits that say whether a review is sampled: of the MD5 of the seed and what names the review.
+SAMPLE_HASH = """('0x' || md5('42|' || coalesce('=' || parent_asin, '') || '|' || coalesce('=' || user_id, '') || '|' || coalesce('=' || "timestamp"::VARCHAR, ''))[1:8])::BIGINT"""
+
+
 def _samples(source: str, n: int = 3) -> str:
     """Up to n distinct texts per product, most helpful first, '|'-joined."""
     return f"""(
@@ -258,6 +262,11 @@ _FINAL: dict[str, str] = {
     "success_prediction": """SELECT parent_asin, product_title, store, success_score, success_category,
         satisfaction_rate, rating_stddev, verified_rate, review_velocity, engagement_score FROM success_prediction""",
     "velocity_analysis": "SELECT * FROM velocity_analysis",
+    "random_sample": f"""SELECT parent_asin, user_id, rating, "timestamp" FROM reviews
+        WHERE {SAMPLE_HASH} < 42949672""",
+    "random_per_group": f"""SELECT parent_asin, user_id, "timestamp" FROM (
+        SELECT *, row_number() OVER (PARTITION BY parent_asin ORDER BY {SAMPLE_HASH}, user_id NULLS FIRST, "timestamp" NULLS FIRST) AS rn
+        FROM reviews) WHERE rn <= 2""",
     "trends_from_states": "SELECT * FROM sentiment_trends",
     "velocity_from_states": "SELECT * FROM velocity_analysis",
     "competitive_from_states": "SELECT * FROM competitive_analysis",

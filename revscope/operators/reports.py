@@ -4,7 +4,7 @@ top-k followed by a k-row merge (TakeOrderedAndProject)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType
 
@@ -146,6 +146,26 @@ def peek(df: DataFrame, n: int = 5, width: int = 100, order_by: list[str] | None
     return df.limit(n).select(*cols)
 
 
-def random_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    """Bernoulli sample without replacement (K13); the sample is the feature."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def random_sample(df: DataFrame, fraction: float, seed: int = 42, keys: list[str] | None = None) -> DataFrame:
+    """Random sample without replacement (K13) by a threshold on a hash of each row.
+
+    A row's number is made of the first 32 bits of the MD5 of ``seed`` and of
+    ``keys`` (all columns by default) as text; it is sampled if that is below
+    ``fraction``.  So the same rows are sampled however they lie in files and
+    tasks, on any engine; rows of equal keys share their fate."""
+    return df.filter(_row_number(df, seed, keys) < F.lit(int(fraction * 2**32)))
+
+
+def random_per_group(df: DataFrame, group: str, n: int, seed: int = 42, keys: list[str] | None = None) -> DataFrame:
+    """``n`` random rows of each ``group`` (all, if fewer): those with the least
+    hashes, equal ones by their values.  Cut on the map side, whatever the group's size."""
+    keys = list(keys or df.columns)
+    order = Window.partitionBy(group).orderBy("__hash", *keys)
+    ranked = df.withColumn("__hash", _row_number(df, seed, keys)).withColumn("__rn", F.row_number().over(order))
+    return ranked.filter(F.col("__rn") <= n).drop("__hash", "__rn")
+
+
+def _row_number(df: DataFrame, seed: int, keys: list[str] | None):
+    """32 bits of an MD5 over ``keys``; NULLs and the borders of values are told apart."""
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in keys or df.columns]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *parts)), 1, 8), 16, 10).cast("long")

@@ -63,6 +63,16 @@ def open_published(spark: SparkSession, base: str, csv: bool = False) -> dict[st
     return tables
 
 
+def open_tables(spark: SparkSession, names: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """The typed catalog tables (``writers.create_feature_tables``) as their
+    ``agg_*`` views.  Their buckets come along: a join or an aggregate on the
+    distribution key reads them bucket by bucket, without a shuffle, and a filter
+    on it opens its own buckets only."""
+    tables = {view: spark.table((names or {}).get(name, name)) for name, view in TABLE_VIEWS.items()}
+    register_views(spark, tables)
+    return tables
+
+
 def format_result(df: DataFrame, n: int = 20) -> dict:
     """Text rendering of a result (Q2): a ' | ' header, the first ``n`` rows
     with NULL shown as 'NULL' and floats with two decimals, and the true row

@@ -6,7 +6,6 @@ reviews per product) are set here, once."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,9 +29,8 @@ from revscope.operators import (
     theme,
     velocity,
 )
-from revscope.plans.ask import ask_sql, open_published
-from revscope.plans.job import build_features
-from revscope.session import ensure_checkpoint_dir, ensure_utc
+from revscope.plans.ask import ask_sql
+from revscope.session import ensure_utc
 from revscope.sources import testdata
 from revscope.sources.readers import promote_staged, read_parts
 
@@ -47,6 +45,7 @@ SAMPLING_MIN_REVIEWS = 30      # dense-sample floor
 SAMPLING_K = 50
 BATCH_EDGE_MS = 895_968_000_000  # 1998-05-24: two batches of reviews for the mergeable states
 DENSE_REVIEWS = 30             # reviews from which a product's reviewers are a bitmap
+SAMPLE_KEYS = ["parent_asin", "user_id", "timestamp"]  # what says that two rows are one review
 HISTORY_TURNS = 3              # longest test conversation has 8 turns
 # ---- end of parameters ----
 
@@ -65,7 +64,7 @@ METADATA_FIELDS = [
 
 
 class Inputs:
-    """Lazily built inputs of one query (plans only, but for ``published``, which is written)."""
+    """Lazily built inputs of one query (plans only)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         ensure_utc(spark)
@@ -122,14 +121,13 @@ class Inputs:
 
     @property
     def published(self) -> dict[str, DataFrame]:
-        """The four tables as the job writes them, from one enrichment, opened as ``agg_*``."""
-
-        def write() -> dict[str, DataFrame]:
-            target = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/revscope-published-{uuid.uuid4().hex[:12]}"
-            build_features(self.enriched, self.spark, target, success_kwargs={"volume_bounds": SUCCESS_VOLUME})
-            return open_published(self.spark, target)
-
-        return self._get("published", write)
+        """The four tables under the names that ad-hoc SQL knows them by (plans only, nothing is written)."""
+        return {
+            "agg_sentiment_trends": self.trends,
+            "agg_competitive_analysis": self.competitive,
+            "agg_success_prediction": self.prediction,
+            "agg_review_velocity": self.velocity,
+        }
 
     @property
     def days(self) -> list[DataFrame]:
@@ -253,7 +251,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "declining_after_first_month": lambda i: reports.declining(i.velocity, 10, skip_first_month=True),
     "latest_trends": lambda i: reports.latest_trends(i.trends, 10),
     "latest_momentum": lambda i: reports.latest_momentum(i.velocity, 10),
-    "random_sample": lambda i: reports.random_sample(i.reviews.select("parent_asin", "user_id", "rating", "timestamp"), 0.01, 42),
+    "random_sample": lambda i: reports.random_sample(i.reviews.select("parent_asin", "user_id", "rating", "timestamp"), 0.01, 42, SAMPLE_KEYS),
+    "random_per_group": lambda i: reports.random_per_group(i.reviews.select("parent_asin", "user_id", "timestamp"), "parent_asin", 2, 42, SAMPLE_KEYS),
     "peek": lambda i: reports.peek(
         i.products.select("parent_asin", "title", "description", "categories", "rating_number"), 25, 12, ["parent_asin", "title"]
     ),

@@ -64,6 +64,28 @@ def read_products_tolerant(
     return reader.schema(with_corrupt).json(path)
 
 
+def read_products_variant(spark: SparkSession, path: str, schema: StructType = PRODUCTS_FULL) -> DataFrame:
+    """Tolerant read through VARIANT (S3): one pass, no inference, nothing lost.
+
+    Each line is parsed once to a variant, whose fields are picked by exact name:
+    - a declared field has its declared type, or NULL where the value does not
+      fit it (a number where text is declared becomes text);
+    - all other fields are kept as text in the map ``undeclared``, JSON for
+      objects and arrays, also names that differ from a declared one only in case,
+      which a schema of columns cannot hold;
+    - a line that is no JSON object (broken, a bare value, one with a name twice)
+      keeps its raw text in ``_corrupt_record``; its other columns are NULL.
+    Blank lines are no records."""
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    fields = F.expr("try_variant_get(record, '$', 'map<string,variant>')")
+    parsed = lines.select("value", F.try_parse_json("value").alias("record")).withColumn("__fields", fields)
+    declared = [f"try_variant_get(record, '$.{f.name}', '{f.dataType.simpleString()}') AS `{f.name}`" for f in schema.fields]
+    others = F.map_filter("__fields", lambda k, v: ~k.isin([f.name for f in schema.fields]))
+    text = F.transform_values(others, lambda k, v: F.coalesce(F.try_variant_get(v, "$", "string"), F.to_json(v)))
+    corrupt = F.when(F.col("__fields").isNull(), F.col("value"))
+    return parsed.select(*[F.expr(e) for e in declared], text.alias("undeclared"), corrupt.alias(CORRUPT_COLUMN))
+
+
 def csv_header(spark: SparkSession, path: str) -> list[str]:
     """The column names of the first line of a headered CSV input."""
     return spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path).columns
@@ -165,6 +187,7 @@ __all__ = [
     "read_reviews",
     "read_products",
     "read_products_tolerant",
+    "read_products_variant",
     "read_feature_csv",
     "stage_strings",
     "promote_staged",

@@ -16,6 +16,14 @@ TABLE_LAYOUT = {
 }
 # ---- end of fixed values ----
 
+#: A layout for questions that join tables by product: all that have products are dealt by product.
+PRODUCT_LAYOUT = {
+    "sentiment_trends": TABLE_LAYOUT["sentiment_trends"],
+    "competitive_analysis": {"bucket_by": "parent_asin", "sort_by": ["parent_asin"]},
+    "success_prediction": {"bucket_by": "parent_asin", "sort_by": ["parent_asin"]},
+    "review_velocity": {"bucket_by": "parent_asin", "sort_by": ["parent_asin", "year_month"]},
+}
+
 
 def write_feature(df: DataFrame, path: str, name: str = "rows") -> int:
     """Overwrite one Parquet table (S5) and return its row count, measured
