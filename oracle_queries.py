@@ -315,6 +315,22 @@ _FINAL: dict[str, str] = {
         {_r("count(*) / (SELECT count(*) FROM reviews) * 100")} AS pct FROM reviews GROUP BY 1""",
     "helpfulness_stats": f"""SELECT count(*) FILTER (WHERE helpful_vote > 0) AS reviews_with_votes,
         {_r("avg(helpful_vote)")} AS avg_helpful, max(helpful_vote) AS max_helpful FROM reviews""",
+    "review_profile": f"""
+        , n AS (SELECT count(*) AS n FROM reviews)
+        , r AS (
+            SELECT 'rating' AS report, CAST(rating AS VARCHAR) AS key, count(*) AS review_count FROM reviews GROUP BY rating
+            UNION ALL SELECT 'text_category', CASE WHEN length(text) < 50 THEN 'Very Short (<50)'
+                     WHEN length(text) < 200 THEN 'Short (50-200)'
+                     WHEN length(text) < 500 THEN 'Medium (200-500)'
+                     WHEN length(text) < 1000 THEN 'Long (500-1000)'
+                     ELSE 'Very Long (1000+)' END, count(*) FROM reviews GROUP BY 2
+            UNION ALL SELECT 'review_year', CAST(year(CAST(epoch_ms("timestamp") AS DATE)) AS VARCHAR), count(*) FROM reviews GROUP BY 2
+            UNION ALL SELECT 'verified', CAST(verified_purchase AS VARCHAR), count(*) FROM reviews GROUP BY 2)
+        SELECT report, key, review_count, {_r("review_count / (SELECT n FROM n) * 100")} AS pct, NULL::TIMESTAMP AS earliest, NULL::TIMESTAMP AS latest,
+               NULL::BIGINT AS reviews_with_votes, NULL::DOUBLE AS avg_helpful, NULL::BIGINT AS max_helpful FROM r
+        UNION ALL
+        SELECT 'total', NULL, count(*), 100.0, min({SECOND_TS}), max({SECOND_TS}), count(*) FILTER (WHERE helpful_vote > 0),
+               {_r("avg(helpful_vote)")}, max(helpful_vote) FROM reviews""",
     "category_distribution": "SELECT main_category, count(*) AS product_count FROM sampled GROUP BY 1",
     "store_distribution": "SELECT store, count(*) AS product_count FROM sampled GROUP BY 1",
     "high_density_summary": """SELECT count(*) AS products, CAST(sum(rating_number) AS BIGINT) AS total_ratings

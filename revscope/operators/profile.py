@@ -4,7 +4,7 @@ scalar subqueries (distributed aggregates), never driver-side loops."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revscope.functions import dates
@@ -159,6 +159,63 @@ def helpfulness_stats(df: DataFrame) -> DataFrame:
     )
 
 
+#: The counted reports of ``review_profile`` and the column that each is keyed by.
+PROFILE_REPORTS = {"rating": "rating", "text_category": "text_category", "review_year": "review_year", "verified": "verified_purchase"}
+
+
+def review_profile(df: DataFrame) -> DataFrame:
+    """Ratings, length bands, years, verified flags, date range and votes
+    from one scan and one shuffle: GROUPING SETS expand the narrow projection (no
+    text) and are counted map-side, so what is shuffled is a row a group and task.
+
+    One row per report and key: ``report``, ``key`` as text, ``review_count``,
+    ``pct`` of all reviews; report ``total`` has the date range and the votes.  The
+    single reports are taken from it by ``profile_report``."""
+    vote = F.col("helpful_vote")
+    narrow = df.select(
+        "rating",
+        length_band(text_length("text")).alias("text_category"),
+        F.year(dates.review_date("timestamp")).alias("review_year"),
+        "verified_purchase",
+        dates.review_timestamp("timestamp").cast("timestamp_ntz").alias("at"),
+        "helpful_vote",
+    )
+    keys = [F.col(c) for c in PROFILE_REPORTS.values()]
+    sets = [*[[k] for k in keys], []]
+    counted = narrow.groupingSets(sets, *keys).agg(
+        F.grouping_id(*keys).alias("__set"),
+        F.count(F.lit(1)).alias("review_count"),
+        F.min("at").alias("earliest"),
+        F.max("at").alias("latest"),
+        F.count_if(vote > 0).alias("reviews_with_votes"),
+        round_half_up(F.avg(vote), 2).alias("avg_helpful"),
+        F.max(vote).alias("max_helpful"),
+    )
+    # a key that is not in its grouping set has its bit set
+    every = (1 << len(keys)) - 1
+    report, key = F.lit("total"), F.lit(None).cast("string")
+    for i, (name, column) in enumerate(PROFILE_REPORTS.items()):
+        own = F.col("__set") == every - (1 << (len(keys) - 1 - i))
+        report, key = F.when(own, name).otherwise(report), F.when(own, F.col(column).cast("string")).otherwise(key)
+    rows = counted.withColumn("report", report).withColumn("key", key)
+    # a row a group: of the counts only, a few hundred rows whatever the input
+    total = F.max(F.when(F.col("report") == "total", F.col("review_count"))).over(Window.partitionBy(F.lit(1)))
+    stated = [F.when(F.col("report") == "total", F.col(c)).alias(c) for c in ("earliest", "latest", "reviews_with_votes", "avg_helpful", "max_helpful")]
+    return rows.select("report", "key", "review_count", pct(F.col("review_count"), total).alias("pct"), *stated)
+
+
+def profile_report(profile: DataFrame, report: str) -> DataFrame:
+    """One report of ``review_profile`` with the columns of its own query."""
+    if report == "date_range":
+        return profile.filter("report = 'total'").select("earliest", "latest")
+    if report == "helpfulness":
+        return profile.filter("report = 'total'").select("reviews_with_votes", "avg_helpful", "max_helpful")
+    column = PROFILE_REPORTS[report]
+    kinds = {"rating": "double", "review_year": "int", "verified_purchase": "boolean"}
+    rows = profile.filter(F.col("report") == report).select(F.col("key").cast(kinds.get(column, "string")).alias(column), "review_count", "pct")
+    return rows if report in ("rating", "verified") else rows.drop("pct")
+
+
 def category_distribution(products: DataFrame) -> DataFrame:
     """Products per main category (A20); NULL is a group."""
     return products.groupBy("main_category").agg(F.count(F.lit(1)).alias("product_count"))

@@ -203,6 +203,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "date_range": lambda i: profile.date_range(i.reviews),
     "verified_distribution": lambda i: profile.verified_distribution(i.reviews),
     "helpfulness_stats": lambda i: profile.helpfulness_stats(i.reviews),
+    "review_profile": lambda i: profile.review_profile(i.reviews),
     "category_distribution": lambda i: profile.category_distribution(i.sampled),
     "store_distribution": lambda i: profile.store_distribution(i.sampled),
     "high_density_summary": lambda i: profile.high_density_summary(i.products, 10000),

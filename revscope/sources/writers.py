@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -138,3 +141,64 @@ def replace_table(spark: SparkSession, name: str, df: DataFrame, temporary: bool
         df.createOrReplaceTempView(name)
     else:
         df.write.mode("overwrite").saveAsTable(name)
+
+
+# ---- versioned tables: a table is a folder of versions and a pointer to one of them ----
+POINTER = "_current"
+
+
+def _fs(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The version that the table's pointer names; None if there is no table yet."""
+    place, fs = _fs(spark, f"{path.rstrip('/')}/{POINTER}")
+    if not fs.exists(place):
+        return None
+    stream = fs.open(place)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+    finally:
+        stream.close()
+
+
+def replace_version(spark: SparkSession, path: str, df: DataFrame, keep: int = 2, partition_by: list[str] | None = None) -> str:
+    """Replace the table at ``path`` as a whole (S15, S14); returns the new version.
+
+    The rows are written to a folder of their own and the pointer is switched last,
+    by a rename: a reader gets the old version or the new one, never a mixture, a
+    write that fails leaves the old one as it is, and ``df`` may read the table
+    itself.  Readers that opened a version keep it until ``keep`` newer ones exist;
+    what failed writes left goes with the older versions."""
+    if keep < 1:
+        raise ValueError("one version must stay")
+    path = path.rstrip("/")
+    version = f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    writer = df.write.mode("error")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{path}/{version}")
+    fresh, fs = _fs(spark, f"{path}/{POINTER}-{version}")
+    stream = fs.create(fresh, True)
+    stream.write(bytearray(version, "utf-8"))
+    stream.close()
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    context = files.FileContext.getFileContext(fresh.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    overwrite = spark.sparkContext._gateway.new_array(files.Options.Rename, 1)
+    overwrite[0] = files.Options.Rename.OVERWRITE
+    context.rename(fresh, files.Path(f"{path}/{POINTER}"), overwrite)
+    versions = sorted((s.getPath().getName() for s in fs.listStatus(files.Path(path)) if s.isDirectory()), reverse=True)
+    complete = [v for v in versions if v.startswith("v") and fs.exists(files.Path(f"{path}/{v}/_SUCCESS"))]
+    oldest = complete[:keep][-1]
+    for v in versions:
+        if v.startswith("v") and v < oldest:
+            fs.delete(files.Path(f"{path}/{v}"), True)
+    return version
+
+
+def open_version(spark: SparkSession, path: str, version: str | None = None) -> DataFrame:
+    """The table's current version, or the one named, as a DataFrame that stays on it."""
+    version = version or current_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no version of a table at {path}")
+    return spark.read.parquet(f"{path.rstrip('/')}/{version}")
