@@ -14,8 +14,9 @@ end to end, and what ``CUT`` matches is taken out before runs are made.
 Positions are code points, ends exclusive.  Everything is a projection of the
 text, so nothing is shuffled.
 
-Defined cases: null text counts as empty and has no spans; repeated rows each
-get their own; further columns are not read; an empty table gives no rows.
+Defined cases: null text counts as empty and has no spans; very long texts are
+scanned whole, a text being split once however many matches it has; repeated rows
+each get their own; further columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -72,17 +73,24 @@ CUT = "|".join((
 ))
 
 def spans(text: Column, matches: Column, pattern: str) -> Column:
-    """(start, end) of all ``matches`` of ``pattern``: the gaps between them tell where they lie."""
-    gaps = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
+    """(start, end) of all ``matches`` of ``pattern``: the gaps between them tell where they lie.
+
+    As arrays' only elements the gaps and the matches are variables, made once a
+    text and not at every match."""
+    empty = F.array().cast("array<struct<start:int,end:int>>")
+    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+    lengths = F.arrays_zip(
+        F.transform(F.split(text, pattern, -1), lambda g: F.length(g)).alias("gap"), F.transform(matches, lambda m: F.length(m)).alias("match")
+    )
 
-    def step(state: Column, i: Column) -> Column:
-        begin = state["at"] + F.length(F.get(gaps, i))
-        end = begin + F.length(F.get(matches, i))
+    def step(state: Column, x: Column) -> Column:
+        begin = state["at"] + x["gap"]
+        end = begin + x["match"]
         return F.struct(end.alias("at"), F.concat(state["out"], F.array(F.struct(begin.alias("start"), end.alias("end")))).alias("out"))
 
-    found = F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), start, step, lambda s: s["out"])
-    return F.when(F.size(matches) > 0, found).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+    # there is one gap more than matches: the text's rest
+    found = lambda zipped: F.aggregate(F.slice(zipped, 1, F.size(zipped) - 1), start, step, lambda s: s["out"])
+    return F.when(F.size(matches) > 0, F.get(F.transform(F.array(lengths), found), F.lit(0))).otherwise(empty)
 
 
 def highest_entropy(value: Column, window: int = WINDOW) -> Column:

@@ -358,3 +358,16 @@ def test_empty_tables(empty):
     assert secret_scan.secret_spans(empty).count() == 0
     assert fingerprints.fingerprints(empty).count() == 0
     assert duckdb.sql("SELECT 1").fetchall() == [(1,)]
+
+
+def test_many_secrets_in_one_text_take_time_in_proportion(spark):
+    import time
+
+    seconds = {}
+    for n in (10, 4000, 16000):
+        text = "password = hunter12345 and " * n
+        row, begun = spark.createDataFrame([(1, text)], "doc_id long, text string"), time.time()
+        found = secret_scan.secret_spans(row).first()
+        seconds[n] = time.time() - begun
+        assert found.n_assign == n and found.base_sha256 == hashlib.sha256(",".join(f"assign:{27 * k}:{27 * k + 22}" for k in range(n)).encode()).hexdigest()
+    assert seconds[16000] < 8 * seconds[4000] + 2
