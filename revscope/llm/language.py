@@ -111,10 +111,17 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out()
 
 
-def learned(docs: DataFrame, learn: Column, places: int = PLACES, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, ngram, place): profiles of the languages in the rows where ``learn`` holds."""
+def _learning(docs: DataFrame, learn: Column, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """(text, lang) of the rows where ``learn`` (of doc_id if there is one, text, lang) holds."""
+    known = {id_col.lower()} & {c.lower() for c in docs.columns}
+    rows = pick(docs, text=text_col, lang=lang_col, **({"doc_id": id_col} if known else {}))
+    return rows.filter(learn).filter("text is not null and lang is not null").select("text", "lang")
+
+
+def learned(docs: DataFrame, learn: Column, places: int = PLACES, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(lang, ngram, place): profiles of the languages in the rows where ``learn`` (of doc_id, text, lang) holds."""
     ship(docs.sparkSession)
-    rows = pick(docs.filter(learn), text=text_col, lang=lang_col).filter("text is not null and lang is not null")
+    rows = _learning(docs, learn, id_col, text_col, lang_col)
     counts = rows.mapInArrow(_counted, "lang string, ngram long, n long").groupBy("lang", "ngram").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "ngram"))
     # the bare row number in the filter lets each task cut its n-grams to ``places`` before the shuffle
@@ -172,9 +179,9 @@ def predicted(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> Da
 
 
 def language_id(docs: DataFrame, learn: Column, held_out: Column, places: int = PLACES, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One row per document: doc_id, held_out, lang_pred, score."""
-    profiles = load_profiles(learned(docs, learn, places, text_col, lang_col), places)
-    rows = pick(docs.withColumn("__held", held_out), doc_id=id_col, held_out="__held", text=text_col)
+    """One row per document: doc_id, held_out, lang_pred, score.  ``learn`` and ``held_out`` are of doc_id, text and lang."""
+    profiles = load_profiles(learned(docs, learn, places, id_col, text_col, lang_col), places)
+    rows = pick(docs, doc_id=id_col, text=text_col, lang=lang_col).select("doc_id", held_out.alias("held_out"), "text")
     return predicted(rows, profiles).select(
         F.col("__c0").cast("long").alias("doc_id"), F.col("__c1").alias("held_out"), "lang_pred", "score", "margin"
     )
@@ -213,10 +220,10 @@ def _bound(bands: dict[int, dict[int, int]], band: int) -> float:
     return 0.0
 
 
-def in_learned_language(docs: DataFrame, learn: Column, least: float = LEAST, places: int = PLACES, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def in_learned_language(docs: DataFrame, learn: Column, least: float = LEAST, places: int = PLACES, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` whose text is in one of the learned languages, all columns."""
-    profiles = load_profiles(learned(docs, learn, places, text_col, lang_col), places)
-    rows = pick(docs.filter(learn), text=text_col, lang=lang_col).filter("text is not null and lang is not null")
+    profiles = load_profiles(learned(docs, learn, places, id_col, text_col, lang_col), places)
+    rows = _learning(docs, learn, id_col, text_col, lang_col)
     bounds: dict[str, list[float]] = {}
     for (lang, _), bound in sorted(rejection_bounds(rows, profiles).items()):
         bounds.setdefault(lang, []).append(max(bound, least))
