@@ -3,15 +3,17 @@
 Method: logistic regression on which words a text has, each word scaled by the
 log ratio of its shares in the two labels' texts, the labels weighing alike.  In
 each learning text that names a group, the identity term is swapped for the next of its category
-and for the neutral one; the squared change of the logit between the text and
+and for the neutral one of its language; where the text has that word already, the
+term just goes.  The squared change of the logit between the text and
 its swap is added to the loss, so a group's name by itself moves the score
-little, whatever the labels say of it.
+little, whatever the labels say of it.  Terms are English, German, Spanish and French.
 
 The classifier is fitted on a bounded sample of the learning rows (at most
 ``SAMPLE`` of each label, those with the smallest hash of the id), reduced to
-word hashes where the texts are; one task fits it, and its weights (one for each
-word of the sample that enough texts have) reach the driver.  Scoring is a
-projection of the text.
+word hashes where the texts are, so no text is shuffled; one task fits it.  Its weights
+reach the driver and the scoring tasks: one for each word that enough texts of the
+sample have, at most ``MOST_WORDS`` (those in most texts; 16 bytes each), besides the
+identity terms.  Scoring is a projection of the text.
 
 Defined cases: null text counts as empty and gets the model's score of a text
 without words; labels without a text, labels other than 0 and 1 and texts without a label
@@ -27,26 +29,51 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revscope.llm._common import pick, ship, staged
 
 SAMPLE = 6_000
-LEAST_TEXTS = 5
+LEAST_TEXTS, MOST_WORDS = 5, 1 << 20
 RIDGE, SWAP_PENALTY, PRIOR = 1e-2, 1.0, 0.5
 ROUNDS, RATE = 150, 0.1
 SLICE_BYTES = 6 << 20
-NEUTRAL = "people"
-#: Identity terms by category; a term is swapped within its own.
-IDENTITY = (
-    ("women", "men", "girls", "boys", "woman", "man", "trans", "transgender", "nonbinary"),
-    ("muslim", "christian", "jewish", "hindu", "buddhist", "sikh", "atheist", "muslims", "christians", "jews", "hindus", "catholics"),
-    ("black", "white", "asian", "latino", "arab", "african", "european", "indigenous", "roma", "blacks", "whites", "asians"),
-    ("gay", "lesbian", "bisexual", "straight", "homosexual", "heterosexual", "queer"),
-    ("immigrants", "refugees", "foreigners", "migrants", "immigrant", "refugee", "foreigner"),
-    ("disabled", "blind", "deaf", "autistic", "old", "elderly", "young", "poor"),
-)
+#: Neutral term of each language, and identity terms by category; a term is swapped within its own category.
+IDENTITY = {
+    "people": (
+        ("women", "men", "girls", "boys", "woman", "man", "trans", "transgender", "nonbinary"),
+        ("muslim", "christian", "jewish", "hindu", "buddhist", "sikh", "atheist", "muslims", "christians", "jews", "hindus", "catholics"),
+        ("black", "white", "asian", "latino", "arab", "african", "european", "indigenous", "roma", "blacks", "whites", "asians"),
+        ("gay", "lesbian", "bisexual", "straight", "homosexual", "heterosexual", "queer"),
+        ("immigrants", "refugees", "foreigners", "migrants", "immigrant", "refugee", "foreigner"),
+        ("disabled", "blind", "deaf", "autistic", "old", "elderly", "young", "poor"),
+    ),
+    "menschen": (
+        ("frauen", "männer", "mädchen", "jungen", "frau", "mann", "transfrauen", "transmänner"),
+        ("muslime", "christen", "juden", "hindus", "buddhisten", "atheisten", "katholiken", "muslimisch", "christlich", "jüdisch"),
+        ("schwarze", "weiße", "asiaten", "araber", "afrikaner", "europäer", "türken", "sinti", "roma"),
+        ("schwule", "lesben", "bisexuelle", "homosexuelle", "heterosexuelle", "queere"),
+        ("einwanderer", "flüchtlinge", "geflüchtete", "ausländer", "migranten"),
+        ("behinderte", "blinde", "gehörlose", "autisten", "alte", "junge"),
+    ),
+    "personas": (
+        ("mujeres", "hombres", "niñas", "niños", "mujer", "hombre", "transexuales"),
+        ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos", "católicos", "musulmán", "cristiano", "judío"),
+        ("negros", "blancos", "asiáticos", "árabes", "africanos", "europeos", "latinos", "indígenas", "gitanos"),
+        ("gais", "lesbianas", "bisexuales", "homosexuales", "heterosexuales"),
+        ("inmigrantes", "refugiados", "extranjeros", "migrantes"),
+        ("discapacitados", "ciegos", "sordos", "autistas", "ancianos", "jóvenes", "pobres"),
+    ),
+    "personnes": (
+        ("femmes", "hommes", "filles", "garçons", "femme", "homme", "transgenres"),
+        ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées", "catholiques", "musulman", "chrétien", "juif"),
+        ("noirs", "blancs", "asiatiques", "arabes", "africains", "européens", "autochtones", "roms"),
+        ("gays", "lesbiennes", "bisexuels", "homosexuels", "hétérosexuels"),
+        ("immigrés", "réfugiés", "étrangers", "migrants"),
+        ("handicapés", "aveugles", "sourds", "autistes", "vieux", "jeunes", "pauvres"),
+    ),
+}
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -88,32 +115,38 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             flat, ends = _words(part.column("text"))
             raw = memoryview(flat).cast("B")
             cells = [bytes(raw[8 * a : 8 * b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            yield pa.record_batch({"toxic": part.column("toxic"), "words": pa.array(cells, pa.binary())})
+            yield pa.record_batch({"doc_id": part.column("doc_id"), "toxic": part.column("toxic"), "words": pa.array(cells, pa.binary())})
 
 
 def _swaps() -> list[tuple[int, int]]:
-    """(term, its swap) as word hashes: the next of its category, and the neutral one."""
-    out = []
-    for terms in IDENTITY:
-        for k, term in enumerate(terms):
-            out += [(_hash(term), _hash(terms[(k + 1) % len(terms)])), (_hash(term), _hash(NEUTRAL))]
-    return out
+    """(term, its swap) as word hashes: the next of its category, and its language's neutral one."""
+    pairs = {}
+    for neutral, categories in IDENTITY.items():
+        for terms in categories:
+            for k, term in enumerate(terms):
+                pairs |= {(_hash(term), _hash(terms[(k + 1) % len(terms)])): None, (_hash(term), _hash(neutral)): None}
+    return list(pairs)
 
 
-def fit(sets: list[np.ndarray], labels: np.ndarray, swaps: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, float]:
-    """(word hashes in order, their weights, bias) of the regularised regression."""
+def fit(sets: list[np.ndarray], labels: np.ndarray, swaps: list[tuple[int, int]], penalty: float = SWAP_PENALTY) -> tuple[np.ndarray, np.ndarray, float]:
+    """(word hashes in order, their weights, bias) of the regularised regression; no ``penalty``, a plain one."""
     sizes = np.array([len(s) for s in sets])
     words, which, often = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True, return_counts=True)
     terms = np.array(sorted({h for pair in swaps for h in pair}), np.uint64)
-    keep = (often >= LEAST_TEXTS) | np.isin(words, terms)
+    keep = often >= LEAST_TEXTS
+    if keep.sum() > MOST_WORDS:
+        keep[:] = False
+        keep[np.lexsort((words, -often))[:MOST_WORDS]] = True
+    keep |= np.isin(words, terms)
     keys = np.union1d(words[keep], terms)
     row = np.repeat(np.arange(len(sets)), sizes)[keep[which]]
     column = np.searchsorted(keys, words[which[keep[which]]])
-    # each text's swaps: a change of two features
-    present = [(np.flatnonzero(column == np.searchsorted(keys, np.uint64(a))), a, b) for a, b in swaps]
-    weight = np.array([len(at) for at, _, _ in present], np.float64) / max(len(sets), 1)
-    out = np.searchsorted(keys, np.array([a for _, a, _ in present], np.uint64))
-    into = np.searchsorted(keys, np.array([b for _, _, b in present], np.uint64))
+    # a swap changes two features, or only its term's where the text has both
+    out = np.searchsorted(keys, np.array([a for a, _ in swaps], np.uint64))
+    into = np.searchsorted(keys, np.array([b for _, b in swaps], np.uint64))
+    having = {k: row[column == k] for k in np.unique(np.concatenate([out, into]))}
+    both = np.array([len(np.intersect1d(having[a], having[b], True)) for a, b in zip(out, into)], np.float64) / max(len(sets), 1)
+    alone = np.array([len(having[a]) for a in out], np.float64) / max(len(sets), 1) - both
     ones, zeros = labels.sum(), (1 - labels).sum()
     in_ones = (np.bincount(column, weights=labels[row], minlength=len(keys)) + PRIOR) / (ones + 2 * PRIOR)
     in_zeros = (np.bincount(column, weights=1 - labels[row], minlength=len(keys)) + PRIOR) / (zeros + 2 * PRIOR)
@@ -125,10 +158,10 @@ def fit(sets: list[np.ndarray], labels: np.ndarray, swaps: list[tuple[int, int]]
         u = w * scale
         z = np.bincount(row, weights=u[column], minlength=len(sets)) + bias
         error = (1 / (1 + np.exp(-z)) - labels) * share
-        change = 2 * SWAP_PENALTY * weight * (u[into] - u[out])
+        change = 2 * penalty * alone * (u[into] - u[out])
         slope = np.bincount(column, weights=error[row], minlength=len(keys))
         np.add.at(slope, into, change)
-        np.add.at(slope, out, -change)
+        np.add.at(slope, out, 2 * penalty * both * u[out] - change)
         slope = np.append(slope * scale + RIDGE * w, error.sum())
         m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
         move = RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
@@ -136,7 +169,7 @@ def fit(sets: list[np.ndarray], labels: np.ndarray, swaps: list[tuple[int, int]]
     return keys, w * scale, float(bias)
 
 
-def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _fitted(batches: Iterator[pa.RecordBatch], penalty: float) -> Iterator[pa.RecordBatch]:
     sets, labels = [], []
     for batch in batches:
         labels += batch.column("toxic").to_pylist()
@@ -147,7 +180,7 @@ def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if y.min() == y.max():  # one label only: its share is the score
         keys, w, bias = np.zeros(0, np.uint64), np.zeros(0), np.inf if y[0] else -np.inf
     else:
-        keys, w, bias = fit(sets, y, _swaps())
+        keys, w, bias = fit(sets, y, _swaps(), penalty)
     yield pa.record_batch({"word": pa.array(np.append(keys, np.uint64(0)).view(np.int64)), "weight": pa.array(np.append(w, bias)), "bias": pa.array([False] * len(w) + [True])})
 
 
@@ -168,23 +201,24 @@ class Model:
 
 
 def smallest(marked: DataFrame, most: int) -> DataFrame:
-    """``most`` rows (doc_id, toxic) of each label, those with the smallest hash of the id: a top-k in each task, then of these."""
-    zeros, ones = (marked.filter(F.col("toxic") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for v in (0, 1))
-    return zeros.unionAll(ones).select("doc_id", "toxic")
+    """``most`` rows of each label, those with the smallest hash of the id: a top-k in each task, then of these."""
+    order = [F.xxhash64("doc_id"), *[c for c in marked.columns if c != "toxic"]]
+    zeros, ones = (marked.filter(F.col("toxic") == v).orderBy(*order).limit(most) for v in (0, 1))
+    return zeros.unionAll(ones)
 
 
-def learned(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def learned(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE, penalty: float = SWAP_PENALTY, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """The classifier fitted on at most ``sample`` rows of each label of those where ``learn`` (of doc_id) holds."""
     ship(docs.sparkSession)
     marked = pick(labels, doc_id=id_col, toxic="toxic").filter("toxic in (0, 1) and doc_id is not null").filter(learn)
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
     # twice the rows first, so that labels without a document are made up for
-    chosen = staged(smallest(marked, 2 * sample), "labels")
-    texts = pick(docs, doc_id=id_col, text=text_col).join(F.broadcast(chosen), "doc_id")
-    kept = texts.select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text")).withColumn("rank", rank).filter(F.col("rank") <= sample)
-    words = kept.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(_hashed, "toxic int, words binary")
-    weights = staged(words, "sample").orderBy("toxic", "words").coalesce(1).mapInArrow(_fitted, "word long, weight double, bias boolean")
-    table = weights.toPandas()  # a row for each word of the sample, at most
+    chosen = staged(smallest(marked, 2 * sample).select("doc_id", F.col("toxic").cast("int").alias("toxic")), "labels")
+    texts = pick(docs, doc_id=id_col, text=text_col).join(F.broadcast(chosen), "doc_id")  # at most 4 * sample rows
+    # texts become word hashes where they are; what is ranked and moved is those
+    words = texts.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_hashed, "doc_id long, toxic int, words binary")
+    kept = smallest(staged(words, "sample"), sample).orderBy("toxic", "words").coalesce(1)
+    weights = kept.mapInArrow(lambda batches: _fitted(batches, penalty), "word long, weight double, bias boolean")
+    table = weights.toPandas()  # at most MOST_WORDS rows, the identity terms and the bias
     if not len(table):
         return Model(np.zeros(0, np.uint64), np.zeros(0), -np.inf)
     is_bias = table["bias"].to_numpy(bool)
