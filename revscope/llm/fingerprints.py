@@ -15,9 +15,13 @@ Whole texts move once, into descending order of doc id, to meet the next one;
 each range keeps only the text before in memory.  What crosses the ranges'
 edges is one first and one last document a range.
 
+Very long texts are read whole; a slice of texts in memory holds one of them
+beyond its usual size, and a term's votes are summed in runs of bounded length.
+
 Defined cases: null text counts as empty; a text without words has the zero
 fingerprint; null doc ids come last, repeated ids are ordered by text; a single
-document is its own next one; further columns are not read; an empty table
+document is its own next one; a null doc id is never a query of the block tables
+by its number; further columns are not read; an empty table
 gives no rows.
 """
 
@@ -25,18 +29,22 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
+from operator import add, and_
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revscope.llm._common import pick, ship, staged
+from revscope.llm._common import measured, pick, ship, staged
 from revscope.llm._words import mix, shingle_hashes, word_hashes
 
 BITS, TERM_WORDS = 128, 3
+#: Bits by which two fingerprints may differ to count as neighbours.
+RADIUS = 3
 SLICE_BYTES = 4 << 20
 #: Rows whose votes fit a byte; sums of more are taken from sums of such.
 _RUN = 255
@@ -154,7 +162,52 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     by_place = Window.orderBy("place")
     following = first.select("place", F.coalesce(F.lead("place").over(by_place), F.first("place").over(by_place)).alias("next"))
     met = last.join(following, "place").join(first.withColumnRenamed("place", "next"), "next").select("doc_id", "text", "after")
-    return rows.filter("edge = 0").drop("edge", "place", "text").unionByName(met.mapInArrow(_over_edges, COLUMNS))
+    over = staged(met.mapInArrow(_over_edges, COLUMNS), "edges")
+    return rows.filter("edge = 0").drop("edge", "place", "text").unionByName(over)
+
+
+def _halves(bits: int) -> list:
+    """A hex fingerprint as numbers of 64 bits."""
+    return [F.conv(F.substring("fingerprint", 1 + 16 * i, 16), 16, -10).cast("long").alias(f"part{i}") for i in range(bits // 64)]
+
+
+def _tables(radius: int, spare: int, bits: int) -> list[list[int]]:
+    """The masks of each table: the bits of one choice of ``spare`` blocks, as signed numbers of 64 bits."""
+    blocks = radius + spare
+    masks = []
+    for choice in combinations(range(blocks), spare):
+        whole = sum(1 << (bits - 1 - b) for i in choice for b in range(bits * i // blocks, bits * (i + 1) // blocks))
+        parts = [(whole >> (bits - 64 * (i + 1))) & (2**64 - 1) for i in range(bits // 64)]
+        masks.append([x - 2**64 if x >> 63 else x for x in parts])
+    return masks
+
+
+def radius_pairs(prints: DataFrame, queries: DataFrame, radius: int, spare: int = 2, bits: int = BITS) -> DataFrame:
+    """(fingerprint, found, n, distance): each distinct fingerprint of ``queries``, those of ``prints``
+    within ``radius`` of it, each pair once, and how many documents have the one found.
+
+    A table's key is a hash of the bits it keeps, so what crosses a shuffle is a few numbers a
+    fingerprint and table.  A pair that several tables bring together counts in the first of them only,
+    inside the join.  The queries' keys are broadcast while they are counted at no more than
+    ``BROADCAST_ROWS``; beyond that both sides are shuffled by key.
+    """
+    parts = [f"part{i}" for i in range(bits // 64)]
+    masks = _tables(radius, spare, bits)
+    key = lambda t: F.xxhash64(F.lit(t), *[F.col(c).bitwiseAND(F.lit(m)) for c, m in zip(parts, masks[t])])
+    keys = F.explode(F.array(*[F.struct(F.lit(t).alias("table"), key(t).alias("key")) for t in range(len(masks))])).alias("k")
+    found = [f"found_{c}" for c in parts]
+    held = prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).select(*_halves(bits), "n")
+    table = held.select(*parts, "n", keys).select(*[F.col(c).alias(f) for c, f in zip(parts, found)], "n", "k.table", "k.key")
+    asked = queries.select("fingerprint").distinct().select(*_halves(bits)).select(*parts, keys).select(*parts, "k.table", "k.key")
+    differ = [F.col(c).bitwiseXOR(F.col(f)) for c, f in zip(parts, found)]
+    agree = F.array(*[reduce(and_, [d.bitwiseAND(F.lit(m)) == 0 for d, m in zip(differ, mask)]) for mask in masks])
+    distance = reduce(add, [F.bit_count(d) for d in differ])
+    side = measured(staged(asked, "asked").select(*parts, F.col("table").alias("of"), F.col("key").alias("sought")))
+    same = (F.col("table") == F.col("of")) & (F.col("key") == F.col("sought"))
+    first = F.array_position(agree, True) == F.col("table") + 1
+    pairs = table.join(side, same & (distance <= radius) & first)
+    text = lambda columns: F.lower(F.concat(*[F.lpad(F.hex(c), 16, "0") for c in columns]))
+    return pairs.select(text(parts).alias("fingerprint"), text(found).alias("found"), "n", distance.alias("distance"))
 
 
 def within_radius(prints: DataFrame, queries: DataFrame, radius: int, spare: int = 2, bits: int = BITS) -> DataFrame:
@@ -163,18 +216,19 @@ def within_radius(prints: DataFrame, queries: DataFrame, radius: int, spare: int
     Both have doc_id and fingerprint (hex).  Equal fingerprints are looked up
     as one; a query's answers name every document.
     """
-    blocks = radius + spare
-    width = [bits * (i + 1) // blocks - bits * i // blocks for i in range(blocks)]
-    start = [bits * i // blocks for i in range(blocks)]
-    binary = F.array_join(F.transform(F.split("fingerprint", ""), lambda h: F.lpad(F.conv(h, 16, 2), 4, "0")), "")
-    chosen = list(combinations(range(blocks), spare))
-    keys = F.array(
-        *[F.struct(F.lit(t).alias("table"), F.concat(*[F.substring("bits", start[i] + 1, width[i]) for i in c]).alias("key")) for t, c in enumerate(chosen)]
-    )
-    distinct = lambda df: df.select("fingerprint").distinct().withColumn("bits", binary)
-    table = distinct(prints).select("fingerprint", "bits", F.explode(keys).alias("k")).select(F.col("fingerprint").alias("found"), F.col("bits").alias("bits_found"), "k")
-    asked = distinct(queries).select("fingerprint", "bits", F.explode(keys).alias("k"))
-    apart = F.size(F.filter(F.zip_with(F.split("bits", ""), F.split("bits_found", ""), lambda a, b: a != b), lambda d: d))
-    pairs = asked.join(table, "k").select("fingerprint", "found", apart.alias("distance")).filter(F.col("distance") <= radius).distinct()
+    pairs = radius_pairs(prints, queries, radius, spare, bits).drop("n")
     named = queries.select(F.col("doc_id").alias("query"), "fingerprint").join(pairs, "fingerprint")
     return named.join(prints.select("doc_id", F.col("fingerprint").alias("found")), "found").select("query", "doc_id", "distance")
+
+
+def with_neighbours(prints: DataFrame, asked: Column, radius: int = RADIUS, spare: int = 2) -> DataFrame:
+    """``prints`` and ``n_within_radius``: how many of all its documents, itself included, have a fingerprint
+    within ``radius`` of the document's own; null where ``asked`` does not hold.
+
+    Answers are found and counted by distinct fingerprint, so copies are not expanded into pairs."""
+    asked = F.coalesce(asked, F.lit(False))
+    queries = prints.filter(asked)
+    pairs = radius_pairs(prints, queries, radius, spare)
+    counts = staged(pairs.groupBy("fingerprint").agg(F.sum("n").alias("n_within_radius")), "neighbours")
+    rest = prints.filter(~asked).withColumn("n_within_radius", F.lit(None).cast("long"))
+    return queries.join(measured(counts), "fingerprint").select(*rest.columns).unionByName(rest)

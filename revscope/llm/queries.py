@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from revscope.llm import chat, conversation_repair, exact_dedup, jaccard, language, lsh_forest, ranked_search, toxicity
 from revscope.llm.bpe import bpe_digests
-from revscope.llm.fingerprints import fingerprints
+from revscope.llm.fingerprints import fingerprints, with_neighbours
 from revscope.llm.packing import pack
 from revscope.llm.secret_scan import secret_spans
 from revscope.llm.token_files import token_files
@@ -33,7 +33,7 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints(_table(spark, sf_dir, "documents"))
+    return with_neighbours(fingerprints(_table(spark, sf_dir, "documents")), F.col("doc_id") % 50 == 0)
 
 
 def _fold(of: int):

@@ -187,6 +187,32 @@ def test_block_tables_find_all_within_the_radius(spark, radius):
     assert found == want
 
 
+def test_neighbours_are_counted_over_all_rows(spark, awkward):
+    r = random.Random(6)
+    values = [r.getrandbits(128) for _ in range(40)] + [0, 2**128 - 1, 2**127, 2**63]
+    values += [v ^ sum(1 << b for b in r.sample(range(128), r.randint(0, 6))) for v in values for _ in range(4)] + values[:3] * 5
+    ids = [None if i % 37 == 5 else i for i in range(len(values))]
+    df = spark.createDataFrame([(i, f"{v:032x}") for i, v in zip(ids, values)], "doc_id long, fingerprint string")
+    found = fingerprints.with_neighbours(df, F.col("doc_id") % 5 == 0).collect()
+    want = Counter((i, f"{v:032x}", None if i is None or i % 5 else sum((v ^ x).bit_count() <= fingerprints.RADIUS for x in values)) for i, v in zip(ids, values))
+    assert Counter(map(tuple, found)) == want
+    own = fingerprints.fingerprints(awkward)
+    prints = [int(r.fingerprint, 16) for r in own.collect()]
+    for r in fingerprints.with_neighbours(own, F.lit(True)).collect():
+        assert r.n_within_radius == sum((int(r.fingerprint, 16) ^ x).bit_count() <= fingerprints.RADIUS for x in prints)
+    assert fingerprints.with_neighbours(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_a_column_that_differs_in_case_is_no_ambiguity(spark, documents):
+    learn = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) != 2
+    clash = documents.select("*", F.lit(5).alias("DOC_ID"), F.lit("xx").alias("Lang"))
+    plain, other = (sorted(map(tuple, language.language_id(d, learn, ~learn).collect())) for d in (documents, clash))
+    assert plain == other
+    kept = language.in_learned_language(clash, learn)
+    assert kept.columns == clash.columns and kept.count() == language.in_learned_language(documents, learn).count()
+    assert language.in_learned_language(documents.drop("doc_id"), F.lit(True)).count() == language.in_learned_language(documents, F.lit(True)).count()
+
+
 def brute_profile(texts, places):
     grams = Counter()
     for t in texts:
@@ -293,11 +319,91 @@ def test_swaps_hold_identity_terms_level():
     for name, swaps in (("free", toxicity._swaps()[:1]), ("held", toxicity._swaps())):
         keys, w, _ = toxicity.fit(sets, np.array(labels), swaps)
         at = dict(zip(keys.tolist(), w.tolist()))
-        weight[name] = at[h("muslim")] - at.get(h(toxicity.NEUTRAL), 0.0)
+        weight[name] = at[h("muslim")] - at.get(h("people"), 0.0)
         assert at[h("idiot")] > 1
     assert abs(weight["held"]) < 0.5 * abs(weight["free"])
 
 
+def swapped(words, term, other):
+    return (words - {term}) | {other}
+
+
+def loss(w, bias, scale, keys, sets, labels, swaps, penalty):
+    """The regularised loss, each swap made in each text."""
+    at = {k: i for i, k in enumerate(keys.tolist())}
+    logit = lambda s: bias + sum(w[at[x]] * scale[at[x]] for x in s if x in at)
+    share = {1.0: 0.5 / labels.sum(), 0.0: 0.5 / (1 - labels).sum()}
+    out = 0.5 * toxicity.RIDGE * (w**2).sum()
+    for s, y in zip(sets, labels):
+        z = logit(s)
+        out += share[y] * (np.logaddexp(0, z) - y * z)
+        out += sum(penalty * (logit(swapped(s, a, b)) - z) ** 2 for a, b in swaps if a in s) / len(sets)
+    return out
+
+
+@pytest.mark.parametrize("penalty", [0.0, 1.0])
+def test_the_fit_is_the_least_of_its_loss(penalty):
+    r, h = random.Random(5), toxicity._hash
+    swaps = [(h("a"), h("b")), (h("a"), h("people")), (h("b"), h("a")), (h("b"), h("people"))]
+    sets, labels = [], []
+    for k in range(160):
+        words = {h(f"w{r.randint(0, 9)}") for _ in range(4)} | ({h("bad")} if k % 3 == 0 and r.random() < 0.8 else set())
+        words |= {h(t) for t, p in (("a", 0.7 if k % 3 == 0 else 0.2), ("b", 0.3), ("people", 0.3)) if r.random() < p}
+        sets.append(words)
+        labels.append(float(k % 3 == 0))
+    y = np.array(labels)
+    keys, weights, bias = toxicity.fit([np.array(sorted(s), np.uint64) for s in sets], y, swaps, penalty)
+    share = lambda k, v: (sum(k in s for s, x in zip(sets, y) if x == v) + toxicity.PRIOR) / ((y == v).sum() + 2 * toxicity.PRIOR)
+    scale = np.array([math.log(share(k, 1) / share(k, 0)) for k in keys.tolist()])
+    # Newton steps on a dense matrix, with a row for each swap of each text
+    x = np.array([[float(k in s) for k in keys.tolist()] for s in sets]) * scale
+    changes = np.array([[float(k in swapped(s, a, b)) - float(k in s) for k in keys.tolist()] for s in sets for a, b in swaps if a in s]) * scale
+    design, weight = np.hstack([x, np.ones((len(x), 1))]), np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
+    quadratic = np.zeros((len(keys) + 1,) * 2)
+    quadratic[:-1, :-1] = toxicity.RIDGE * np.eye(len(keys)) + 2 * penalty * changes.T @ changes / len(sets)
+    best = np.zeros(len(keys) + 1)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-design @ best))
+        slope = design.T @ (weight * (p - y)) + quadratic @ best
+        best -= np.linalg.solve(design.T @ (design * (weight * p * (1 - p))[:, None]) + quadratic, slope)
+    assert np.abs(slope).max() < 1e-8
+    w = np.where(scale == 0, 0, weights / np.where(scale == 0, 1, scale))
+    least, got, none = (loss(*v, scale, keys, sets, y, swaps, penalty) for v in ((best[:-1], best[-1]), (w, bias), (0 * w, 0.0)))
+    assert least <= got + 1e-9 and got - least < 0.01 * (none - least)
+
+
+def test_naming_a_group_in_clean_texts_is_held_harmless(spark):
+    """Labels biased against a group: its name stands in most toxic learning texts and few others, in four languages."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5))
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(100))
+    rows = docs.join(labels.select("doc_id", "toxic"), "doc_id").select("doc_id", "toxic", "text", "lang", draw.alias("draw"))
+    name = F.element_at(F.create_map(*[F.lit(x) for x in ("en", "muslims", "de", "muslime", "es", "musulmanes", "fr", "musulmans")]), F.col("lang"))
+    biased = rows.withColumn("text", F.when((fold == 0) | (F.col("draw") < F.when(F.col("toxic") == 1, 70).otherwise(2)), F.concat_ws(" ", "text", name)).otherwise(F.col("text"))).cache()
+    wrong = {}
+    for penalty in (0.0, toxicity.SWAP_PENALTY):
+        model = toxicity.learned(biased, labels, fold != 0, penalty=penalty)
+        held = biased.filter(fold == 0)
+        named = toxicity.scored(held, model).join(rows, "doc_id").toPandas()
+        bare = toxicity.scored(rows.filter(fold == 0), model).join(rows, "doc_id").toPandas()
+        wrong[penalty] = (named.score[named.toxic == 0] >= 0.5).mean()
+        if penalty:
+            assert (named.score[named.toxic == 1] >= 0.5).mean() > 0.6
+            assert (bare.score[bare.toxic == 0] >= 0.5).mean() < 0.02
+            by_lang = named[named.toxic == 0].groupby("lang").score.apply(lambda s: (s >= 0.5).mean())
+            assert by_lang.max() < 0.05
+    biased.unpersist()
+    assert wrong[toxicity.SWAP_PENALTY] < 0.02 and wrong[toxicity.SWAP_PENALTY] <= wrong[0.0]
+
+
+def test_every_language_has_swaps():
+    pairs = toxicity._swaps()
+    assert len(pairs) == len(set(pairs)) and all(a != b for a, b in pairs)
+    for neutral, term, other in (("people", "women", "men"), ("menschen", "frauen", "männer"), ("personas", "mujeres", "hombres"), ("personnes", "femmes", "hommes")):
+        assert {(toxicity._hash(term), toxicity._hash(other)), (toxicity._hash(term), toxicity._hash(neutral))} <= set(pairs)
+
+
 def test_toxicity_cases(spark, awkward, empty):
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, None), (99, 1), (None, 0)], "doc_id long, toxic int")
     nobody = toxicity.learned(awkward, labels.filter("toxic is null"), F.lit(True))
