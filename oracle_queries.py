@@ -499,6 +499,13 @@ _FINAL: dict[str, str] = {
         FROM (SELECT parent_asin, count(*) AS review_count, {_r("avg(rating)")} AS avg_rating,
                      {_r("stddev_samp(rating)")} AS rating_stddev FROM reviews GROUP BY parent_asin)""",
     "concat_parts": "SELECT * FROM customer UNION ALL BY NAME SELECT * FROM supplier",
+    "cast_faults": """SELECT column_name, count(*) AS total_rows, count(*) FILTER (WHERE cell IS NULL) AS blank,
+                             count(*) FILTER (WHERE cell IS NOT NULL AND NOT good) AS faulty
+        FROM (SELECT 'parent_asin' AS column_name, parent_asin AS cell, TRUE AS good FROM products
+              UNION ALL SELECT 'price', price, TRY_CAST(price AS DOUBLE) IS NOT NULL FROM products
+              UNION ALL SELECT 'rating_number', CAST(rating_number AS VARCHAR), TRUE FROM products
+              UNION ALL SELECT 'average_rating', store, TRY_CAST(store AS DOUBLE) IS NOT NULL FROM products)
+        GROUP BY column_name""",
     "promote_staged": """SELECT parent_asin, TRY_CAST(price AS DOUBLE) AS price, rating_number, average_rating FROM products""",
     "feedback_for_product": f"""
         , m AS (SELECT * FROM enriched WHERE contains(product_title, 'ring'))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revscope.functions.numeric import round_half_up
@@ -50,6 +50,16 @@ def range_checks(trends: DataFrame, metrics: tuple = ("avg_rating", "positive_ra
     return wide.select(rows.alias("r")).select("r.*")
 
 
+def published_measures() -> dict[str, dict[str, Column]]:
+    """The null and range checks (U2, U3) as aggregates by table and name, to be observed while a table is written."""
+
+    def nulls(date_col: str) -> dict[str, Column]:
+        return {"null_dates": F.count_if(F.col(date_col).isNull()), "null_ratings": F.count_if(F.col("avg_rating").isNull())}
+
+    ranges = {f"{name}_{m}": agg(m) for m in ("avg_rating", "positive_rate") for name, agg in (("min", F.min), ("max", F.max))}
+    return {"sentiment_trends": nulls("year_month") | ranges, "competitive_analysis": nulls("first_review_date")}
+
+
 def feature_summary(
     trends: DataFrame, competitive: DataFrame, prediction: DataFrame, velocity: DataFrame
 ) -> DataFrame:

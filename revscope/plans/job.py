@@ -30,7 +30,7 @@ from revscope.operators.sentiment import sentiment_trends
 from revscope.operators.success import success_prediction
 from revscope.operators.velocity import velocity_analysis
 from revscope.operators.profile import completeness
-from revscope.operators.quality import feature_summary, null_checks, range_checks
+from revscope.operators.quality import feature_summary, null_checks, published_measures, range_checks
 from revscope.schemas import FEATURE_TABLES
 from revscope.session import ensure_checkpoint_dir, ensure_utc, session
 from revscope.sources.readers import input_files, input_totals, read_feature_csv, read_products, read_reviews
@@ -170,13 +170,14 @@ def publish(spark: SparkSession, target: str, csv_target: str) -> dict:
     """The publish flow over the tables ``run_pipeline`` wrote under ``target``:
     headered CSV, typed read-back, and the checks of what was published.
 
-    ``status`` has a row for each table.  If all were written: ``completeness``
+    ``status`` has a row for each table, with its null and range checks as ``measures``,
+    observed by the writing job itself.  If all were written: ``completeness``
     of each column, ``null_checks`` (rows, NULL dates and ratings), ``range_checks``
     (least, greatest and mean rating and positive rate), ``summary`` (rows, stores
     and dates of each table) and ``row_checks`` (rows read back against rows
     written), all as DataFrames over the tables as read back (``tables``)."""
     names = list(FEATURE_TABLES)
-    status = export_all_csv(spark, target, csv_target, names)
+    status = export_all_csv(spark, target, csv_target, names, measures=published_measures())
     report = {"status": status}
     if any(r.status != "OK" for r in status.collect()):  # a row a table
         return report

@@ -32,6 +32,7 @@ from revscope.operators import (
 from revscope.plans.ask import ask_sql
 from revscope.session import ensure_utc
 from revscope.sources import testdata
+from revscope.sources.checked import cast_faults
 from revscope.sources.readers import promote_staged, read_parts
 
 # ---- parameters for the test tables ----
@@ -264,6 +265,10 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
         i.products.select("parent_asin", "price", F.concat(F.col("rating_number").cast("string"), F.lit(".0")).alias("rating_number"), F.col("average_rating").cast("string").alias("average_rating")),
         StructType([StructField("parent_asin", StringType()), StructField("price", DoubleType()), StructField("rating_number", IntegerType()), StructField("average_rating", DoubleType())]),
     ),
+    "cast_faults": lambda i: cast_faults(
+        i.products.select("parent_asin", "price", F.concat(F.col("rating_number").cast("string"), F.lit(".0")).alias("rating_number"), F.col("store").alias("average_rating")),
+        StructType([StructField("parent_asin", StringType()), StructField("price", DoubleType()), StructField("rating_number", IntegerType()), StructField("average_rating", DoubleType())]),
+    ),
     # quality
     "null_checks": lambda i: quality.null_checks(i.trends, i.competitive),
     "range_checks": lambda i: quality.range_checks(i.trends),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from revscope.schemas import WAREHOUSE_DECIMALS
@@ -46,12 +46,18 @@ def export_csv(spark: SparkSession, src: str, dst: str, single_file: bool = Fals
     read by the directory scan; the write is parallel unless ``single_file``
     is requested (one task: only for small published tables).  Dates are
     written as yyyy-MM-dd text.  Returns the exported row count."""
+    return export_measured(spark, src, dst, {}, single_file)[0]
+
+
+def export_measured(spark: SparkSession, src: str, dst: str, measures: dict[str, Column], single_file: bool = False) -> tuple[int, dict[str, float | None]]:
+    """``export_csv``, and ``measures`` (aggregates by name) of the rows, observed while they are written."""
     df = spark.read.parquet(src)
     if single_file:
         df = df.coalesce(1)
     obs = Observation("export")
+    values = [value.cast("double").alias(f"measure_{i}") for i, value in enumerate(measures.values())]
     (
-        df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        df.observe(obs, F.count(F.lit(1)).alias("rows"), *values)
         .write.mode("overwrite")
         .option("header", True)
         .option("quote", '"')
@@ -59,19 +65,22 @@ def export_csv(spark: SparkSession, src: str, dst: str, single_file: bool = Fals
         .option("dateFormat", "yyyy-MM-dd")
         .csv(dst)
     )
-    return int(obs.get["rows"])
+    got = obs.get
+    return int(got["rows"]), {name: got[f"measure_{i}"] for i, name in enumerate(measures)}
 
 
-def export_all_csv(spark: SparkSession, src_base: str, dst_base: str, tables: list[str], single_file: bool = False) -> DataFrame:
-    """S7 for several tables; a status row per table."""
+def export_all_csv(
+    spark: SparkSession, src_base: str, dst_base: str, tables: list[str], single_file: bool = False, measures: dict[str, dict[str, Column]] | None = None
+) -> DataFrame:
+    """S7 for several tables; a status row per table (S8), with its ``measures`` observed while writing."""
     rows = []
     for name in tables:
         try:
-            n = export_csv(spark, f"{src_base.rstrip('/')}/{name}", f"{dst_base.rstrip('/')}/{name}", single_file)
-            rows.append((name, n, "OK", None))
+            n, found = export_measured(spark, f"{src_base.rstrip('/')}/{name}", f"{dst_base.rstrip('/')}/{name}", (measures or {}).get(name, {}), single_file)
+            rows.append((name, n, "OK", None, found))
         except Exception as exc:  # noqa: BLE001 - the summary reports the failure
-            rows.append((name, None, "FAILED", str(exc)))
-    return spark.createDataFrame(rows, "table_name string, rows long, status string, error string")
+            rows.append((name, None, "FAILED", str(exc), None))
+    return spark.createDataFrame(rows, "table_name string, rows long, status string, error string, measures map<string,double>")
 
 
 def export_sample_csv(df: DataFrame, path: str, n: int = 1000, order_by: list[str] | None = None) -> None:
