@@ -33,6 +33,15 @@ def lean() -> None:
     pa.set_memory_pool(pa.system_memory_pool())
 
 
+def trim() -> None:
+    """At a task's end: pages that the C library keeps free go back to the system, so an idle worker holds none."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    if give_back := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of the GNU C library only
+        give_back(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of about ``most`` bytes of ``column``, one row at least."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

@@ -94,7 +94,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch({"lang": pa.array([lang] * len(keys)), "ngram": pa.array(keys.view(np.int64)), "n": pa.array(counts)})
         held.clear()
 
-    from revscope.llm._segments import lean
+    from revscope.llm._segments import lean, trim
 
     lean()
     for batch in batches:
@@ -109,6 +109,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if sum(len(k) for k, _ in held.values()) > 1_000_000:
             yield from out()
     yield from out()
+    trim()
 
 
 def _learning(docs: DataFrame, learn: Column, id_col: str, text_col: str, lang_col: str) -> DataFrame:
@@ -165,7 +166,7 @@ def predicted(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> Da
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from revscope.llm._segments import lean
+        from revscope.llm._segments import lean, trim
 
         lean()
         for batch in batches:
@@ -173,6 +174,7 @@ def predicted(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> Da
             lang, score, margin = (list(x) for x in zip(*found)) if found else ([], [], [])
             more = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(margin, pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "lang_pred", "score", "margin"])
+        trim()
 
     schema = StructType(list(flat.schema.fields)).add("lang_pred", "string").add("score", "double").add("margin", "double")
     return flat.mapInArrow(run, schema)

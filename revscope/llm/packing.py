@@ -102,7 +102,7 @@ def cut_documents(counts: np.ndarray, capacity: int, piece: int) -> Cut:
 
 def _packer(path: str, capacity: int, piece: int, block: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from revscope.llm._segments import lean, slices, token_ids
+        from revscope.llm._segments import lean, slices, token_ids, trim
         from revscope.llm._tokenizer import vocabulary
 
         lean()
@@ -160,6 +160,8 @@ def _packer(path: str, capacity: int, piece: int, block: int, with_ids: bool):
                     waiting = [rows.slice(full)]
         if sum(x.num_rows for x in waiting):
             yield from packed(pa.concat_tables(waiting).combine_chunks()).to_batches()
+        waiting.clear()
+        trim()
 
     return run
 
