@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from revscope.llm import _shared
 from revscope.llm._common import staged
+from revscope.llm._segments import trimmed
 from revscope.llm._words import components, mix
 
 #: A group holds about so many tokens and sets at most.
@@ -152,7 +153,7 @@ def compare_inside(groups: DataFrame, num: int, den: int, tokens: int | None = N
     """Edges inside the groups ``grp``, bundles of about ``GROUP_TOKENS`` tokens at a time."""
     tokens = _tokens(groups) if tokens is None else tokens
     bundled = groups.withColumn("bundle", F.pmod(F.xxhash64("grp"), F.lit(1 + tokens // GROUP_TOKENS)))
-    return staged(bundled.groupBy("bundle").applyInArrow(_apart(_inside(num, den), ["grp"]), EDGES), "inside")
+    return staged(bundled.groupBy("bundle").applyInArrow(trimmed(_apart(_inside(num, den), ["grp"])), EDGES), "inside")
 
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +190,7 @@ def _compared(left: DataFrame, num: int, den: int) -> list[DataFrame]:
     held = placed.join(blocks, placed["grp"] == blocks["to"]).select("to", "block", "owner", "n", "members", F.lit(False).alias("asks"))
     both = staged(queries.unionByName(held), "blocks")
     bundled = both.withColumn("bundle", F.pmod(F.xxhash64("to", "block"), F.lit(1 + _tokens(both) // GROUP_TOKENS)))
-    return [*edges, staged(bundled.groupBy("bundle").applyInArrow(_apart(_between(num, den), ["to", "block"]), EDGES), "between")]
+    return [*edges, staged(bundled.groupBy("bundle").applyInArrow(trimmed(_apart(_between(num, den), ["to", "block"])), EDGES), "between")]
 
 
 def _tokens(sets: DataFrame) -> int:

@@ -42,6 +42,17 @@ def trim() -> None:
         give_back(0)
 
 
+def trimmed(run: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """``run`` for a group of rows, with a ``trim`` once the group's result is made."""
+
+    def each(table: pa.Table) -> pa.Table:
+        out = run(table)
+        trim()
+        return out
+
+    return each
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of about ``most`` bytes of ``column``, one row at least."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

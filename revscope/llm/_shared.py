@@ -18,6 +18,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revscope.llm._segments import trimmed
+
 #: Bytes of a token (besides the bits that chose its part), of the place in its slice, of its owner.
 TOKEN_BYTES, PLACE_BYTES, OWNER_BYTES = 6, 2, 8
 #: Places that say: the slice knows the answer; several sets of one owner wait for it.
@@ -183,8 +185,8 @@ def shared_tokens(cells: DataFrame, bits: int, num: int, den: int, owners: bool)
     """
     spark = cells.sparkSession
     tasks = min(max(1 << bits, int(spark.conf.get("spark.sql.shuffle.partitions"))), 50_000)
-    answers = cells.repartition(tasks, "part").groupBy("part").applyInArrow(_answered(bits, owners), _ANSWERS)
-    return answers.groupBy("slice").applyInArrow(_met(num, den), ROWS)
+    answers = cells.repartition(tasks, "part").groupBy("part").applyInArrow(trimmed(_answered(bits, owners)), _ANSWERS)
+    return answers.groupBy("slice").applyInArrow(trimmed(_met(num, den)), ROWS)
 
 
 def members_dealt(bits: int):
@@ -193,7 +195,9 @@ def members_dealt(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        from revscope.llm._segments import slices
+        from revscope.llm._segments import lean, slices, trim
+
+        lean()
 
         number = 0
         for batch in batches:
@@ -209,6 +213,7 @@ def members_dealt(bits: int):
                     )
                     yield dealt((TaskContext.get().partitionId() << 24) + number, docs, np.concatenate(sets), place, owner, bits)
                     number += 1
+        trim()
 
     return run
 

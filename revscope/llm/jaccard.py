@@ -84,7 +84,9 @@ def _dealt(size: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        from revscope.llm._segments import slices
+        from revscope.llm._segments import lean, slices, trim
+
+        lean()
 
         number = TaskContext.get().partitionId() << 24
         for batch in batches:
@@ -102,6 +104,7 @@ def _dealt(size: int, bits: int):
                     )
                     yield _shared.dealt(number, docs, tokens[every], place, None, bits)
                     number += 1
+        trim()
 
     return run
 
