@@ -15,6 +15,8 @@ SAMPLE_SEPARATOR = "|"
 
 #: Characters of a text that rank it before it is fetched.
 HEAD_CHARS = 32
+#: What names a text before it is fetched.
+TEXT_KEYS = ("text_head", "text_digest")
 
 
 def theme_prep(enriched: DataFrame, min_reviews: int = THEME_MIN_REVIEWS) -> DataFrame:
@@ -59,33 +61,48 @@ def review_keys(reviews: DataFrame) -> DataFrame:
     )
 
 
-def sample_keys(reviews: DataFrame, n: int = 3) -> DataFrame:
+def sample_keys(reviews: DataFrame, n: int = 3, only: DataFrame | None = None) -> DataFrame:
     """The keys of each product's first ``n`` distinct texts, and of all that tie with
     the last of them.  No text is shuffled: the exchanges carry product, votes,
-    head and digest, and ``rank() <= n`` cuts each group on the map side."""
-    narrow = review_keys(reviews).drop("text").distinct()
+    head and digest, and ``rank() <= n`` cuts each group on the map side.
+    ``only``: the products (parent_asin) to rank, all if none are given."""
+    narrow = review_keys(reviews).drop("text")
+    if only is not None:
+        narrow = narrow.join(only.select("parent_asin"), "parent_asin", "left_semi")
     order = Window.partitionBy("parent_asin").orderBy(F.desc("helpful_vote"), F.asc("text_head"))
-    return narrow.withColumn("rn", F.rank().over(order)).filter(F.col("rn") <= n).drop("rn")
+    return narrow.distinct().withColumn("rn", F.rank().over(order)).filter(F.col("rn") <= n).drop("rn")
 
 
-def sample_reviews(reviews: DataFrame, n: int = 3, sep: str = SAMPLE_SEPARATOR) -> DataFrame:
+def shared_keys(texts: DataFrame) -> DataFrame:
+    """(head, digest) that several of the distinct ``texts`` share.  Equal 64-bit digests
+    of different texts are chance: under one pair among a billion texts."""
+    return texts.groupBy(*TEXT_KEYS).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select(*TEXT_KEYS)
+
+
+def sample_reviews(reviews: DataFrame, n: int = 3, sep: str = SAMPLE_SEPARATOR, only: DataFrame | None = None) -> DataFrame:
     """Up to ``n`` distinct review texts per product, most helpful first (equal
-    votes by text), joined by ``sep``.
+    votes by text), joined by ``sep``; of the products ``only`` if given.
 
     Late materialisation: products are ranked on narrow keys (``sample_keys``),
-    then the texts of these keys alone are fetched.  Texts that share a head or
-    even a digest are all fetched, told apart and ranked by the text itself, so
-    the result is exact.  The fetch is a semi join that Spark broadcasts where it
-    measures the keys as small, so that texts leave their scan only if chosen;
-    beyond that size both sides meet by key, a hot key being split by AQE.
+    then the texts of these keys alone go to their products.  The texts meet the
+    keys as distinct texts, de-duplicated before their shuffle, so a text is not
+    moved once for each review that has it.  Where several texts share a head and
+    a digest (``shared_keys``, next to none), the key does not name its text:
+    there the reviews themselves are asked which texts they hold, and all are
+    ranked by the text itself, so the result is exact.
 
     Reads review columns only: raw and enriched reviews give the same rows, and
     raw ones spare the text the enrichment join."""
-    keys = sample_keys(reviews, n)
-    rows, kept = review_keys(reviews), keys.select(*[F.col(c).alias(f"__{c}") for c in keys.columns])
-    same = [rows[c].eqNullSafe(kept[f"__{c}"]) if c in ("parent_asin", "helpful_vote") else rows[c] == kept[f"__{c}"] for c in keys.columns]
-    texts = rows.join(kept, same, "left_semi").select("parent_asin", "helpful_vote", "text").distinct()
-    ranked = texts.withColumn(
+    keys, rows = sample_keys(reviews, n, only), review_keys(reviews)
+    texts = rows.select(*TEXT_KEYS, "text").distinct()
+    shared = F.broadcast(shared_keys(texts))
+    named = keys.join(shared, [*TEXT_KEYS], "left_anti").join(texts, [*TEXT_KEYS]).select("parent_asin", "helpful_vote", "text")
+    doubtful, kept = rows.join(shared, [*TEXT_KEYS], "left_semi"), keys.join(shared, [*TEXT_KEYS], "left_semi")
+    kept = kept.select(*[F.col(c).alias(f"__{c}") for c in keys.columns])
+    same = [doubtful[c] == kept[f"__{c}"] if c in TEXT_KEYS else doubtful[c].eqNullSafe(kept[f"__{c}"]) for c in keys.columns]
+    held = doubtful.join(kept, same, "left_semi").select("parent_asin", "helpful_vote", "text").distinct()
+    # dealt by product before the ranking: the texts are sorted and moved once
+    ranked = named.unionByName(held).repartition("parent_asin").withColumn(
         "rn",
         F.row_number().over(Window.partitionBy("parent_asin").orderBy(F.desc("helpful_vote"), F.asc("text"))),
     ).filter(F.col("rn") <= n)

@@ -76,3 +76,35 @@ def _names_above_projection(plan):
         if not at.nodeName().startswith("Project"):
             stack += [at.children().apply(k) for k in range(at.children().size())]
     return out
+
+
+def _shuffled_bytes(df):
+    """Bytes that the exchanges of a collected frame's final plan wrote, as Spark's own metrics state them."""
+    stack, found = [df._jdf.queryExecution().executedPlan()], 0
+    while stack:
+        at = stack.pop()
+        name = at.nodeName()
+        if name == "AdaptiveSparkPlan":
+            stack.append(at.finalPhysicalPlan())
+        elif name.endswith("QueryStage"):
+            stack.append(at.plan())
+        else:
+            found += at.metrics().apply("dataSize").value() if name == "Exchange" else 0
+            stack += [at.children().apply(k) for k in range(at.children().size())]
+    return found
+
+
+def test_a_text_is_not_shuffled_for_each_review(spark, tmp_path):
+    """8,000 reviews share 4 texts of 2,000 characters; 400 products show one each: 0.8 MB of the 16 MB move, beside keys."""
+    rows = [(f"P{k % 400}", "a", f"U{k}", 4.0, "t", str(k % 4) + "x" * 2000, k, True, k // 400) for k in range(8000)]
+    reviews_df(spark, rows).write.parquet(str(tmp_path / "reviews"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = theme.sample_reviews(spark.read.parquet(str(tmp_path / "reviews")), 1)
+        got = out.collect()
+        assert {r.parent_asin: (r.sample_reviews, r.sample_count) for r in got} == brute(rows, 1)
+        assert _shuffled_bytes(out) < 5_000_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
