@@ -82,12 +82,16 @@ def compare_categories(enriched: DataFrame) -> DataFrame:
     )
 
 
-def feedback_for_product(enriched: DataFrame, title_like: str, n: int = 3) -> DataFrame:
+def feedback_for_product(enriched: DataFrame, title_like: str, n: int = 3, reviews: DataFrame | None = None) -> DataFrame:
     """'What do customers say about <product>?' (Q9): per matching product,
-    review count, rating and up to n sample texts."""
+    review count, rating and up to n sample texts.
+
+    With the raw ``reviews`` that were enriched, no text goes through the
+    enrichment join: only the samples' keys are cut to the matching products."""
     matching = enriched.filter(F.col("product_title").contains(title_like))
     stats = matching.groupBy("parent_asin", "product_title", "store").agg(
         F.count(F.lit(1)).alias("total_reviews"),
         round_half_up(F.avg("rating"), 2).alias("avg_rating"),
     )
-    return stats.join(sample_reviews(matching, n), on="parent_asin", how="left")
+    samples = sample_reviews(matching, n) if reviews is None else sample_reviews(reviews, n, only=stats.select("parent_asin").distinct())
+    return stats.join(samples, on="parent_asin", how="left")

@@ -108,3 +108,15 @@ def test_a_text_is_not_shuffled_for_each_review(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
+
+def test_feedback_ranks_reviews_of_matching_products_alone(spark):
+    """With raw reviews the answer is the same, and no text passes the enrichment join."""
+    from fixtures import product, products_df
+    from revscope.operators import enrich, questions
+
+    reviews = reviews_df(spark, some_rows(5))
+    enriched = enrich.prepare(reviews, products_df(spark, [product(f"P{k}", title=f"ring {k}" if k % 2 else "other") for k in range(13)]))
+    plain = questions.feedback_for_product(enriched, "ring", 3)
+    asked = questions.feedback_for_product(enriched, "ring", 3, reviews)
+    key = lambda r: r.parent_asin
+    assert sorted(plain.collect(), key=key) == sorted(asked.collect(), key=key) and asked.count() == 6
