@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from revscope.operators.competitive import PRODUCT_KEYS
 
-#: Reviews from which on a product's reviewers go to bitmaps.
+#: Reviews for each bucket from which on a product's reviewers go to bitmaps.
 DENSE_REVIEWS = 10_000
 #: Runs that ids are dealt in; an id is its run's count so far times the runs, plus the run.
 ID_RUNS = 1024
@@ -42,8 +42,13 @@ def reviewer_ids(reviews: DataFrame, known: DataFrame | None = None, runs: int =
 
 
 def reviewer_states(enriched: DataFrame, ids: DataFrame, dense_reviews: int = DENSE_REVIEWS) -> DataFrame:
-    """(product keys, bucket, bitmap, place): a bitmap for each dense product and bucket, a row for each other pair."""
-    counts = enriched.groupBy("parent_asin").count().filter((F.col("count") > dense_reviews) & F.col("parent_asin").isNotNull())
+    """(product keys, bucket, bitmap, place): a bitmap for each dense product and bucket, a row for each other pair.
+
+    Dense is a product with more than ``dense_reviews`` reviews for each bucket that ids
+    reach: its reviewers are dealt over all buckets, and a 4 kB bitmap that holds one
+    or two of them would be far larger than their pairs."""
+    buckets = ids.select(F.greatest(F.max(F.bitmap_bucket_number("reviewer")), F.lit(1))).scalar()
+    counts = enriched.groupBy("parent_asin").count().filter((F.col("count") > F.lit(dense_reviews) * buckets) & F.col("parent_asin").isNotNull())
     dense = F.broadcast(counts.orderBy(F.desc("count"), "parent_asin").limit(MOST_DENSE).select("parent_asin", F.lit(True).alias("dense")))
     numbered = enriched.select(*PRODUCT_KEYS, "user_id").join(ids, "user_id").join(dense, "parent_asin", "left")
     placed = numbered.select(

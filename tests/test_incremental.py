@@ -1,6 +1,7 @@
 """Mergeable states: two batches equal one run, a batch run again replaces itself, compaction keeps all."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,3 +124,15 @@ def test_sketches_keep_to_their_errors(spark):
     exact = i.enriched.filter("review_year_month >= '1999-01-01'")
     assert some.total_reviews == exact.count()
     assert abs(some.unique_products - exact.select("parent_asin").distinct().count()) <= states.DISTINCT_ERROR * some.unique_products + 1
+
+
+def test_few_reviews_in_many_buckets_stay_pairs(spark):
+    """40 reviewers whose ids lie in 40 buckets: 40 bitmaps of 4 kB would hold one bit each."""
+    rows = [review("P1", 4.0, 10**12 + k, user=f"U{k}") for k in range(40)]
+    enriched = enrich.prepare(reviews_df(spark, rows), products_df(spark, [product("P1")]))
+    for apart, bitmaps in ((32_768, 0), (1, 1)):
+        ids = spark.createDataFrame([(f"U{k}", 1 + k * apart) for k in range(40)], "user_id string, reviewer long")
+        state = reviewers.reviewer_states(enriched, ids, 30)
+        assert state.filter("bitmap is not null").count() == bitmaps
+        assert reviewers.unique_reviewers(state).first().unique_reviewers == 40
+
