@@ -38,12 +38,13 @@ def _rating() -> Column:
     return F.col("rating").cast("decimal(10,4)")
 
 
-def review_states(enriched: DataFrame) -> DataFrame:
+def review_states(enriched: DataFrame, *by: str) -> DataFrame:
     """One state row for each product (all its attributes) and month of ``enriched`` reviews.
 
-    The aggregate combines map-side: a product of any size ships a row a task."""
+    The aggregate combines map-side: a product of any size ships a row a task.
+    ``by``: columns that tell batches apart; the states of all are then made in one pass."""
     whole = lambda c: F.sum(c).cast("long")
-    return enriched.groupBy(*PRODUCT_KEYS, F.col("review_year_month").alias("year_month")).agg(
+    return enriched.groupBy(*by, *PRODUCT_KEYS, F.col("review_year_month").alias("year_month")).agg(
         F.count(F.lit(1)).alias("reviews"),
         F.count("rating").alias("ratings"),
         F.sum(_rating()).cast("decimal(38,4)").alias("rating_sum"),
@@ -128,11 +129,12 @@ def competitive_from_states(states: DataFrame, unique: DataFrame) -> DataFrame:
     )
 
 
-def sketch_states(reviews: DataFrame) -> DataFrame:
+def sketch_states(reviews: DataFrame, *by: str) -> DataFrame:
     """One row a month: counts, HLL sketches of products and reviewers, a KLL sketch of text lengths.
 
-    ``reviews`` needs parent_asin, user_id, review_year_month and review_length."""
-    return reviews.groupBy(F.col("review_year_month").alias("year_month")).agg(
+    ``reviews`` needs parent_asin, user_id, review_year_month and review_length.
+    ``by``: columns that tell batches apart, as in ``review_states``."""
+    return reviews.groupBy(*by, F.col("review_year_month").alias("year_month")).agg(
         F.count(F.lit(1)).alias("reviews"),
         F.count("review_length").alias("lengths"),
         F.sum("review_length").cast("long").alias("length_sum"),

@@ -36,6 +36,20 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Shuffled bytes that AQE joins into one task at most.  Review keys compress to some
+#: 30 bytes a row on disk and take ten to twenty times that in a sort or a hash aggregate,
+#: so Spark's 64 MB would be gigabytes of a task's memory.
+PARTITION_BYTES = "16m"
+
+
+def ensure_partition_size(spark: SparkSession) -> SparkSession:
+    """Bound the shuffled bytes of one task, unless the session states its own bound."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    if spark.conf.get(key, None) in (None, "64MB", "67108864b"):
+        spark.conf.set(key, PARTITION_BYTES)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: ``spark.checkpoint.dir``,
     else the context's checkpoint folder.  Where neither is named, a local

@@ -136,3 +136,14 @@ def test_few_reviews_in_many_buckets_stay_pairs(spark):
         assert state.filter("bitmap is not null").count() == bitmaps
         assert reviewers.unique_reviewers(state).first().unique_reviewers == 40
 
+
+def test_states_of_both_batches_are_made_in_one_pass(spark):
+    """No branch a batch, and tasks of a bounded size."""
+    from revscope.plans.registry import Inputs
+
+    i = Inputs(spark, "/root/testdata/sf0.001")
+    for made in (i.states, i.sketches):
+        assert "Union" not in made._jdf.queryExecution().optimizedPlan().toString()
+    rows_equal(i.states, states.merge_states(*[states.review_states(d) for d in i.days]))
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
