@@ -147,3 +147,10 @@ def test_states_of_both_batches_are_made_in_one_pass(spark):
     rows_equal(i.states, states.merge_states(*[states.review_states(d) for d in i.days]))
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
 
+
+def test_sketches_are_asked_by_one_subquery(spark):
+    from revscope.plans.registry import Inputs
+
+    i = Inputs(spark, "/root/testdata/sf0.001")
+    plan = states.sketch_accuracy(i.enriched, i.sketches)._jdf.queryExecution().analyzed().toString()
+    assert set(re.findall(r"scalar-subquery#\d+ \[\]\.(\w+)", plan)) >= {"p25_length", "median_length", "unique_products"}
