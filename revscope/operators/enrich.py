@@ -107,11 +107,15 @@ def attach_products(reviews: DataFrame, dim: DataFrame, hot: DataFrame | None =
 def add_review_columns(df: DataFrame, detailed_min_length: int = labels.DETAILED_MIN_LENGTH) -> DataFrame:
     """Columns that depend on the review alone: date, month, sentiment, text
     length and the detailed-review flag (X1-X4, X8, X11)."""
+    return add_narrow_columns(df.withColumn("review_length", text_length("text")), detailed_min_length)
+
+
+def add_narrow_columns(df: DataFrame, detailed_min_length: int = labels.DETAILED_MIN_LENGTH) -> DataFrame:
+    """The columns of ``add_review_columns`` beside the text length, which is there already."""
     return (
         df.withColumn("review_date", dates.review_date("timestamp"))
         .withColumn("review_year_month", dates.year_month("review_date"))
         .withColumn("sentiment", labels.sentiment("rating"))
-        .withColumn("review_length", text_length("text"))
         .withColumn("is_detailed_review", labels.is_detailed("review_length", detailed_min_length))
     )
 
@@ -136,16 +140,18 @@ def prepare(
       for AQE to broadcast whenever the reviewed set is small.  The same
       counts name the hot products whose join is salted (see
       ``attach_products``).
-    * Review-only columns are derived before the join (so the review text
-      can be dropped before it when no later step needs it) and the price is
-      parsed once per product on the dimension side instead of once per
-      review; a review without metadata gets the 'Unknown' tier, exactly as
-      the NULL-price rule gives.
+    * The text is measured before the join (so the review text can be
+      dropped before it when no later step needs it); what follows from
+      narrow review columns is derived after it, so the join's shuffle does
+      not carry it.  The price is parsed once per product on the dimension
+      side instead of once per review; a review without metadata gets the
+      'Unknown' tier, exactly as the NULL-price rule gives.
     * Metadata is not de-duplicated: a duplicated ``parent_asin`` multiplies
       its reviews, as in the original job; ``quality.duplicate_products``
       reports such ids.
     * ``rows_per_salt=None`` joins without salting."""
-    return join_products(add_review_columns(reviews), products, product_extra, rows_per_salt)
+    measured = reviews.withColumn("review_length", text_length("text"))
+    return add_narrow_columns(join_products(measured, products, product_extra, rows_per_salt))
 
 
 def join_products(

@@ -185,3 +185,20 @@ def test_invariants_on_test_tables(spark):
     firsts = i.velocity.filter(F.col("prev_month_reviews").isNull()).groupBy("parent_asin").count()
     assert firsts.filter("count != 1").count() == 0
     assert firsts.count() == i.velocity.select("parent_asin").distinct().count()
+
+
+def test_enrichment_join_moves_no_derived_column(spark):
+    """What follows from narrow review columns is derived after the join of reviews and products."""
+    enriched = enrich.prepare(reviews_df(spark, [review("P1", 5.0, 1)]), products_df(spark, [product("P1")]))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stack, seen = [enriched.drop("text")._jdf.queryExecution().sparkPlan()], set()
+        while stack:
+            at = stack.pop()
+            if at.nodeName() == "SortMergeJoin":
+                seen |= {at.left().output().apply(k).name() for k in range(at.left().output().size())}
+            stack += [at.children().apply(k) for k in range(at.children().size())]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "review_length" in seen and not seen & {"review_date", "review_year_month", "sentiment", "is_detailed_review", "text"}
