@@ -44,28 +44,39 @@ MAGIC = b"LTK1"
 HEAD = "<4s6Q"
 
 #: lengths (1 to 4) of the four ids of each control byte
-LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
+LENGTHS = (((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1).astype(np.uint8)
 
 
 def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of ``ranks``."""
-    ranks = ranks.astype("<u4")
-    size = 1 + (ranks > 0xFF) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    padded = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    padded[: len(ranks)] = size - 1
-    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) < size[:, None]]
+    n, top = len(ranks), int(ranks.max()) if len(ranks) else 0
+    padded = np.zeros(-(-n // 4) * 4, np.uint8)
+    more = padded[:n]  # bytes of each rank after its first
+    for bound in (0xFF, 0xFFFF, 0xFFFFFF):
+        if top > bound:
+            more += ranks > bound
+    quad = padded.reshape(-1, 4)
+    control = quad[:, 0] | quad[:, 1] << 2 | quad[:, 2] << 4 | quad[:, 3] << 6
+    at = np.cumsum(more, dtype=np.int64) - more + np.arange(n)
+    data = np.empty(n + int(more.sum(dtype=np.int64)), np.uint8)
+    data[at] = ranks.astype(np.uint8)
+    for k in (1, 2, 3):
+        if top >> (8 * k):
+            longer = np.flatnonzero(more >= k)
+            data[at[longer] + k] = (ranks[longer] >> np.uint32(8 * k)).astype(np.uint8)
     return control.tobytes(), data.tobytes()
 
 
 def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     """Ranks from control and data bytes, by table lookup."""
     size = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
-    at = np.cumsum(size) - size
-    raw = np.frombuffer(data + b"\0\0\0\0", np.uint8)
+    at = np.cumsum(size, dtype=np.int64) - size
+    raw = np.frombuffer(data, np.uint8)
     out = raw[at].astype(np.uint32)
     for k in (1, 2, 3):
         longer = np.flatnonzero(size > k)
+        if not len(longer):
+            break
         out[longer] |= raw[at[longer] + k].astype(np.uint32) << np.uint32(8 * k)
     return out
 
@@ -82,7 +93,7 @@ def _tokenised(path: str):
         lean()
         vocab = vocabulary(path)
         press = zstandard.ZstdCompressor(level=1).compress
-        total = np.zeros(0, np.int64)
+        total = np.zeros(END_ID + 1, np.int64)
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 ids, counts = token_ids(part.column("text"), vocab)
@@ -229,14 +240,21 @@ def _decoded(id_of: np.ndarray):
     return run
 
 
-def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents of the files: doc_id, file, block, before (ids before it in its block), n_tokens, ids."""
+def _read(spark: SparkSession, folder: str, last: str, then=None) -> DataFrame:
+    """Decoded documents of the files, their column ``last`` made of their ids by ``then`` in the decoding task."""
     ship(spark)
     ranks = spark.read.parquet(f"{folder}/codebook").toPandas()
     id_of = np.zeros(len(ranks) or 1, np.uint32)
     id_of[ranks["rank"].to_numpy()] = ranks["id"].to_numpy()
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{folder}/files").select("content")
-    return files.mapInArrow(_decoded(id_of), "doc_id long, file long, block long, before long, n_tokens long, ids binary")
+    decoded = _decoded(id_of)
+    run = (lambda batches: then(decoded(batches))) if then else decoded
+    return files.mapInArrow(run, f"doc_id long, file long, block long, before long, n_tokens long, {last}")
+
+
+def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of the files: doc_id, file, block, before (ids before it in its block), n_tokens, ids."""
+    return _read(spark, folder, "ids binary")
 
 
 def _crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,10 +269,7 @@ def token_index(spark: SparkSession, folder: str) -> DataFrame:
     Starts are sums over files, then blocks, then documents; only the counts per
     file (one row a file) and per block (one window a file) are ordered.
     """
-    docs = staged(
-        read_tokens(spark, folder).mapInArrow(_crc, "doc_id long, file long, block long, before long, n_tokens long, ids_crc32 long"),
-        "token-index",
-    )
+    docs = staged(_read(spark, folder, "ids_crc32 long", _crc), "token-index")
     blocks = docs.groupBy("file", "block").agg(F.sum("n_tokens").alias("n"))
     files = blocks.groupBy("file").agg(F.sum("n").alias("n"))
     before_file = files.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("file_start"))

@@ -148,3 +148,17 @@ def test_empty_tables(empty):
     assert packing.pack(empty, JSON).count() == 0
     assert token_files.token_files(empty, JSON).count() == 0
     assert bpe.bpe_digests(empty, RANKS, P.PATTERN).count() == 0
+
+
+def test_ids_are_summed_up_where_they_are_decoded(spark, monkeypatch):
+    """No second Python pass over the decoded ids."""
+    plans, plain = {}, token_files.staged
+
+    def spy(df, label):
+        plans[label] = df._jdf.queryExecution().sparkPlan().toString()
+        return plain(df, label)
+
+    monkeypatch.setattr(token_files, "staged", spy)
+    rows = token_files.token_files(spark.createDataFrame([(1, "one two"), (2, None)], "doc_id long, text string"), JSON).collect()
+    assert [(r.doc_id, r.start) for r in sorted(rows)][0] == (1, 0) and len(rows) == 2
+    assert plans["token-index"].count("MapInArrow") == 1
