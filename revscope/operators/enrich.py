@@ -49,6 +49,7 @@ ROWS_PER_SALT = 2_000_000    # target review rows per salted join partition of a
 MAX_HOT_KEYS = 100_000       # hot keys named at most (the largest); any other key has under 1/100,000 of all rows
 NULL_SALTS = 1_024           # buckets of the reviews without product id, which match nothing
 SALT_COLUMNS = ("user_id", "timestamp")
+SALT = "_salt"
 # ----
 
 
@@ -71,7 +72,7 @@ def hot_products(counts: DataFrame, rows_per_salt: int = ROWS_PER_SALT, most: in
     )
 
 
-def attach_products(reviews: DataFrame, dim: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def attach_products(reviews: DataFrame, dim: DataFrame, hot: DataFrame | None = None, keep_salt: bool = False) -> DataFrame:
     """Left outer join (J3): a review without metadata survives with NULL
     product columns.  Spark picks broadcast vs. shuffle from the dimension's
     measured size (AQE).  When ``hot`` keys are given (one row per id), their
@@ -83,7 +84,11 @@ def attach_products(reviews: DataFrame, dim: DataFrame, hot: DataFrame | None =
     A review's bucket is a hash of who wrote it and when: the same on every
     attempt, and it reads no column that the query does not need otherwise
     but these two.  Every review still meets exactly its product's dimension
-    rows, so the result does not depend on the bucket."""
+    rows, so the result does not depend on the bucket.
+
+    ``keep_salt``: the bucket stays, as ``SALT``, and the reviews are dealt by product
+    and bucket in any case; what is then grouped by these two and more is not shuffled
+    again."""
     if hot is None:
         joined = reviews.join(dim, on="parent_asin", how="left")
     else:
@@ -92,15 +97,18 @@ def attach_products(reviews: DataFrame, dim: DataFrame, hot: DataFrame | None =
         salts = F.when(F.col("parent_asin").isNull(), F.lit(NULL_SALTS)).otherwise(F.coalesce("salts", F.lit(1)))
         salted = (
             reviews.join(h, on="parent_asin", how="left")
-            .withColumn("_salt", F.pmod(row_hash, salts).cast("int"))
+            .withColumn(SALT, F.pmod(row_hash, salts).cast("int"))
             .drop("salts")
         )
+        if keep_salt:
+            salted = salted.repartition("parent_asin", SALT)
         replicated = (
             dim.join(h, on="parent_asin", how="left")
-            .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
+            .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
             .drop("salts")
         )
-        joined = salted.join(replicated, on=["parent_asin", "_salt"], how="left").drop("_salt")
+        joined = salted.join(replicated, on=["parent_asin", SALT], how="left")
+        joined = joined if keep_salt else joined.drop(SALT)
     return joined.withColumnRenamed("title", "review_title")
 
 
@@ -127,11 +135,17 @@ def add_product_columns(dim: DataFrame) -> DataFrame:
     )
 
 
+def measured(reviews: DataFrame) -> DataFrame:
+    """``reviews`` with the length of their text (X8); those that have it stay as they are."""
+    return reviews if "review_length" in reviews.columns else reviews.withColumn("review_length", text_length("text"))
+
+
 def prepare(
     reviews: DataFrame,
     products: DataFrame,
     product_extra: dict[str, str] | None = None,
     rows_per_salt: int | None = ROWS_PER_SALT,
+    keep_salt: bool = False,
 ) -> DataFrame:
     """Reviews enriched with product metadata.
 
@@ -149,9 +163,17 @@ def prepare(
     * Metadata is not de-duplicated: a duplicated ``parent_asin`` multiplies
       its reviews, as in the original job; ``quality.duplicate_products``
       reports such ids.
-    * ``rows_per_salt=None`` joins without salting."""
-    measured = reviews.withColumn("review_length", text_length("text"))
-    return add_narrow_columns(join_products(measured, products, product_extra, rows_per_salt))
+    * ``rows_per_salt=None`` joins without salting.
+    * ``reviews`` may be ``measured`` already, and staged without their text.
+    * ``keep_salt``: see ``attach_products``."""
+    return add_narrow_columns(join_products(measured(reviews), products, product_extra, rows_per_salt, keep_salt))
+
+
+def add_products(keyed: DataFrame, products: DataFrame) -> DataFrame:
+    """Product columns for rows that are few a product (J3): the join of ``prepare`` for
+    aggregates of reviews, which have no hot key and need no count of their own."""
+    enriched = attach_products(keyed, add_product_columns(product_dim(products)))
+    return enriched.withColumn("price_tier", F.coalesce(F.col("price_tier"), F.lit(labels.PRICE_TIERS[0])))
 
 
 def join_products(
@@ -159,6 +181,7 @@ def join_products(
     products: DataFrame,
     product_extra: dict[str, str] | None = None,
     rows_per_salt: int | None = ROWS_PER_SALT,
+    keep_salt: bool = False,
 ) -> DataFrame:
     """The join of ``prepare``, for reviews whose own columns are derived already."""
     counts = review_key_counts(reviews)
@@ -169,7 +192,7 @@ def join_products(
     sampled = products.join(reviewed, on="parent_asin", how="left_semi")
     dim = add_product_columns(product_dim(sampled, product_extra))
     hot = None if rows_per_salt is None else hot_products(counts, rows_per_salt)
-    enriched = attach_products(reviews, dim, hot)
+    enriched = attach_products(reviews, dim, hot, keep_salt)
     return enriched.withColumn("price_tier", F.coalesce(F.col("price_tier"), F.lit(labels.PRICE_TIERS[0])))
 
 

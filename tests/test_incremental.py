@@ -154,3 +154,55 @@ def test_sketches_are_asked_by_one_subquery(spark):
     i = Inputs(spark, "/root/testdata/sf0.001")
     plan = states.sketch_accuracy(i.enriched, i.sketches)._jdf.queryExecution().analyzed().toString()
     assert set(re.findall(r"scalar-subquery#\d+ \[\]\.(\w+)", plan)) >= {"p25_length", "median_length", "unique_products"}
+
+
+def _shuffle_keys(name, spark):
+    from revscope.plans.registry import queries
+
+    plan = queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    return [x.split("]")[0].split("), ")[0] for x in re.findall(r"hashpartitioning\((.*)", plan)]
+
+
+def test_pairs_are_dealt_once(spark):
+    """By product and run of buckets; no shuffle by the reviewer's place, nor by bucket but for bitmaps."""
+    for name in ("unique_reviewers", "competitive_from_states"):
+        keys = _shuffle_keys(name, spark)
+        assert any("parent_asin" in k and "run" in k for k in keys) and not any("place" in k for k in keys), keys
+
+
+@pytest.mark.parametrize("buckets,dense", [(1, 20), (1, 10**6), (3, 0)])
+def test_batches_in_one_pass_count_reviewers_exactly(spark, inputs, monkeypatch, buckets, dense):
+    """Ids over many buckets, products with bitmaps in one batch and pairs in the other, without product, without metadata."""
+    monkeypatch.setattr(reviewers, "DEALT_BUCKETS", buckets)
+    reviews = inputs[0].withColumn("late", F.lit(True)).unionByName(inputs[1].withColumn("late", F.lit(False)))
+    ids = reviewers.reviewer_ids(reviews, runs=7).withColumn("reviewer", F.col("reviewer") * 1000 + 1)
+    asin = ["parent_asin"]
+    monkeypatch.setattr(reviewers, "MOST_DENSE", 3)
+    made = reviewers.reviewer_states(reviews, ids, dense, asin, ["late"])
+    counted = reviewers.unique_reviewers(reviewers.merge_reviewers(made.drop("late"), keys=asin), asin)
+    got = enrich.add_products(counted, inputs[3]).select(*competitive.PRODUCT_KEYS, "unique_reviewers").distinct()
+    want = enrich.prepare(inputs[2], inputs[3]).groupBy(*competitive.PRODUCT_KEYS).agg(F.count_distinct("user_id").alias("unique_reviewers"))
+    rows_equal(got, want.filter("unique_reviewers > 0"))
+
+
+def test_stored_states_without_a_run_still_merge(spark, inputs):
+    one = enrich.prepare(inputs[0], inputs[3])
+    made = reviewers.reviewer_states(one, reviewers.reviewer_ids(inputs[0]), 50)
+    rows_equal(reviewers.unique_reviewers(reviewers.merge_reviewers(made.drop("run"))), reviewers.unique_reviewers(made))
+
+
+def test_staging_leaves_no_shuffle_files(spark, inputs):
+    from revscope.plans.staging import staged
+
+    def files():
+        disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        at = disk.getAllFiles().iterator()
+        out = set()
+        while at.hasNext():
+            out.add(at.next().getName())
+        return {f for f in out if f.startswith("shuffle_")}
+
+    before = files()
+    kept = staged(inputs[2].repartition(5, "user_id").select("parent_asin", "user_id"), "test")
+    assert not files() - before
+    assert kept.count() == 1300 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
