@@ -13,6 +13,7 @@ Distinct counts merge too: exactly, by bitmaps over dense reviewer ids
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -68,10 +69,11 @@ def _sums(*names: str) -> list[Column]:
     return [F.sum(n).cast(kinds.get(n, "long")).alias(n) for n in names]
 
 
-def merge_states(*states: DataFrame) -> DataFrame:
-    """The state of all reviews whose states are given: same schema, one row a key."""
+def merge_states(*states: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The state of all reviews whose states are given: same schema, one row a key.
+    ``by``: further columns that stay, as the bucket a product's reviews were dealt by."""
     rows = reduce(DataFrame.unionByName, states)
-    return rows.groupBy(*STATE_KEYS).agg(*_sums(*_ADDED), F.min("first_review_date").alias("first_review_date"), F.max("last_review_date").alias("last_review_date"))
+    return rows.groupBy(*by, *STATE_KEYS).agg(*_sums(*_ADDED), F.min("first_review_date").alias("first_review_date"), F.max("last_review_date").alias("last_review_date"))
 
 
 def _mean(total: str, n: str) -> Column:

@@ -163,6 +163,12 @@ def _shuffle_keys(name, spark):
     return [x.split("]")[0].split("), ")[0] for x in re.findall(r"hashpartitioning\((.*)", plan)]
 
 
+def test_states_are_summed_where_the_join_left_them(spark):
+    """No shuffle by product and month, neither to make the states nor to merge them."""
+    keys = _shuffle_keys("competitive_from_states", spark)
+    assert any("_salt" in k for k in keys) and not any("year_month" in k for k in keys)
+
+
 def test_pairs_are_dealt_once(spark):
     """By product and run of buckets; no shuffle by the reviewer's place, nor by bucket but for bitmaps."""
     for name in ("unique_reviewers", "competitive_from_states"):
