@@ -18,9 +18,6 @@ from revscope.session import ensure_checkpoint_dir
 
 #: Deletes the shuffle files of a job at its end; they go with the driver's garbage otherwise.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-_STAGED: list[tuple[SparkSession, str]] = []
-
-
 @contextmanager
 def _shuffles_dropped(spark: SparkSession):
     before = spark.conf.get(CLEANUP, None)
@@ -37,18 +34,35 @@ def delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the session's checkpoint folder and read back; the table goes when Python ends."""
-    spark = df.sparkSession
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/revscope-{label}-{uuid.uuid4().hex[:12]}"
-    _STAGED.append((spark, folder))
-    with _shuffles_dropped(spark):
-        df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+class Stage:
+    """``stage(df, label)``: ``df`` written to the session's checkpoint folder and read back.  A table goes
+    when it is dropped, or when Python ends."""
+
+    def __init__(self) -> None:
+        self.tables: list[tuple[DataFrame, str]] = []
+
+    def __call__(self, df: DataFrame, label: str) -> DataFrame:
+        spark = df.sparkSession
+        folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/revscope-{label}-{uuid.uuid4().hex[:12]}"
+        with _shuffles_dropped(spark):
+            df.write.option("compression", "zstd").parquet(folder)
+        kept = spark.read.schema(df.schema).parquet(folder)
+        self.tables.append((kept, folder))
+        return kept
+
+    def drop(self, df: DataFrame) -> None:
+        """Delete a table that nothing is still to read."""
+        for kept, folder in [t for t in self.tables if t[0] is df]:
+            delete(kept.sparkSession, folder)
+            self.tables.remove((kept, folder))
+
+    def close(self) -> None:
+        for kept, folder in self.tables:
+            context = kept.sparkSession.sparkContext
+            if context._jsc is not None and not context._jsc.sc().isStopped():
+                delete(kept.sparkSession, folder)
+        self.tables.clear()
 
 
-@atexit.register
-def _at_exit() -> None:
-    for spark, folder in _STAGED:
-        if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
-            delete(spark, folder)
+staged = Stage()
+atexit.register(staged.close)

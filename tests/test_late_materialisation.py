@@ -120,3 +120,47 @@ def test_feedback_ranks_reviews_of_matching_products_alone(spark):
     asked = questions.feedback_for_product(enriched, "ring", 3, reviews)
     key = lambda r: r.parent_asin
     assert sorted(plain.collect(), key=key) == sorted(asked.collect(), key=key) and asked.count() == 6
+
+
+def test_the_longest_text_is_not_moved(spark, tmp_path):
+    """200 products show a text of 20,000 characters and one of 20: each text is shuffled as a distinct one, the long ones no more."""
+    rows = [(f"P{k}", "a", f"U{k}", 4.0, "t", t, k, True, 1) for k in range(200) for t in (str(k % 10) + "x" * 20_000, f"{k % 7} a short text")]
+    reviews_df(spark, rows).write.parquet(str(tmp_path / "reviews"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = theme.sample_reviews(spark.read.parquet(str(tmp_path / "reviews")), 2)
+        assert {r.parent_asin: (r.sample_reviews, r.sample_count) for r in out.collect()} == brute(rows, 2)
+        assert _shuffled_bytes(out) < 2_000_000  # 4 MB if each product is sent its long text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("anchored", [0, 3, 10**6])
+def test_staged_samples_equal_ranking_whole_texts(spark, monkeypatch, anchored):
+    """With staging, and where a longest text has more products than go to it."""
+    from revscope.plans.staging import staged
+
+    monkeypatch.setattr(theme, "MOST_ANCHORED", anchored)
+    rows = some_rows(6)
+    assert found(theme.sample_reviews(reviews_df(spark, rows), 3, stage=staged)) == brute(rows, 3)
+
+
+def test_staged_samples_with_equal_digests(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from revscope.plans.staging import staged
+
+    plain = theme.review_keys
+    monkeypatch.setattr(theme, "review_keys", lambda df: plain(df).withColumn("text_digest", F.lit(7).cast("long")))
+    rows = some_rows(7)
+    assert found(theme.sample_reviews(reviews_df(spark, rows), 3, stage=staged)) == brute(rows, 3)
+
+
+def test_registered_samples_shuffle_no_reviews_at_their_end(spark):
+    """The reviews were ranked and their texts found before: what is left reads staged tables, not the source."""
+    from revscope.plans.registry import queries
+
+    for name in ("sample_reviews",):
+        plan = queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "revscope-sample-texts" in plan and "lineitem.parquet" not in plan, name
