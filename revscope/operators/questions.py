@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from revscope.functions.numeric import pct, round_half_up
 from revscope.operators.reports import top_satisfaction
-from revscope.operators.theme import sample_reviews
+from revscope.operators.theme import Stage, sample_reviews
 
 
 def top_by_satisfaction(competitive: DataFrame, k: int = 5) -> DataFrame:
@@ -82,16 +82,22 @@ def compare_categories(enriched: DataFrame) -> DataFrame:
     )
 
 
-def feedback_for_product(enriched: DataFrame, title_like: str, n: int = 3, reviews: DataFrame | None = None) -> DataFrame:
+def feedback_for_product(
+    enriched: DataFrame, title_like: str, n: int = 3, reviews: DataFrame | None = None, stage: Stage | None = None
+) -> DataFrame:
     """'What do customers say about <product>?' (Q9): per matching product,
     review count, rating and up to n sample texts.
 
     With the raw ``reviews`` that were enriched, no text goes through the
-    enrichment join: only the samples' keys are cut to the matching products."""
+    enrichment join: only the samples' keys are cut to the matching products.
+    ``stage`` keeps the products' figures, then what ``sample_reviews`` keeps."""
     matching = enriched.filter(F.col("product_title").contains(title_like))
     stats = matching.groupBy("parent_asin", "product_title", "store").agg(
         F.count(F.lit(1)).alias("total_reviews"),
         round_half_up(F.avg("rating"), 2).alias("avg_rating"),
     )
-    samples = sample_reviews(matching, n) if reviews is None else sample_reviews(reviews, n, only=stats.select("parent_asin").distinct())
+    if stage is not None:
+        stats = stage(stats, "matching-products")
+    only = None if reviews is None else stats.select("parent_asin").distinct()
+    samples = sample_reviews(matching if reviews is None else reviews, n, only=only, stage=stage)
     return stats.join(samples, on="parent_asin", how="left")

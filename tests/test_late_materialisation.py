@@ -157,10 +157,22 @@ def test_staged_samples_with_equal_digests(spark, monkeypatch):
     assert found(theme.sample_reviews(reviews_df(spark, rows), 3, stage=staged)) == brute(rows, 3)
 
 
+def test_feedback_is_the_same_with_staging(spark):
+    from fixtures import product, products_df
+    from revscope.operators import enrich, questions
+    from revscope.plans.staging import staged
+
+    reviews = reviews_df(spark, some_rows(8))
+    enriched = enrich.prepare(reviews, products_df(spark, [product(f"P{k}", title=f"ring {k}" if k % 2 else "other") for k in range(13)]))
+    key = lambda r: r.parent_asin
+    plain, kept = (questions.feedback_for_product(enriched, "ring", 3, reviews, s).collect() for s in (None, staged))
+    assert sorted(plain, key=key) == sorted(kept, key=key) and len(kept) == 6
+
+
 def test_registered_samples_shuffle_no_reviews_at_their_end(spark):
     """The reviews were ranked and their texts found before: what is left reads staged tables, not the source."""
     from revscope.plans.registry import queries
 
-    for name in ("sample_reviews",):
+    for name in ("sample_reviews", "feedback_for_product"):
         plan = queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "revscope-sample-texts" in plan and "lineitem.parquet" not in plan, name
