@@ -149,8 +149,8 @@ def sample_reviews(
         kept = kept.select(*[F.col(c).alias(f"__{c}") for c in keys.columns])
         same = [doubtful[c] == kept[f"__{c}"] if c in TEXT_KEYS else doubtful[c].eqNullSafe(kept[f"__{c}"]) for c in keys.columns]
         named = named.unionByName(doubtful.join(kept, same, "left_semi").select("parent_asin", "helpful_vote", "text").distinct())
-    # dealt by product before the ranking: the texts are sorted and moved once
-    ranked = named.repartition("parent_asin").withColumn(
+    # more keys than shown: each task cuts a product to its first n texts before they move
+    ranked = named.withColumn(
         "rn",
         F.row_number().over(Window.partitionBy("parent_asin").orderBy(F.desc("helpful_vote"), F.asc("text"))),
     ).filter(F.col("rn") <= n)
